@@ -1,0 +1 @@
+"""Empty on purpose: every dataset is a batch snapshot, so there is no streaming operator to provide."""
