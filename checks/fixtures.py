@@ -183,8 +183,8 @@ ADAPTERS: dict[str, str] = {
     """,
     "fx_job_category": """
         SELECT Data_Folder_Id, Job, Extra, Cost_Code, Category,
-            sum(CASE WHEN Amount > 0 THEN Amount ELSE CAST(0 AS DECIMAL(18,2)) END) AS Original_Estimate,
-            sum(CASE WHEN Amount < 0 THEN Amount ELSE CAST(0 AS DECIMAL(18,2)) END) AS Approved_Estimate_Changes,
+            CAST(sum(CASE WHEN Amount > 0 THEN Amount ELSE 0 END) AS DECIMAL(18,2)) AS Original_Estimate,
+            CAST(sum(CASE WHEN Amount < 0 THEN Amount ELSE 0 END) AS DECIMAL(18,2)) AS Approved_Estimate_Changes,
             CAST(count(*) AS DECIMAL(18,2)) AS Original_Estimate_Units,
             CAST(1 AS DECIMAL(18,2)) AS Approved_Est_Unit_Changes, 'EA' AS Cost_Unit_Description,
             min(Debit_Account) AS Cost_Account
