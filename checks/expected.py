@@ -421,11 +421,9 @@ CTES["ap_rows"] = f"""
         CASE WHEN j.include_job = 1 THEN coalesce(j.new_job_id, '') ELSE '' END AS _project,
         d.Amount - d.Amount_Paid AS _price, d.Retainage - d.Retainage_Paid AS _retained, e.new_entity_id AS _entity,
         coalesce(k.new_cost_code_id, '') AS _task, coalesce(t.new_cost_type_id, '') AS _type,
-        'LG_VEND_ID|' || i.Vendor AS _t03, 'LG_VEND_NAME|' || v.Name AS _t04, 'LG_JOB|' || d.Job AS _t05,
-        'LG_EXTRA|' || d.Extra AS _t06, 'GL_PREF|' || left(d.Expense_Account, f.Account_Prefix_A_Length) AS _t07,
-        'LG_CC|' || d.Cost_Code AS _t08, 'LG_DESC|' || d.Description AS _t09, 'LG_CT|' || d.Category AS _t10,
-        'LG_COMMIT|' || d.Commitment AS _t11,
-        'VND_CHK|' || if(m.include_vendor = 1, 'ok', 'Missing Vendor') AS _t13
+        i.Vendor AS inv_vendor, v.Name AS vendor_name, d.Job, d.Extra,
+        left(d.Expense_Account, f.Account_Prefix_A_Length) AS _account_prefix, d.Cost_Code, d.Category, d.Commitment,
+        if(m.include_vendor = 1, 'ok', 'Missing Vendor') AS _check
     FROM fx_ap_distribution d
     LEFT JOIN fx_ap_invoice i ON i.Data_Folder_Id = d.Data_Folder_Id AND i.Vendor = d.Vendor AND i.Invoice = d.Invoice
     LEFT JOIN fx_vendor v ON v.Vendor = d.Vendor AND v.Data_Folder_Id = d.Data_Folder_Id
@@ -467,8 +465,17 @@ EXPECTED["import_open_ap"] = select(
     PODOCUMENTENTRY_VENDORID: _vendor
     MEMO: Description
     D: _price
-    """
-    + "\n".join(f"D: _t{n:02d}" for n in (3, 4, 5, 6, 7, 8, 9, 10, 11, 13)),
+    D: 'LG_VEND_ID|' || inv_vendor
+    D: 'LG_VEND_NAME|' || vendor_name
+    D: 'LG_JOB|' || Job
+    D: 'LG_EXTRA|' || Extra
+    D: 'GL_PREF|' || _account_prefix
+    D: 'LG_CC|' || Cost_Code
+    D: 'LG_DESC|' || Description
+    D: 'LG_CT|' || Category
+    D: 'LG_COMMIT|' || Commitment
+    D: 'VND_CHK|' || _check
+    """,
     f"""FROM (SELECT *, row_number() OVER (PARTITION BY Data_Folder_Id, Vendor, Invoice
         ORDER BY {by(*payables.OPEN_AP_ORDER)}) AS line FROM ap_rows)""",
 )
@@ -502,14 +509,12 @@ CTES["ar_open"] = f"""
     WHERE a.net_amount <> 0 OR coalesce(h.ret_net, 0) <> 0
 """
 CTES["ar_rows"] = f"""
-    SELECT a.Data_Folder_Id AS folder, 'LG_CUST | ' || a.Customer AS _legacy, {iso('a.Status_Date')} AS _date,
+    SELECT a.Data_Folder_Id AS folder, a.Customer, {iso('a.Status_Date')} AS _date,
         {iso(f'nullif(a.accounting_date, {NO_DAY})')} AS _posting, a.invoice AS _document, customer_id AS _customer,
         {iso(f'nullif(a.due_date, {NO_DAY})')} AS _due, CAST(net_amount AS DECIMAL(38,2)) AS _price,
         coalesce(e.new_entity_id, '') AS _entity,
         CASE WHEN j.include_job = 1 THEN coalesce(j.new_job_id, '') ELSE '' END AS _project, _name,
-        CAST(-net AS DECIMAL(38,2)) AS _retained, 'LG_RET_NET | ' || CAST(net AS VARCHAR) AS _t_net,
-        'LG_RET_HELD | ' || CAST(held AS VARCHAR) AS _t_held, 'LG_RET_REL | ' || CAST(rel AS VARCHAR) AS _t_rel,
-        'LG_RET_BIL | ' || CAST(bil AS VARCHAR) AS _t_bil
+        net AS _net, held AS _held, rel AS _rel, bil AS _bil
     FROM ar_open a
     LEFT JOIN map_entity e ON e.data_folder_id = a.Data_Folder_Id
     LEFT JOIN jobs_plain j ON j.data_folder_id = a.Data_Folder_Id AND j.legacy_job_id = a.job
@@ -530,7 +535,7 @@ def _open_ar(project: str, numbered: bool) -> str:
     return select(
         f"""
         D: folder
-        D: _legacy
+        D: 'LG_CUST | ' || Customer
         TRANSACTIONTYPE: {startup}
         DATE: {top('_date')}
         GLPOSTINGDATE: {top('_posting')}
@@ -553,11 +558,11 @@ def _open_ar(project: str, numbered: bool) -> str:
         MEMO: _name
         CONVERSIONTYPE: 'Price'
         SODOCUMENTENTRY_RETAINAGEPERCENTAGE: ''
-        SODOCUMENTENTRY_AMOUNTRETAINED: _retained
-        D: _t_net
-        D: _t_held
-        D: _t_rel
-        D: _t_bil
+        SODOCUMENTENTRY_AMOUNTRETAINED: CAST(-_net AS DECIMAL(38,2))
+        D: 'LG_RET_NET | ' || CAST(_net AS VARCHAR)
+        D: 'LG_RET_HELD | ' || CAST(_held AS VARCHAR)
+        D: 'LG_RET_REL | ' || CAST(_rel AS VARCHAR)
+        D: 'LG_RET_BIL | ' || CAST(_bil AS VARCHAR)
         D: 'LG_CUST_NME | ' || _name
         """,
         f"FROM (SELECT *, {line} AS line FROM ar_rows)",

@@ -18,7 +18,7 @@ from checks.fixtures import ADAPTERS
 from ledgermap.plans.seeds import SEEDS
 from ledgermap.sources.schemas import conform
 from ledgermap.sources.tables import Params, empty_mapping, read_params, useful_fields
-from ledgermap.sources.workspace import stage
+from ledgermap.sources.workspace import LANDED, stage
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 AS_OF = dt.date(2000, 12, 15)
@@ -112,14 +112,14 @@ class Landed:
 
     def _source(self, name: str) -> DataFrame:
         df = conform(self.table(VIEW_OF[name]), name)
-        return df if name in TRANSACTIONS else stage(df, f"src-{name}")
+        return df if name in TRANSACTIONS else stage(df, f"src-{name}", LANDED)
 
     def _mapping(self, name: str) -> DataFrame:
         if name == "useful_fields":
             return useful_fields(self.spark, AS_OF)
         if name not in SEEDS:
             return empty_mapping(self.spark, name)
-        return stage(SEEDS[name](self.src, self.params), f"map-{name}")
+        return stage(SEEDS[name](self.src, self.params), f"map-{name}", LANDED)
 
 
 _open: dict[tuple[str, str], Landed] = {}

@@ -107,19 +107,27 @@ RELEASED = "Retainage released"
 
 
 def status_balance(transactions: DataFrame, aging_date) -> DataFrame:
-    """Net amount, earliest dates and job per receivable status, up to the aging date."""
+    """Net amount, earliest dates and greatest job per receivable status, up to the aging date.
+
+    Summed per status and job first: a maximum of text would force the transactions to be sorted.
+    """
     posted = F.col("Accounting_Date")
-    return (
+    per_job = (
         transactions.filter(F.col("Amount_Type") != RELEASED)
         .filter(posted.isNull() | (posted <= F.lit(aging_date)))
-        .groupBy(*STATUS_KEYS)
+        .groupBy(*STATUS_KEYS, F.col("Job").alias("job"))
         .agg(
-            F.sum(F.col("Amount") + F.col("Retainage")).cast(MONEY).alias("net_amount"),
+            F.sum(F.col("Amount") + F.col("Retainage")).alias("net_amount"),
             F.min(or_no_date(F.col("Due_Date"))).alias("due_date"),
             F.min(or_no_date(posted)).alias("accounting_date"),
-            F.max("Job").alias("job"),
         )
     )
+    return per_job.groupBy(*STATUS_KEYS).agg(
+        F.sum("net_amount").cast(MONEY).alias("net_amount"),
+        F.min("due_date").alias("due_date"),
+        F.min("accounting_date").alias("accounting_date"),
+        F.max("job").alias("job"),
+    )
 
 
 def retainage_balance(activity: DataFrame) -> DataFrame:

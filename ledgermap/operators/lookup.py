@@ -92,12 +92,16 @@ def translate_account(df: DataFrame, accounts: DataFrame, base_map: DataFrame, a
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` columns per key, as one aggregation without a sort.
+    """The row with the greatest ``order`` columns per key.
 
-    NULL keys form a group. ``order`` must hold every column of the result that is no key.
+    The first order column (a date or number) is reduced per key and remaining columns by a hash
+    aggregation, so the rows are neither sorted nor gathered per key; only its small result is
+    compared as a whole. NULL keys form a group. ``order`` holds every result column that is no key.
     """
+    newest, *rest = order
+    best = df.groupBy(*keys, *rest).agg(F.max(newest).alias(newest))
     top = F.max(F.struct(*order)).alias("_top")
-    return df.groupBy(*keys).agg(top).select(*keys, *[F.col(f"_top.{c}").alias(c) for c in order])
+    return best.groupBy(*keys).agg(top).select(*keys, *[F.col(f"_top.{c}").alias(c) for c in order])
 
 
 def _partner(other: DataFrame, on: Mapping[str, str]) -> DataFrame:

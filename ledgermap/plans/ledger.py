@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgermap.functions.parse import compose_memo
 from ledgermap.functions.semantics import MONEY, iso, joined, money_text, month_end, tag, text, year_month
 from ledgermap.operators.documents import header_detail, sides
-from ledgermap.operators.lookup import MISSING_ACCOUNT, base_account_targets, latest_per, translate
+from ledgermap.operators.lookup import MISSING_ACCOUNT, base_account_targets, existing_keys, latest_per, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line
 from ledgermap.plans.seeds import accounts
 from ledgermap.sources.tables import Params
@@ -65,8 +65,8 @@ def batch_labels(src: Tables, maps: Tables, strict_keys: bool) -> DataFrame:
 
     Batches are matched by batch alone; with ``strict_keys`` also by folder and month.
     """
-    newest = latest_of_batch(src["gl_transaction"])
     combine = maps["batch_combine"].select("source_batch", "period", "to_batch_alias", "to_batch_id")
+    newest = latest_of_batch(existing_keys(src["gl_transaction"], combine, {"Batch": "to_batch_id"}))
     df = translate(
         combine,
         newest,
@@ -111,9 +111,11 @@ def _net_per_account(
     if strict_keys:
         weighted = sums.withColumn("_batch_copies", F.lit(1))
     else:
-        newest = latest_of_batch(src["gl_transaction"]).groupBy("Batch").agg(F.count("*").alias("_n"))
+        combine = maps["batch_combine"]
+        combined = existing_keys(src["gl_transaction"], combine, {"Batch": "to_batch_id"})
+        folders = combined.select("Data_Folder_Id", "Batch").distinct().groupBy("Batch").agg(F.count("*").alias("_n"))
         copies = (
-            translate(maps["batch_combine"], newest, {"to_batch_id": "Batch"}, {"_n": "_n"}, {"_n": F.lit(1)})
+            translate(combine, folders, {"to_batch_id": "Batch"}, {"_n": "_n"}, {"_n": F.lit(1)})
             .groupBy("source_batch")
             .agg(F.sum("_n").alias("_batch_copies"))
         )

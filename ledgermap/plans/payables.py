@@ -81,16 +81,15 @@ def import_open_ap(
         "_retained",
         blank_if_null(c("_task")).alias("_task"),
         blank_if_null(c("_type")).alias("_type"),
-        tag("LG_VEND_ID|", c("_inv_vendor")).alias("_t03"),
-        tag("LG_VEND_NAME|", c("_vendor_name")).alias("_t04"),
-        tag("LG_JOB|", c("Job")).alias("_t05"),
-        tag("LG_EXTRA|", c("Extra")).alias("_t06"),
-        tag("GL_PREF|", first_chars(c("Expense_Account"), c("_a_length"))).alias("_t07"),
-        tag("LG_CC|", c("Cost_Code")).alias("_t08"),
-        tag("LG_DESC|", c("Description")).alias("_t09"),
-        tag("LG_CT|", c("Category")).alias("_t10"),
-        tag("LG_COMMIT|", c("Commitment")).alias("_t11"),
-        tag("VND_CHK|", F.when(c("_vendor_in") == 1, "ok").otherwise("Missing Vendor")).alias("_t13"),
+        "_inv_vendor",
+        "_vendor_name",
+        "Job",
+        "Extra",
+        first_chars(c("Expense_Account"), c("_a_length")).alias("_account_prefix"),
+        "Cost_Code",
+        "Category",
+        "Commitment",
+        F.when(c("_vendor_in") == 1, "ok").otherwise("Missing Vendor").alias("_check"),
     )
     lines = header_detail(rows, ["Data_Folder_Id", "Vendor", "Invoice"], OPEN_AP_ORDER, [], line="_line")
     return emit(
@@ -124,7 +123,16 @@ def import_open_ap(
             ("PODOCUMENTENTRY_VENDORID", c("_vendor")),
             ("MEMO", c("Description")),
             (SKIP, c("_price")),
-            *[(SKIP, c(f"_t{i:02d}")) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 13)],
+            (SKIP, tag("LG_VEND_ID|", c("_inv_vendor"))),
+            (SKIP, tag("LG_VEND_NAME|", c("_vendor_name"))),
+            (SKIP, tag("LG_JOB|", c("Job"))),
+            (SKIP, tag("LG_EXTRA|", c("Extra"))),
+            (SKIP, tag("GL_PREF|", c("_account_prefix"))),
+            (SKIP, tag("LG_CC|", c("Cost_Code"))),
+            (SKIP, tag("LG_DESC|", c("Description"))),
+            (SKIP, tag("LG_CT|", c("Category"))),
+            (SKIP, tag("LG_COMMIT|", c("Commitment"))),
+            (SKIP, tag("VND_CHK|", c("_check"))),
         ],
         sort=["_folder", "_vendor", "_invoice", "_line"] if sort_columns else None,
     )
@@ -133,5 +141,5 @@ def import_open_ap(
 # Line order inside an invoice: the distribution number, then every column that can differ.
 OPEN_AP_ORDER = (
     "Dist_Seq _entity Description _price _retained _project _task _type _package "
-    "_t05 _t06 _t07 _t08 _t10 _t11 _t13 _vendor"
+    "Job Extra _account_prefix Cost_Code Category Commitment _check _vendor"
 ).split()

@@ -91,7 +91,7 @@ def import_open_ar(
         project = F.lit("")
     rows = df.select(
         "Data_Folder_Id",
-        tag("LG_CUST | ", c("Customer")).alias("_legacy"),
+        "Customer",
         iso(c("Status_Date")).alias("_date"),
         iso(unless_no_date(c("accounting_date"))).alias("_posting"),
         c("_invoice").alias("_document"),
@@ -101,16 +101,7 @@ def import_open_ar(
         blank_if_null(c("_entity")).alias("_entity"),
         project.alias("_project"),
         "_name",
-        money(-c("_net")).alias("_retained"),
-        *[
-            tag(label, money(c(n)).cast("string")).alias(f"_t{n}")
-            for label, n in (
-                ("LG_RET_NET | ", "_net"),
-                ("LG_RET_HELD | ", "_held"),
-                ("LG_RET_REL | ", "_rel"),
-                ("LG_RET_BIL | ", "_bil"),
-            )
-        ],
+        *[money(c(n)).alias(n) for n in RETAINAGE],
     )
     if number_lines:
         lines = header_detail(rows, DOCUMENT_KEYS, OPEN_AR_ORDER, [], line="_line")
@@ -120,7 +111,7 @@ def import_open_ar(
         lines,
         [
             (SKIP, c("Data_Folder_Id")),
-            (SKIP, c("_legacy")),
+            (SKIP, tag("LG_CUST | ", c("Customer"))),
             ("TRANSACTIONTYPE", first_line("Startup AR")),
             ("DATE", first_line(c("_date"))),
             ("GLPOSTINGDATE", first_line(c("_posting"))),
@@ -143,11 +134,11 @@ def import_open_ar(
             ("MEMO", c("_name")),
             ("CONVERSIONTYPE", "Price"),
             ("SODOCUMENTENTRY_RETAINAGEPERCENTAGE", ""),
-            ("SODOCUMENTENTRY_AMOUNTRETAINED", c("_retained")),
-            (SKIP, c("_t_net")),
-            (SKIP, c("_t_held")),
-            (SKIP, c("_t_rel")),
-            (SKIP, c("_t_bil")),
+            ("SODOCUMENTENTRY_AMOUNTRETAINED", money(-c("_net"))),
+            (SKIP, tag("LG_RET_NET | ", c("_net").cast("string"))),
+            (SKIP, tag("LG_RET_HELD | ", c("_held").cast("string"))),
+            (SKIP, tag("LG_RET_REL | ", c("_rel").cast("string"))),
+            (SKIP, tag("LG_RET_BIL | ", c("_bil").cast("string"))),
             (SKIP, joined("LG_CUST_NME | ", c("_name"))),
         ],
         sort=[*DOCUMENT_KEYS, "_line"] if sort_columns else None,
@@ -156,7 +147,7 @@ def import_open_ar(
 
 DOCUMENT_KEYS = ["Data_Folder_Id", "_customer", "_document", "_posting"]
 # Line order inside a document: every column that can differ between its lines.
-OPEN_AR_ORDER = "_entity _date _due _legacy _price _retained _project _name _t_net _t_held _t_rel _t_bil".split()
+OPEN_AR_ORDER = "_entity _date _due Customer _price _net _project _name _held _rel _bil".split()
 
 
 def open_ar_flat(src: Tables, maps: Tables, params: Params) -> DataFrame:

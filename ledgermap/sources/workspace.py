@@ -32,13 +32,22 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+WORK, LANDED = "work", "landed"
+
+
+def stage(df: DataFrame, label: str, area: str = WORK) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a frame is read more than once and recomputing it would repeat its joins, or where
     a value that depends on physical placement must be frozen. The copy has exact size
     statistics, so the planner can tell a small side from a large one.
     """
-    path = f"{shared_root(df.sparkSession)}/{label}-{uuid4().hex}"
+    path = f"{shared_root(df.sparkSession)}/{area}/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession, area: str = WORK) -> None:
+    """Delete what ``stage`` wrote in this application; call it when its results have been used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{area}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
