@@ -21,6 +21,9 @@ from ledgermap.sources.workspace import stage
 
 HOT_ROWS_SETTING = "spark.ledgermap.hotGroupRows"
 HOT_ROWS = 1_000_000
+# Range partitions for hot groups: enough to keep each small, few enough for one shuffle.
+MAX_CELLS_SETTING = "spark.ledgermap.maxCells"
+MAX_CELLS = 10_000
 CELL = "_cell"
 
 
@@ -28,6 +31,15 @@ def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
 
 
+def _cells_for(df: DataFrame, rows: int, limit: int) -> int:
+    most = int(df.sparkSession.conf.get(MAX_CELLS_SETTING, str(MAX_CELLS)))
+    return max(_partitions(df), min(-(-rows // limit), most))
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ascending(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
@@ -38,7 +50,7 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 def ordered_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) -> DataFrame:
     """Freeze a range partitioning of ``df`` by ``cols``; ``_cell`` rises with the order."""
-    n = cells or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = cells or _partitions(df)
     return stage(df.repartitionByRange(n, *_ascending(cols)).withColumn(CELL, F.spark_partition_id()), "cells")
 
 
@@ -77,7 +89,7 @@ def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
         return rows.withColumn(out, ordinary)
     same = _same(rows, hot, keys)
     calm_part = rows.join(hot, same, "left_anti").withColumn(out, ordinary)
-    cells = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // limit))
+    cells = _cells_for(df, int(total), limit)
     hot_part = _number_hot(rows.join(hot, same, "left_semi"), keys, order, out, cells)
     return calm_part.unionByName(hot_part)
 

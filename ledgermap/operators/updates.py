@@ -86,7 +86,7 @@ def teardown(spark: SparkSession, database: str, tables: Sequence[str], confirm:
         raise ValueError("confirm must repeat the database name")
     for name in tables:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-    if spark.catalog.listTables(database):
+    if any(not table.isTemporary for table in spark.catalog.listTables(database)):
         return False
     spark.sql(f"DROP DATABASE {database}")
     return True

@@ -134,7 +134,7 @@ def import_open_ap(
             (SKIP, tag("LG_COMMIT|", c("Commitment"))),
             (SKIP, tag("VND_CHK|", c("_check"))),
         ],
-        sort=["_folder", "_vendor", "_invoice", "_line"] if sort_columns else None,
+        sort=["_folder", "_vendor", "_invoice", "Vendor", "_line"] if sort_columns else None,
     )
 
 
