@@ -5,6 +5,8 @@ documents, but one document (say, all lines without a document number) may hold
 the rows. Such groups are numbered in two steps: the rows are range-partitioned by group and order
 and frozen in the shared folder together with the number of their partition (the *cell*); then
 each cell is numbered on its own and shifted by the number of rows in the group's earlier cells.
+Equal rows are told apart by their position in the stored file, which a retried task sees again,
+so even copies of one row spread over many cells.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ HOT_ROWS = 1_000_000
 MAX_CELLS_SETTING = "spark.ledgermap.maxCells"
 MAX_CELLS = 10_000
 CELL = "_cell"
+POSITION = "_position"
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -82,15 +85,17 @@ def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     window = W.partitionBy(*keys).orderBy(*_ascending(order))
     ordinary = F.row_number().over(window).cast("bigint")
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    # One row per group above the limit, so at most total rows / limit of them.
-    hot = stage(sizes, "hot")
-    total = hot.agg(F.sum("_n")).first()[0]
+    total = sizes.agg(F.sum("_n")).first()[0]
     if total is None:
         return rows.withColumn(out, ordinary)
+    # One row per group above the limit, so at most total rows / limit of them.
+    hot = stage(sizes, "hot")
     same = _same(rows, hot, keys)
     calm_part = rows.join(hot, same, "left_anti").withColumn(out, ordinary)
     cells = _cells_for(df, int(total), limit)
-    hot_part = _number_hot(rows.join(hot, same, "left_semi"), keys, order, out, cells)
+    placed = rows.select("*", F.col("_metadata.row_index").alias(POSITION))
+    hot_rows_only = placed.join(hot, _same(placed, hot, keys), "left_semi")
+    hot_part = _number_hot(hot_rows_only, keys, [*order, POSITION], out, cells).drop(POSITION)
     return calm_part.unionByName(hot_part)
 
 

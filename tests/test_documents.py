@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgermap.operators.documents import double_entry, header_detail, net_sides, pack_batches, with_total
 from ledgermap.operators.numbering import HOT_ROWS_SETTING, number_lines, rows_before
+from ledgermap.sources.workspace import shared_root
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -51,6 +53,15 @@ def test_hot_documents_are_numbered_like_ordinary_ones(spark, few_rows_are_hot):
     assert got == by_hand(df.collect(), order)
 
 
+def test_copies_of_one_row_spread_over_cells(spark, few_rows_are_hot):
+    copies = spark.range(2000).select(F.lit("d").alias("doc"), F.lit(1).alias("a"))
+    lines = number_lines(copies, ["doc"], ["a"])
+    assert sorted(r.line_no for r in lines.collect()) == list(range(1, 2001))
+    frozen = max((p for p in Path(shared_root(spark), "work").glob("cells-*")), key=lambda p: p.stat().st_mtime)
+    sizes = spark.read.parquet(str(frozen)).groupBy("_cell").count().collect()
+    assert len(sizes) >= 8 and max(r["count"] for r in sizes) < 600
+
+
 def test_ordinary_documents(spark):
     df = skewed(spark)
     order = ["b", "a", "id"]
