@@ -52,9 +52,12 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def ordered_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) -> DataFrame:
-    """Freeze a range partitioning of ``df`` by ``cols``; ``_cell`` rises with the order."""
-    n = cells or _partitions(df)
-    return stage(df.repartitionByRange(n, *_ascending(cols)).withColumn(CELL, F.spark_partition_id()), "cells")
+    """Freeze a range partitioning of ``df`` by ``cols``; ``_cell`` rises with the order.
+
+    Without a number of cells, adaptive execution joins neighbouring small partitions into one.
+    """
+    n = () if cells is None else (cells,)
+    return stage(df.repartitionByRange(*n, *_ascending(cols)).withColumn(CELL, F.spark_partition_id()), "cells")
 
 
 def _earlier(keys: Sequence[str], order: str):
@@ -102,7 +105,7 @@ def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
 def rows_before(groups: DataFrame, key: str, size: str, out: str) -> DataFrame:
     """Add the sum of ``size`` over all rows whose ``key`` sorts earlier; ``key`` must be unique."""
     frozen = ordered_cells(groups, [key])
-    # One row per cell: as many as there are shuffle partitions.
+    # One row per cell: no more than there are shuffle partitions.
     cells = (
         frozen.groupBy(CELL)
         .agg(F.sum(size).alias("_n"))
