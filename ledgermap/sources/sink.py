@@ -25,7 +25,8 @@ def write_import(
     ordered = df.orderBy(*[F.col(n).asc_nulls_first() for n in order_by]) if order_by else df
     seen = Observation()
     rows = text_form(ordered.drop(*helpers)).observe(seen, F.count(F.lit(1)).alias("rows")).toDF(*header)
-    rows.write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    rows.write.mode("overwrite").options(header=True, escape='"', **exact).csv(path)
     return seen.get["rows"]
 
 

@@ -210,9 +210,9 @@ def test_activity_options(source, mapped):
         df = receivables.ar_activity_by_basis(src, maps, params, receivables.ActivityOptions(**options))
         return {(r.DOCUMENTNO, r.PRICE) for r in df.collect()}
 
-    assert run() == {("I1", Decimal("100.00")), ("", Decimal("3.00")), ("RetBill: I1", Decimal("10.00"))} or run() == {
-        ("I1", Decimal("100.00")), ("I1", Decimal("3.00")), ("RetBill: I1", Decimal("10.00"))
-    }
+    documents = run()
+    assert {p for _, p in documents} == {Decimal("100.00"), Decimal("3.00"), Decimal("10.00")}
+    assert {d for d, _ in documents} <= {"I1", "RetBill: I1", ""}
     assert {p for _, p in run(include_finance_charges=False)} == {Decimal("100.00"), Decimal("10.00")}
     assert {p for _, p in run(include_retainage=False)} == {Decimal("90.00"), Decimal("3.00"), Decimal("0.00")}
     assert {p for _, p in run(aging_basis="Due date")} == {Decimal("3.00")}
