@@ -983,10 +983,6 @@ CTES["cost_base"] = """
 """
 
 
-def _key(name: str) -> str:
-    return "Vendor AS vendor_raw" if name == "Vendor" else name
-
-
 _ENTRY = ", ".join(jobcost.ENTRY_KEYS)
 _OFFSET = ", ".join(jobcost.OFFSET_KEYS)
 CTES["cost_entries"] = f"""

@@ -26,10 +26,6 @@ def by(*names: str) -> str:
     return ", ".join(f"{n} NULLS FIRST" for n in names)
 
 
-def nulls(kind: str, *names: str) -> str:
-    return ", ".join(f"CAST(NULL AS {kind}) AS {n}" for n in names)
-
-
 def iso(date: str) -> str:
     return f"strftime({date}, '%Y-%m-%d')"
 
