@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
+from ledgermap.llm.packing import pack
 from ledgermap.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), BYTE_BPE, digest=True)
