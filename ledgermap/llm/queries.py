@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
+from ledgermap.llm.exact_dedup import exact_duplicates
 from ledgermap.llm.packing import pack
 from ledgermap.llm.token_counts import token_counts
 
@@ -38,3 +39,24 @@ def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), BYTE_BPE, digest=True)
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_exact_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+        regexp_replace(coalesce(text, ''), '[ \t-\r]', '', 'g') AS plain
+    FROM documents
+)
+SELECT doc_id,
+    first_value(doc_id) OVER best AS keep_id,
+    count(*) OVER (PARTITION BY plain) AS group_size,
+    doc_id = first_value(doc_id) OVER best AS kept,
+    sha256(plain) AS text_sha256
+FROM texts
+WINDOW best AS (PARTITION BY plain ORDER BY points DESC, doc_id)
+"""
