@@ -11,6 +11,7 @@ from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
 from ledgermap.llm.packing import pack
+from ledgermap.llm.secret_scan import digests, scan
 from ledgermap.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +61,8 @@ SELECT doc_id,
 FROM texts
 WINDOW best AS (PARTITION BY plain ORDER BY points DESC, doc_id)
 """
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(scan(read(spark, sf_dir, "documents")))
