@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
+from ledgermap.llm.language import identify, train
 from ledgermap.llm.packing import pack
 from ledgermap.llm.secret_scan import digests, scan
 from ledgermap.llm.token_counts import token_counts
@@ -66,3 +67,9 @@ WINDOW best AS (PARTITION BY plain ORDER BY points DESC, doc_id)
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(scan(read(spark, sf_dir, "documents")))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
