@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermap.llm import toxicity
 from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
@@ -73,3 +74,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return identify(docs, train(docs))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
