@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermap.llm import toxicity
+from ledgermap.llm import toxicity, url_filter
 from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
@@ -80,3 +80,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages")).drop("score")
+
+
+ORACLE["op1_url_filter"] = url_filter.expected_sql()
