@@ -15,6 +15,7 @@ from ledgermap.llm.language import identify, train
 from ledgermap.llm.packing import pack
 from ledgermap.llm.secret_scan import digests, scan
 from ledgermap.llm.token_counts import token_counts
+from ledgermap.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +89,25 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op1_url_filter"] = url_filter.expected_sql()
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 50."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+ORACLE["op9_top_k"] = """
+WITH vectors AS (
+    SELECT vec_id, [floor(256 * v::DOUBLE)::BIGINT for v in embedding] AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([v for v in embedding if v IS NULL OR NOT isfinite(v)]) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
