@@ -12,6 +12,7 @@ from ledgermap.llm.bpe_automaton import round_trip
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
 from ledgermap.llm.language import identify, train
+from ledgermap.llm.near_dedup import near_duplicates
 from ledgermap.llm.packing import pack
 from ledgermap.llm.secret_scan import digests, scan
 from ledgermap.llm.token_counts import token_counts
@@ -111,3 +112,8 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
