@@ -121,17 +121,22 @@ class Packer:
             number = self._number() if fill else number
 
 
+#: Marks a unit that stands as it is; all others follow a blank.
+AS_IS = "\x1c"
+
+
 def units(text: str) -> list[str]:
-    """Parts of a text that byte-level pre-tokenization treats one by one.
+    """Parts of a text that byte-level pre-tokenization treats one by one, as keys of the store.
 
     A cut before the last white space of a run, or before the whole run, is always a border.
     """
     if SEPARATORS.search(text):
-        return [text]
+        return [AS_IS + text]
     if DOUBLE_SPACE.search(text):
-        return UNITS.findall(text)
-    first, *others = text.split(" ")
-    return [first, *[" " + x for x in others]]
+        return [AS_IS + unit for unit in UNITS.findall(text)]
+    found = text.split(" ")
+    found[0] = AS_IS + found[0]
+    return found
 
 
 @lru_cache(maxsize=4)
@@ -144,7 +149,8 @@ def _store(path: str) -> WordStore:
     library.no_padding()
 
     def encode(words: list[str]) -> list[list[int]]:
-        return [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+        plain = [w[1:] if w.startswith(AS_IS) else " " + w for w in words]
+        return [e.ids for e in library.encode_batch(plain, add_special_tokens=False)]
 
     return WordStore(encode)
 

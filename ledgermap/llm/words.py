@@ -7,6 +7,7 @@ import sys
 import unicodedata
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -80,6 +81,18 @@ def byte_letters() -> list[str]:
     return letters
 
 
+class _Codes(dict):
+    """Numbers words as they are first asked for, and notes those words."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class WordStore:
     """Codes for words, and for each code an array of numbers.
 
@@ -88,44 +101,40 @@ class WordStore:
     depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self._reset()
 
     def _reset(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = _Codes()
         self.values = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
         self.used = 0
 
     def look_up(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all words one after the other, and the number of words of each text."""
-        new = {w for words in texts for w in words if w not in self.codes}
-        if len(self.codes) + len(new) > self.most and self.codes:
+        if len(self.codes) > self.most:
             self._reset()
-            new = {w for words in texts for w in words}
-        if new:
-            self._add(sorted(new))
         get = self.codes.__getitem__
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        codes = np.fromiter((c for words in texts for c in map(get, words)), np.int64, int(counts.sum()))
+        codes = np.fromiter(map(get, chain.from_iterable(texts)), np.int64, int(counts.sum()))
+        if self.codes.new:
+            self._add(self.codes.new)
+            self.codes.new = []
         return codes, counts
 
     def _add(self, new: list[str]) -> None:
         arrays = self.encode(new)
         lengths = np.fromiter(map(len, arrays), np.int64, len(arrays))
-        total, first = int(lengths.sum()), len(self.codes)
+        total, first = int(lengths.sum()), len(self.codes) - len(new)
         while self.used + total > len(self.values):
             self.values = np.concatenate([self.values, np.empty_like(self.values)])
         while first + len(new) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         if total:
-            self.values[self.used : self.used + total] = np.fromiter(
-                (x for a in arrays for x in a), np.uint32, total
-            )
+            self.values[self.used : self.used + total] = np.fromiter(chain.from_iterable(arrays), np.uint32, total)
         self.ends[first + 1 : first + len(new) + 1] = self.used + np.cumsum(lengths)
         self.used += total
-        self.codes.update(zip(new, range(first, first + len(new))))
 
     def lengths(self, codes: np.ndarray) -> np.ndarray:
         return self.ends[codes + 1] - self.ends[codes]
