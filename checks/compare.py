@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
-from collections import Counter
 
 import duckdb
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
 
@@ -35,15 +36,27 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, bu
         if kind != theirs[name]:
             problems.append(f"type of {name}: {kind} != {theirs[name]}")
     names = sorted(ours)
-    left = Counter(map(tuple, df.select(*names).toPandas().astype(object).where(lambda x: x.notna(), None).values.tolist()))
-    right = Counter(tuple(r) for r in con.sql(f"SELECT {', '.join(chr(34) + n + chr(34) for n in names)} FROM ({text})").fetchall())
-    if sum(left.values()) != sum(right.values()):
-        problems.append(f"rows: {sum(left.values())} != {sum(right.values())}")
-    if left != right:
-        extra, lacking = list((left - right).items())[:2], list((right - left).items())[:2]
-        problems.append(f"values: only in Spark {extra}; only in SQL {lacking}")
-        if extra and lacking:
-            a, b = extra[0][0], lacking[0][0]
+    quoted = ", ".join(f'"{n}"' for n in names)
+    # the expected rows go to Spark as a table, and only rows that differ come to the driver
+    with tempfile.TemporaryDirectory() as folder:
+        con.execute(f"COPY (SELECT {quoted} FROM ({text})) TO '{folder}/expected.parquet' (FORMAT parquet)")
+        right = spark.read.parquet(f"{folder}/expected.parquet")
+        keys = [F.col(f"`{n}`") for n in names]
+        both = (
+            df.select(*names)
+            .withColumn("_side", F.lit(1))
+            .unionByName(right.select(*[F.col(f"`{n}`").cast(df.schema[n].dataType).alias(n) for n in names]).withColumn("_side", F.lit(-1)))
+            .groupBy(*keys)
+            .agg(F.sum("_side").alias("_surplus"), F.sum(F.abs("_side")).alias("_rows"))
+        )
+        left_over = both.filter("_surplus <> 0").orderBy(F.desc("_surplus")).limit(1000).collect()
+    more = [tuple(r)[:-2] for r in left_over if r["_surplus"] > 0]
+    fewer = [tuple(r)[:-2] for r in left_over if r["_surplus"] < 0]
+    if left_over:
+        problems.append(f"rows: {sum(r['_surplus'] for r in left_over):+d} in Spark")
+        problems.append(f"values: only in Spark {more[:2]}; only in SQL {fewer[:2]}")
+        if more and fewer:
+            a, b = more[0], fewer[0]
             problems.append(f"first difference: {[(n, x, y) for n, x, y in zip(names, a, b) if x != y]}")
     return problems
 
@@ -60,7 +73,6 @@ def main(argv: list[str]) -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.driver.maxResultSize", "4g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

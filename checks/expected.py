@@ -18,7 +18,48 @@ from checks.oracle import (
     select,
     sql,
 )
-from ledgermap.plans import contracts, jobcost, ledger, payables, receivables
+
+# The orders that number the lines of a document, written out so that the datasets can be wrong.
+OPEN_AP_ORDER = [
+    "Dist_Seq", "_entity", "Description", "_price", "_retained", "_project", "_task", "_type", "_package",
+    "Job", "Extra", "_account_prefix", "Cost_Code", "Category", "Commitment", "_check", "_vendor",
+]
+OPEN_AR_ORDER = [
+    "_entity", "_date", "_due", "Customer", "_price", "_net", "_project", "_name", "_held", "_rel", "_bil",
+]
+ACTIVITY_ORDER = [
+    "_t02", "_t03", "_t04", "_t05", "_t06", "_t07", "_t08", "_t09", "_t10", "_t11", "_t12", "_t14", "_t15",
+    "_legacy", "_date", "_due", "_price", "_retained", "_entity", "_project", "_memo",
+]
+ESTIMATE_ORDER = [
+    "_branch", "_task", "_type", "Job", "Extra", "Cost_Code", "Category", "_entity", "Data_Folder_Id",
+    "_amount", "_qty", "_production", "Cost_Account",
+]
+LEDGER_ORDER = [
+    "_location", "_reference", "_memo_order", "_acct", "_account", "_department", "_document", "_memo",
+    "_og_date", "_reference2", "_origin",
+]
+JOB_COST_ORDER = [
+    "entry_offset", "_acct", "Data_Folder_Id", "Accounting_Date", "_entity", "_department", "_class",
+    "_document", "_memo", "_job", "_task", "_type", "_vendor", "Job", "Extra", "Debit_Account",
+    "Credit_Account", "Cost_Code", "Category", "Vendor", "debit", "credit",
+]
+JOB_COST_OFFSET_KEYS = [
+    "Data_Folder_Id", "Accounting_Date", "_title", "_acct", "_entity", "_department", "_class", "_document",
+    "_memo", "_job",
+]
+JOB_COST_ENTRY_KEYS = [
+    "Data_Folder_Id", "Accounting_Date", "_title", "_acct", "_entity", "_department", "_class", "_document",
+    "_memo", "_job", "_task", "_type", "_vendor", "Job", "Extra", "Debit_Account", "Credit_Account",
+    "Cost_Code", "Category", "Vendor",
+]
+LEDGER_KEYS = [
+    "_date", "_og_date", "_description", "_reference", "_acct", "_location", "_department", "_document",
+    "_memo", "_memo_order", "_account", "_entity", "_reference2", "_origin",
+]
+ACTIVITY_TAGS = [
+    "_t02", "_t03", "_t04", "_t05", "_t06", "_t07", "_t08", "_t09", "_t10", "_t11", "_t12", "_t14", "_t15",
+]
 
 EXPECTED: dict[str, str] = {}
 
@@ -477,7 +518,7 @@ EXPECTED["import_open_ap"] = select(
     D: 'VND_CHK|' || _check
     """,
     f"""FROM (SELECT *, row_number() OVER (PARTITION BY Data_Folder_Id, Vendor, Invoice
-        ORDER BY {by(*payables.OPEN_AP_ORDER)}) AS line FROM ap_rows)""",
+        ORDER BY {by(*OPEN_AP_ORDER)}) AS line FROM ap_rows)""",
 )
 
 # --- receivables -----------------------------------------------------------------------------
@@ -527,7 +568,7 @@ def _open_ar(project: str, numbered: bool) -> str:
 
     line = (
         f"row_number() OVER (PARTITION BY folder, _customer, _document, _posting "
-        f"ORDER BY {by(*receivables.OPEN_AR_ORDER)})"
+        f"ORDER BY {by(*OPEN_AR_ORDER)})"
         if numbered
         else "CAST(1 AS BIGINT)"
     )
@@ -632,7 +673,7 @@ CTES["activity_rows"] = f"""
 """
 _ACTIVITY_KEYS = ", ".join(
     ["folder", "_legacy", "raw_date", "raw_posting", "_document", "raw_customer", "raw_due", "_entity", "_project"]
-    + receivables.ACTIVITY_TAGS
+    + ACTIVITY_TAGS
 )
 CTES["activity_sums"] = f"""
     SELECT {_ACTIVITY_KEYS}, coalesce({iso('coalesce(raw_date, raw_posting)')}, '') AS _date,
@@ -669,9 +710,9 @@ EXPECTED["ar_activity_by_basis"] = select(
     SODOCUMENTENTRY_RETAINAGEPERCENTAGE: ''
     SODOCUMENTENTRY_AMOUNTRETAINED: _retained
     """
-    + "\n".join(f"D: coalesce({t}, '')" for t in receivables.ACTIVITY_TAGS),
+    + "\n".join(f"D: coalesce({t}, '')" for t in ACTIVITY_TAGS),
     f"""FROM (SELECT *, row_number() OVER (PARTITION BY folder, _customer, _document, _posting
-        ORDER BY {by(*receivables.ACTIVITY_ORDER)}) AS line FROM activity_sums)""",
+        ORDER BY {by(*ACTIVITY_ORDER)}) AS line FROM activity_sums)""",
 )
 
 # --- contracts and estimates -----------------------------------------------------------------
@@ -843,7 +884,7 @@ EXPECTED["import_project_estimates"] = select(
     DONOTIMPORT6: Cost_Account
     DONOTIMPORT9: updated
     """,
-    f"""FROM (SELECT *, row_number() OVER (PARTITION BY _job ORDER BY {by(*contracts.ESTIMATE_ORDER)}) AS line
+    f"""FROM (SELECT *, row_number() OVER (PARTITION BY _job ORDER BY {by(*ESTIMATE_ORDER)}) AS line
         FROM estimate_rows WHERE _amount <> 0)""",
 )
 
@@ -904,7 +945,7 @@ CTES["gl_detail"] = f"""
 
 
 def _journal(rows: str, coarse: bool, repeat: bool = False) -> str:
-    keys = ", ".join(ledger.KEYS)
+    keys = ", ".join(LEDGER_KEYS)
 
     def top(value: str) -> str:
         return value if repeat else head(value)
@@ -939,7 +980,7 @@ def _journal(rows: str, coarse: bool, repeat: bool = False) -> str:
         {tail}
         """,
         f"""FROM (
-            SELECT *, row_number() OVER (PARTITION BY _entity, _date, _description ORDER BY {by(*ledger.ORDER)}) AS line
+            SELECT *, row_number() OVER (PARTITION BY _entity, _date, _description ORDER BY {by(*LEDGER_ORDER)}) AS line
             FROM (SELECT {keys}, CAST(sum(debit) + sum(credit) AS DECIMAL(38,2)) AS net FROM {rows}
                 GROUP BY {keys} HAVING round(sum(debit) + sum(credit), 2) <> 0))""",
     )
@@ -983,8 +1024,8 @@ CTES["cost_base"] = """
 """
 
 
-_ENTRY = ", ".join(jobcost.ENTRY_KEYS)
-_OFFSET = ", ".join(jobcost.OFFSET_KEYS)
+_ENTRY = ", ".join(JOB_COST_ENTRY_KEYS)
+_OFFSET = ", ".join(JOB_COST_OFFSET_KEYS)
 CTES["cost_entries"] = f"""
     SELECT {_ENTRY}, CAST(sum(up) AS DECIMAL(38,2)) AS debit, CAST(sum(down) AS DECIMAL(38,2)) AS credit,
         '0' AS entry_offset
@@ -995,7 +1036,7 @@ CTES["cost_entries"] = f"""
     FROM cost_base GROUP BY {_OFFSET}
 """
 CTES["cost_lines"] = f"""
-    SELECT *, debit - credit AS net, row_number() OVER (PARTITION BY _title ORDER BY {by(*jobcost.ORDER)}) AS line
+    SELECT *, debit - credit AS net, row_number() OVER (PARTITION BY _title ORDER BY {by(*JOB_COST_ORDER)}) AS line
     FROM cost_entries
 """
 CTES["cost_packed"] = """

@@ -135,17 +135,17 @@ ADAPTERS: dict[str, str] = {
         FROM fx_line
     """,
     "fx_ara_status": """
-        SELECT DISTINCT Data_Folder_Id, Customer, Status_Type, Status_Date, Status_Seq, Invoice, 'Open' AS Status
+        SELECT DISTINCT Data_Folder_Id, Customer, Status_Type, Status_Date,
+            CASE WHEN Status_Seq % 10 = 9 THEN -Status_Seq ELSE Status_Seq END AS Status_Seq, Invoice, 'Open' AS Status
         FROM fx_art
-        WHERE Status_Seq % 10 <> 9
     """,
     "fx_ara_activity": """
-        SELECT Data_Folder_Id, Customer, Status_Type, Status_Date, Status_Seq, Actvty_Seq,
+        SELECT Data_Folder_Id, Customer, Status_Type, Status_Date,
+            CASE WHEN Status_Seq % 4 = 0 THEN -Status_Seq ELSE Status_Seq END AS Status_Seq, Actvty_Seq,
             CASE WHEN Amount_Type = 'Retainage released' THEN 'Retainage released' ELSE 'Invoice' END AS Activity_Type,
             CASE WHEN Amount_Type = 'Retainage released' THEN CAST(-Retainage AS DECIMAL(18,2)) ELSE Retainage END AS Retainage_Held,
             CASE WHEN Amount_Type = 'Retainage billed' THEN Retainage ELSE CAST(0 AS DECIMAL(18,2)) END AS Retainage_Billed
         FROM fx_art
-        WHERE Status_Seq % 4 <> 0
     """,
     "fx_job": """
         SELECT g.Data_Folder_Id, g.Prefix_A||'-'||lpad(CAST(c.c_custkey AS STRING),6,'0') AS Job,
@@ -158,9 +158,9 @@ ADAPTERS: dict[str, str] = {
         FROM customer c JOIN fx_geo g ON c.c_nationkey = g.n_nationkey
     """,
     "fx_extra": """
-        SELECT Data_Folder_Id, Job, 'X1' AS Extra, Description||' extra' AS Description
+        SELECT Data_Folder_Id, Job||CASE WHEN CAST(substring(Job,4,6) AS INT) % 2 = 0 THEN '' ELSE 'N' END AS Job,
+            'X1' AS Extra, Description||' extra' AS Description
         FROM fx_job
-        WHERE CAST(substring(Job,4,6) AS INT) % 2 = 0
     """,
     "fx_jct": """
         SELECT Data_Folder_Id, Job, Extra, Cost_Code, Category, Vendor, Customer, d AS Accounting_Date,
@@ -175,11 +175,11 @@ ADAPTERS: dict[str, str] = {
         FROM fx_line
     """,
     "fx_job_cost_code": """
-        SELECT DISTINCT Data_Folder_Id, Job, Extra, Cost_Code, 'Code '||Cost_Code AS Description,
+        SELECT DISTINCT Data_Folder_Id, Job, Extra,
+            CASE WHEN Cost_Code LIKE '3%' THEN '7'||substring(Cost_Code,2) ELSE Cost_Code END AS Cost_Code, 'Code '||Cost_Code AS Description,
             CAST(10 AS DECIMAL(18,2)) AS Orig_Production_Units_Est,
             CAST(1 AS DECIMAL(18,2)) AS Apprvd_Prodctn_Unit_Chgs
         FROM fx_jct
-        WHERE Cost_Code NOT LIKE '3%'
     """,
     "fx_job_category": """
         SELECT Data_Folder_Id, Job, Extra, Cost_Code, Category,
@@ -199,14 +199,14 @@ ADAPTERS: dict[str, str] = {
         FROM fx_line
     """,
     "fx_std_category": """
-        SELECT DISTINCT Data_Folder_Id, Category,
+        SELECT DISTINCT Data_Folder_Id, CASE WHEN Category = 'O' THEN 'OX' ELSE Category END AS Category,
             CASE Category WHEN 'L' THEN 'Labor' WHEN 'M' THEN 'Material' WHEN 'S' THEN 'Subcontract'
                 ELSE 'Equipment' END AS Description,
             CASE Category WHEN 'L' THEN 'Labor' WHEN 'M' THEN 'Material' WHEN 'S' THEN 'Subcontract'
                 ELSE 'Equipment' END AS Accumulate_As,
             CASE Category WHEN 'L' THEN '10000' WHEN 'M' THEN '10001' WHEN 'S' THEN '10002'
                 ELSE '99999' END AS Cost_Account_A, 'EA' AS Cost_Unit_Description
-        FROM fx_line WHERE Category <> 'O'
+        FROM fx_line
     """,
     "fx_contract": """
         SELECT Data_Folder_Id, Job AS Contract, Description,
@@ -241,6 +241,5 @@ ADAPTERS: dict[str, str] = {
             DATE '1995-01-02' AS Hire_Date,
             CASE WHEN c.c_custkey % 6 = 0 THEN DATE '1998-03-04' ELSE CAST(NULL AS DATE) END AS Rehire_Date
         FROM customer c JOIN fx_geo g ON c.c_nationkey = g.n_nationkey
-        WHERE c.c_custkey % 3 = 0
     """,
 }

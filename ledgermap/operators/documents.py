@@ -50,32 +50,37 @@ def net_sides(df: DataFrame, keys: Sequence[str], debit: Column, credit: Column)
 def double_entry(df: DataFrame, entry_keys: Sequence[str], offset_keys: Sequence[str], amount: Column) -> DataFrame:
     """Entry rows by ``entry_keys`` plus mirrored offset rows by the coarser ``offset_keys``.
 
-    Both come from one pass over ``df`` (grouping sets), so the joins behind it run once. The
-    columns that only entries have are NULL on offsets; ``entry_offset`` is '0' or '1'.
+    Offset sums are sums of entry sums, so only the entries are aggregated from ``df``. The columns
+    that only entries have are NULL on offsets; ``entry_offset`` is '0' or '1'.
     """
     extra = [k for k in entry_keys if k not in set(offset_keys)]
     if not extra or set(offset_keys) - set(entry_keys):
         raise ValueError("offset keys must be a proper part of the entry keys")
     zero = F.lit(0).cast("decimal(18,2)")
-    prepared = df.withColumns(
-        {
-            "_up": F.when(amount > 0, amount).otherwise(zero).cast("decimal(38,2)"),
-            "_down": F.when(amount < 0, -amount).otherwise(zero).cast("decimal(38,2)"),
-        }
-    )
-    both = prepared.groupingSets([list(entry_keys), list(offset_keys)], *entry_keys).agg(
-        F.grouping(extra[0]).alias("_offset"),
-        F.sum("_up").cast(MONEY).alias("_up"),
-        F.sum("_down").cast(MONEY).alias("_down"),
+    entries = (
+        df.withColumns(
+            {
+                "_up": F.when(amount > 0, amount).otherwise(zero).cast("decimal(38,2)"),
+                "_down": F.when(amount < 0, -amount).otherwise(zero).cast("decimal(38,2)"),
+            }
+        )
+        .groupBy(*entry_keys)
+        .agg(F.sum("_up").cast(MONEY).alias("_up"), F.sum("_down").cast(MONEY).alias("_down"))
     )
-    is_offset = F.col("_offset") == 1
-    return both.select(
-        *entry_keys,
-        F.when(is_offset, F.col("_down")).otherwise(F.col("_up")).alias("debit"),
-        F.when(is_offset, F.col("_up")).otherwise(F.col("_down")).alias("credit"),
-        F.when(is_offset, "1").otherwise("0").alias("entry_offset"),
+    offsets = entries.groupBy(*offset_keys).agg(
+        F.sum("_up").cast(MONEY).alias("_up"), F.sum("_down").cast(MONEY).alias("_down")
     )
 
+    def lines(rows: DataFrame, debit: str, credit: str, mark: str) -> DataFrame:
+        keys = [
+            F.col(k) if k in rows.columns else F.lit(None).cast(entries.schema[k].dataType).alias(k) for k in entry_keys
+        ]
+        return rows.select(
+            *keys, F.col(debit).alias("debit"), F.col(credit).alias("credit"), F.lit(mark).alias("entry_offset")
+        )
+
+    return lines(entries, "_up", "_down", "0").unionByName(lines(offsets, "_down", "_up", "1"))
+
 
 def pack_batches(df: DataFrame, group: str, size: int = BATCH_ROWS, out: str = "batch_num") -> DataFrame:
     """Number batches of about ``size`` rows in group order without splitting a group.

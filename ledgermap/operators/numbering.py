@@ -1,12 +1,12 @@
 """Line numbers and running totals that do not depend on any group fitting into one task.
 
-A window over a document sends the whole document to one task. That is right for ordinary
-documents, but one document (say, all lines without a document number) may hold a large part of
-the rows. Such groups are numbered in two steps: the rows are range-partitioned by group and order
-and frozen in the shared folder together with the number of their partition (the *cell*); then
-each cell is numbered on its own and shifted by the number of rows in the group's earlier cells.
-Equal rows are told apart by their position in the stored file, which a retried task sees again,
-so even copies of one row spread over many cells.
+A window over a document sends the whole document to one task, and one document (say, all lines
+without a document number) may hold a large part of the rows. So documents of every size are
+numbered the same way: the rows are range-partitioned by group and order and stored once, together
+with the number of their partition (the *cell*). Each cell is numbered on its own. A group that
+lies in more than one cell is shifted by its rows in earlier cells; there are no more such groups
+than cells. Equal rows are told apart by a tie-breaker that is stored with them, so even copies of
+one row spread over many cells.
 """
 
 from __future__ import annotations
@@ -21,26 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgermap.sources.workspace import stage
 
-HOT_ROWS_SETTING = "spark.ledgermap.hotGroupRows"
-HOT_ROWS = 1_000_000
-# Range partitions for hot groups: enough to keep each small, few enough for one shuffle.
-MAX_CELLS_SETTING = "spark.ledgermap.maxCells"
-MAX_CELLS = 10_000
 CELL = "_cell"
-POSITION = "_position"
-
-
-def hot_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-
-
-def _cells_for(df: DataFrame, rows: int, limit: int) -> int:
-    most = int(df.sparkSession.conf.get(MAX_CELLS_SETTING, str(MAX_CELLS)))
-    return max(_partitions(df), min(-(-rows // limit), most))
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+TIE = "_tie"
 
 
 def _ascending(cols: Sequence[str]) -> list[Column]:
@@ -51,55 +33,41 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def ordered_cells(df: DataFrame, cols: Sequence[str], cells: int | None = None) -> DataFrame:
+def ordered_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Freeze a range partitioning of ``df`` by ``cols``; ``_cell`` rises with the order.
 
-    Without a number of cells, adaptive execution joins neighbouring small partitions into one.
+    Adaptive execution joins neighbouring small partitions into one.
     """
-    n = () if cells is None else (cells,)
-    return stage(df.repartitionByRange(*n, *_ascending(cols)).withColumn(CELL, F.spark_partition_id()), "cells")
+    return stage(df.repartitionByRange(*_ascending(cols)).withColumn(CELL, F.spark_partition_id()), "cells")
 
 
 def _earlier(keys: Sequence[str], order: str):
     return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
 
 
-def _number_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, cells: int) -> DataFrame:
-    frozen = ordered_cells(df, [*keys, *order], cells)
-    spans = (
-        frozen.groupBy(*keys, CELL)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(keys, CELL)), F.lit(0)))
-        .drop("_n")
-    )
-    both = frozen.join(spans, _same(frozen, spans, [*keys, CELL]), "left").select(frozen["*"], spans["_before"])
-    local = F.row_number().over(W.partitionBy(*keys, CELL).orderBy(*_ascending(order)))
-    return both.withColumn(out, local + F.col("_before")).drop(CELL, "_before")
-
-
 def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "line_no") -> DataFrame:
     """Number the rows of each group from 1 in the given order, as BIGINT column ``out``.
 
-    NULL keys form a group; NULLs sort first. The rows are written once, so the group sizes are
-    known before the strategy is chosen and the joins that built the rows run only once.
+    NULL keys form a group; NULLs sort first. The rows are written once, so the joins that built
+    them run only once.
     """
-    limit = hot_rows(df)
-    rows = stage(df, "lines")
-    window = W.partitionBy(*keys).orderBy(*_ascending(order))
-    ordinary = F.row_number().over(window).cast("bigint")
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    total = sizes.agg(F.sum("_n")).first()[0]
-    if total is None:
-        return rows.withColumn(out, ordinary)
-    # One row per group above the limit, so at most total rows / limit of them.
-    hot = stage(sizes, "hot")
-    same = _same(rows, hot, keys)
-    calm_part = rows.join(hot, same, "left_anti").withColumn(out, ordinary)
-    cells = _cells_for(df, int(total), limit)
-    placed = rows.select("*", F.col("_metadata.row_index").alias(POSITION))
-    hot_rows_only = placed.join(hot, _same(placed, hot, keys), "left_semi")
-    hot_part = _number_hot(hot_rows_only, keys, [*order, POSITION], out, cells).drop(POSITION)
-    return calm_part.unionByName(hot_part)
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    frozen = ordered_cells(tied, [*keys, *order, TIE])
+    parts = frozen.groupBy(*keys, CELL).agg(F.count("*").alias("_n"))
+    cells = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(CELL, "_n"))).alias("_cells"))
+    # groups over a cell border only: one row for each of their cells
+    crossing = (
+        cells.filter(F.size("_cells") > 1)
+        .select(*keys, F.inline("_cells"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(keys, CELL)), F.lit(0)))
+        .drop("_n")
+    )
+    local = F.row_number().over(W.partitionBy(CELL, *keys).orderBy(*_ascending([*order, TIE])))
+    numbered = frozen.withColumn(out, local.cast("bigint"))
+    shifted = numbered.join(crossing, _same(numbered, crossing, [*keys, CELL]), "left").select(
+        numbered["*"], crossing["_before"]
+    )
+    return shifted.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop(CELL, TIE, "_before")
 
 
 def rows_before(groups: DataFrame, key: str, size: str, out: str) -> DataFrame:

@@ -51,13 +51,23 @@ def replace_table(spark: SparkSession, database: str, name: str, df: DataFrame)
     """Store a new version of a table and return its row count, counted during the write.
 
     The new version is written beside the old one and swapped in by name, so the table being read
-    is never overwritten.
+    is never overwritten. The old version is dropped last; if the swap fails it gets its name back.
     """
     fresh = f"{database}.{name}_{uuid4().hex[:12]}"
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {database}.{name}")
+    current, aside = f"{database}.{name}", f"{fresh}_old"
+    there = spark.catalog.tableExists(current)
+    if there:
+        spark.sql(f"ALTER TABLE {current} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {current}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {current}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {aside}")
     return seen.get["rows"]
 
 

@@ -11,7 +11,7 @@ from ledgermap.operators.documents import BATCH_ROWS, double_entry, header_detai
 from ledgermap.operators.lookup import base_account_targets, existing_keys, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line, included_jobs, look_up
 from ledgermap.plans.seeds import accounts
-from ledgermap.sources.tables import Params
+from ledgermap.sources.tables import Params, in_months
 
 c = F.col
 
@@ -39,9 +39,8 @@ def job_cost_memo() -> Column:
 
 def cost_rows(src: Tables, params: Params) -> DataFrame:
     """Costs up to the cutoff that are no commitment and have a debit account."""
-    return src["jc_transaction"].filter(
+    return in_months(src["jc_transaction"], "Accounting_Date", None, params.date("GL03_DETAIL_STOP")).filter(
         (c("Commitment") == "")
-        & (c("Accounting_Date") <= F.lit(params.date("GL03_DETAIL_STOP")))
         & c("Transaction_Type").isin(*COST_KINDS)
         & (c("Debit_Account") != "")
     )

@@ -20,7 +20,7 @@ from ledgermap.operators.documents import header_detail, sides
 from ledgermap.operators.lookup import MISSING_ACCOUNT, base_account_targets, existing_keys, latest_per, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line
 from ledgermap.plans.seeds import accounts
-from ledgermap.sources.tables import Params
+from ledgermap.sources.tables import Params, in_months
 
 c = F.col
 FIRST_DAY = dt.date(1980, 1, 1)
@@ -93,9 +93,7 @@ def _label_join(df: DataFrame, labels: DataFrame, strict_keys: bool) -> DataFram
 
 
 def _window(src: Tables, start: dt.date, stop: dt.date) -> DataFrame:
-    return src["gl_transaction"].filter(
-        c("Accounting_Date").between(F.lit(start), F.lit(stop)) & (c("Accrual_or_Cash") == "Accrual")
-    )
+    return in_months(src["gl_transaction"], "Accounting_Date", start, stop).filter(c("Accrual_or_Cash") == "Accrual")
 
 
 def _net_per_account(

@@ -256,6 +256,23 @@ def _activity_label(adjustment: Column) -> Column:
     )
 
 
+# What stands before the reference columns.
+ACTIVITY_LABELS = {
+    "_legacy": "LG_CUST | ",
+    "_t02": "LG_JOB_ID | ",
+    "_t03": "LG_JOB_DESC | ",
+    "_t04": "LG_TRANS_TYPE | ",
+    "_t05": "LG_STS_TYP | ",
+    "_t06": "LG_TRN_TYP | ",
+    "_t07": "LG_AMT_TYP | ",
+    "_t08": "LG_EDT_TYP | ",
+    "_t09": "LG_ACT_TYP | ",
+    "_t10": "LG_EXTRA | ",
+    "_t11": "LG_CRD_ACCT | ",
+    "_t12": "LG_TRAN_TYPE | ",
+    "_t14": "LG_CUST_NME | ",
+    "_t15": "LG_CONT | ",
+}
 ACTIVITY_TAGS = [f"_t{i:02d}" for i in (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 15)]
 ACTIVITY_ORDER = [*ACTIVITY_TAGS, "_legacy", "_date", "_due", "_price", "_retained", "_entity", "_project", "_memo"]
 
@@ -306,7 +323,7 @@ def ar_activity_by_basis(
 
     named = df.select(
         "Data_Folder_Id",
-        tag("LG_CUST | ", c("Customer")).alias("_legacy"),
+        c("Customer").alias("_legacy"),
         shown_date.alias("_raw_date"),
         c("Accounting_Date").alias("_raw_posting"),
         _document_number(options).alias("_document"),
@@ -317,25 +334,27 @@ def ar_activity_by_basis(
         (earned + withheld).alias("_price"),
         held.alias("_retained"),
         F.coalesce("_copies", F.lit(1)).cast("decimal(18,0)").alias("_copies"),
-        tag("LG_JOB_ID | ", c("Job")).alias("_t02"),
-        tag("LG_JOB_DESC | ", c("_job_name")).alias("_t03"),
-        tag("LG_TRANS_TYPE | ", _activity_label(c("Adjustment_Type"))).alias("_t04"),
-        tag("LG_STS_TYP | ", c("Status_Type")).alias("_t05"),
-        tag("LG_TRN_TYP | ", kind).alias("_t06"),
-        tag("LG_AMT_TYP | ", amount_type).alias("_t07"),
-        tag("LG_EDT_TYP | ", c("Edit_Type")).alias("_t08"),
-        tag("LG_ACT_TYP | ", c("_activity")).alias("_t09"),
-        tag("LG_EXTRA | ", c("Extra")).alias("_t10"),
-        tag("LG_CRD_ACCT | ", c("Credit_Account__Accrual")).alias("_t11"),
-        tag("LG_TRAN_TYPE | ", _activity_label(blank_if_null(c("Adjustment_Type")))).alias("_t12"),
-        tag("LG_CUST_NME | ", c("_name")).alias("_t14"),
-        tag("LG_CONT | ", c("Contract")).alias("_t15"),
+        c("Job").alias("_t02"),
+        c("_job_name").alias("_t03"),
+        _activity_label(c("Adjustment_Type")).alias("_t04"),
+        c("Status_Type").alias("_t05"),
+        kind.alias("_t06"),
+        amount_type.alias("_t07"),
+        c("Edit_Type").alias("_t08"),
+        c("_activity").alias("_t09"),
+        c("Extra").alias("_t10"),
+        c("Credit_Account__Accrual").alias("_t11"),
+        _activity_label(blank_if_null(c("Adjustment_Type"))).alias("_t12"),
+        c("_name").alias("_t14"),
+        c("Contract").alias("_t15"),
     )
     totals = {"_price": F.sum(c("_price") * c("_copies")), "_retained": F.sum(c("_retained") * c("_copies"))}
     keys = [n for n in named.columns if n not in (*totals, "_copies", "_memo")]
-    # Summed per label set first; the entities of the folder then repeat or add up these sums.
-    summed = named.groupBy(*keys).agg(
-        *[v.cast(MONEY).alias(n) for n, v in totals.items()], F.max("_memo").alias("_memo")
+    # Summed per label set and memo by hashing, as a maximum of text would have the rows sorted;
+    # the entities of the folder then repeat or add up the sums per label set.
+    by_memo = named.groupBy(*keys, "_memo").agg(*[v.cast(MONEY).alias(n) for n, v in totals.items()])
+    summed = by_memo.groupBy(*keys).agg(
+        *[F.sum(n).cast(MONEY).alias(n) for n in totals], F.max("_memo").alias("_memo")
     )
     entities = maps["entity"].groupBy("data_folder_id", "new_entity_id").agg(F.count("*").alias("_n"))
     spread = translate(
@@ -349,6 +368,7 @@ def ar_activity_by_basis(
         iso_or_blank(c("_raw_due")).alias("_due"),
     ).withColumns(
         {
+            **{n: tag(label, c(n)) for n, label in ACTIVITY_LABELS.items()},
             "_customer": blank_if_null(c("_customer")),
             "_price": (c("_price") * times).cast(MONEY),
             "_retained": (c("_retained") * times).cast(MONEY),

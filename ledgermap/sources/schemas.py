@@ -1,7 +1,8 @@
 """Column contracts of the landed source tables and of the translation tables.
 
 Only the columns that a dataset reads are listed. ``conform`` adds the ones a landed table lacks,
-so an extract that leaves out a copied-through column still works.
+so an extract that leaves out a copied-through column still works; one that leaves out a key, a
+filter or an amount is refused, since its datasets would come out empty or wrong without a word.
 """
 
 from __future__ import annotations
@@ -213,14 +214,54 @@ def mapping_schema(name: str) -> StructType:
     return StructType.fromDDL(MAPPINGS[name])
 
 
+#: Keys, filters and amounts, without which a table is refused; the folder is one of every table.
+REQUIRED: dict[str, str] = {
+    "ap_distribution": "Vendor Invoice Amount Amount_Paid Retainage",
+    "ap_invoice": "Vendor Invoice Status",
+    "vendor": "Vendor",
+    "ar_activity": "Customer Status_Type Status_Date Status_Seq Activity_Type Retainage_Held Retainage_Billed",
+    "ar_status": "Customer Status_Type Status_Date Status_Seq Status",
+    "ar_transaction": "Customer Status_Type Status_Date Status_Seq Amount Retainage Amount_Type Transaction_Type "
+    "Accounting_Date",
+    "customer": "Customer",
+    "bank_account": "Bank_Account",
+    "bank_register": "Bank_Account Subtraction Addition",
+    "contract": "Contract",
+    "contract_item": "Contract Contract_Item Job",
+    "gl_account": "Account",
+    "base_account": "Base_Account",
+    "gl_transaction": "Account Accounting_Date Batch Accrual_or_Cash Debit Credit",
+    "job": "Job",
+    "job_category": "Job Extra Cost_Code Category",
+    "job_cost_code": "Job Extra Cost_Code",
+    "std_category": "Category",
+    "std_cost_code": "Cost_Code",
+    "jc_transaction": "Job Extra Cost_Code Category Accounting_Date Transaction_Type Commitment Amount Debit_Account",
+    "employee": "Employee",
+}
+
+
 def _add_missing(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     present = {c.lower() for c in df.columns}
     return df.withColumns({n: F.lit(None).cast(k) for n, k in wanted.items() if n.lower() not in present})
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Add the columns of source table ``name`` that ``df`` lacks, as NULL."""
-    return _add_missing(df, SOURCES[name].columns())
+    """Add the columns of source table ``name`` that ``df`` lacks, as NULL; amounts become DECIMAL.
+
+    A table without one of its ``REQUIRED`` columns is refused.
+    """
+    present = {c.lower(): c for c in df.columns}
+    lacking = [n for n in ("Data_Folder_Id", *REQUIRED.get(name, "").split()) if n.lower() not in present]
+    if lacking:
+        raise ValueError(f"{SOURCES[name].physical} lacks {', '.join(lacking)}")
+    amounts = {n: k for n, k in SOURCES[name].columns().items() if k.startswith("decimal")}
+    inexact = {
+        present[n.lower()]: F.col(present[n.lower()]).cast(k)
+        for n, k in amounts.items()
+        if n.lower() in present and dict(df.dtypes)[present[n.lower()]] in ("double", "float")
+    }
+    return _add_missing(df.withColumns(inexact), SOURCES[name].columns())
 
 
 def conform_mapping(df: DataFrame, name: str) -> DataFrame:

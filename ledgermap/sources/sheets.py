@@ -209,18 +209,28 @@ SHEETS: dict[str, Sheet] = {
 def load_sheet(spark: SparkSession, path: str, sheet: Sheet) -> DataFrame:
     """The cells of a sheet saved as CSV, as text, with their position; no row is left out.
 
-    One column beyond the printed ones is read as well, because that is where rows get marked.
+    Columns beyond the printed ones are where rows get marked. All of them are read: the last one
+    with a filled cell, however far right, becomes ``EXTRA``. Cells may hold line breaks, so a file
+    is one task; sheets are edited by hand and small.
     """
-    names = [*sheet.columns, EXTRA]
-    raw = (
-        spark.read.schema(", ".join(f"`{n}` string" for n in names))
-        .options(header=True, multiLine=True, escape='"', mode="PERMISSIVE", enforceSchema=True)
+    options = {"multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
+    # a row that notes were written beside may be wider than the header
+    lines = spark.read.text(path).select(F.size(F.split("value", ",")).alias("n"))
+    width = max(lines.agg(F.max("n")).first()[0] or 0, len(sheet.columns) + 1)
+    beyond = [f"_right{i}" for i in range(width - len(sheet.columns))]
+    cells = (
+        spark.read.schema(", ".join(f"`{n}` string" for n in [*sheet.columns, *beyond]))
+        .options(header=True, enforceSchema=True, **options)
         .csv(path)
     )
+    filled = cells.agg(*[F.max(F.trim(n) != "").alias(n) for n in beyond]).first()
+    marked = [n for n in beyond if filled[n]]
+    extra = F.col(marked[-1]) if marked else F.lit(None).cast("string")
+    raw = cells.select(*[f"`{n}`" for n in sheet.columns], extra.alias(EXTRA), "_metadata")
     place = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
     )
-    return raw.select("*", place.alias(ROW))
+    return raw.select("*", place.alias(ROW)).drop("_metadata")
 
 
 def last_used_column(raw: DataFrame, sheet: Sheet) -> str:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermap.sources.workspace import clear
+
 
 def text_form(df: DataFrame) -> DataFrame:
     """Every column as text: NULL is blank, other values their exact text."""
@@ -63,4 +65,7 @@ def generate_imports(jobs: Mapping[str, ImportJob], out_dir: str) -> list[Outcom
             done.append(Outcome(name, rows=_write(jobs[name], f"{out_dir}/{name}")))
         except Exception as problem:  # reported per dataset, like a failed file
             done.append(Outcome(name, error=str(problem)))
+        finally:
+            if session := SparkSession.getActiveSession():
+                clear(session)
     return done

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,15 +62,23 @@ def lookup_1099(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TAX_FORMS, "form_type_1099_desc string, form_type_1099_code string")
 
 
-def source(spark: SparkSession, name: str, root: str, **options: str) -> DataFrame:
+def source(
+    spark: SparkSession, name: str, root: str, predicates: Sequence[str] | None = None, **options: str
+) -> DataFrame:
     """Scan a landed table: Parquet under ``root``, or over JDBC when ``root`` is a ``jdbc:`` address.
 
-    For JDBC pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` so that
-    the read is split. Filters and column lists reach either kind of source.
+    A JDBC read must be split: pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+    ``numPartitions``, or ``predicates``, a condition for each part. Filters and column lists reach
+    either kind of source.
     """
     physical = SOURCES[name].physical
     if root.startswith("jdbc:"):
-        df = spark.read.format("jdbc").options(url=root, dbtable=physical, **options).load()
+        if predicates:
+            df = spark.read.jdbc(root, physical, predicates=list(predicates), properties=options)
+        elif "partitionColumn" in options:
+            df = spark.read.format("jdbc").options(url=root, dbtable=physical, **options).load()
+        else:
+            raise ValueError("one connection would read the whole table: give partitionColumn or predicates")
     else:
         df = spark.read.options(**options).parquet(f"{root.rstrip('/')}/{physical}")
     if name == "bank_register" and "Check" in df.columns:
@@ -79,8 +87,33 @@ def source(spark: SparkSession, name: str, root: str, **options: str) -> DataFra
 
 
 def land(df: DataFrame, name: str, root: str) -> None:
-    """Write a source table split by folder, so that a run for some folders reads only those."""
-    df.write.mode("overwrite").partitionBy("Data_Folder_Id").parquet(f"{root.rstrip('/')}/{SOURCES[name].physical}")
+    """Write a source table split by folder, transactions also by month of their date.
+
+    A run for some folders reads only those, and one that says which months it needs
+    (``in_months``) only these.
+    """
+    parts = ["Data_Folder_Id"]
+    if name in MONTHLY:
+        df = df.withColumn(MONTH, F.year(MONTHLY[name]) * 100 + F.month(MONTHLY[name]))
+        parts.append(MONTH)
+    df.write.mode("overwrite").partitionBy(*parts).parquet(f"{root.rstrip('/')}/{SOURCES[name].physical}")
+
+
+# Dates that transactions are split by, and the column that holds the month.
+MONTHLY = {"gl_transaction": "Accounting_Date", "jc_transaction": "Accounting_Date", "bank_register": "Accounting_Date"}
+MONTH = "posting_month"
+
+
+def in_months(df: DataFrame, date: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    """Rows with ``first <= date <= last``; of a table landed by month only those months are read."""
+    rows = df.filter(F.col(date) <= F.lit(last))
+    if first is not None:
+        rows = rows.filter(F.col(date) >= F.lit(first))
+    if MONTH in df.columns:
+        rows = rows.filter(F.col(MONTH) <= last.year * 100 + last.month)
+        if first is not None:
+            rows = rows.filter(F.col(MONTH) >= first.year * 100 + first.month)
+    return rows
 
 
 def mapping(spark: SparkSession, name: str, database: str) -> DataFrame:
@@ -88,7 +121,16 @@ def mapping(spark: SparkSession, name: str, database: str) -> DataFrame:
     return conform_mapping(spark.table(f"{database}.{name}"), name)
 
 
-PARAMETER_LIMIT = 1000
+# Parameter names.
+PARAMETER_NAMES = [
+    "COMPANY_ID",
+    "DEFAULT_GL_OUTAGE_ACCOUNT",
+    "GL01_BALANCE_END",
+    "GL02_MONTHLY_START",
+    "GL02_MONTHLY_STOP",
+    "GL03_DETAIL_START",
+    "GL03_DETAIL_STOP",
+]
 
 
 @dataclass(frozen=True)
@@ -109,11 +151,10 @@ def param_date(params: Params, name: str) -> dt.date:
     return params.date(name)
 
 
-def read_params(table: DataFrame, **options) -> Params:
-    """Bring the parameter table to the driver; it holds one row per setting."""
-    rows = table.select("field_name", "field_value").limit(PARAMETER_LIMIT + 1).collect()
-    if len(rows) > PARAMETER_LIMIT:
-        raise ValueError("the parameter table is too large to be one")
+def read_params(table: DataFrame, names: Sequence[str] | None = None, **options) -> Params:
+    """Bring the named parameters to the driver; by default those that the datasets use."""
+    wanted = table.filter(F.col("field_name").isin(*(PARAMETER_NAMES if names is None else names)))
+    rows = wanted.groupBy("field_name").agg(F.max("field_value").alias("field_value")).collect()
     return Params({r.field_name: r.field_value for r in rows}, **options)
 
 

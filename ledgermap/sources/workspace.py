@@ -1,35 +1,23 @@
 """A shared folder for tables written between two steps of one job.
 
-On a cluster the folder is the one that ``spark.checkpoint.dir`` names, so that any executor can
-read it and a lost executor costs nothing. A local session without the setting gets a temporary
-folder that is removed when Python ends.
+It is the one that ``spark.checkpoint.dir`` names, so that any executor can read it and a lost
+executor costs nothing. There is no other: a session without the setting is refused.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    global _local_root
-    configured = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", ""
-    )
-    if configured:
-        return f"{configured.rstrip('/')}/ledgermap-{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="ledgermap-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    configured = spark.conf.get(SETTING, None)
+    if not configured:
+        raise RuntimeError(f"set {SETTING} to a folder that driver and executors share")
+    return f"{configured.rstrip('/')}/ledgermap-{spark.sparkContext.applicationId}"
 
 
 WORK, LANDED = "work", "landed"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,12 +10,14 @@ from pyspark.sql import functions as F
 from checks.compare import compare, duck
 from checks.expected import EXPECTED
 from checks.queries import QUERIES
-from ledgermap.operators.numbering import HOT_ROWS_SETTING, MAX_CELLS_SETTING
+from ledgermap.operators.numbering import number_lines
 from ledgermap.plans import jobcost, ledger, masters, payables, receivables
 from ledgermap.plans.common import verbatim_header
 from ledgermap.plans.registry import ARCHIVED, DATASETS, run_all
+from ledgermap.sources.schemas import conform
 from ledgermap.sources.sink import ImportJob, generate_imports
 from ledgermap.sources.tables import Params, land, source as read_source
+from ledgermap.sources.workspace import shared_root
 from tests.conftest import SF
 
 # Number of columns in each dataset's contract.
@@ -67,14 +70,12 @@ def test_widths(contract):
 
 
 @pytest.mark.parametrize("name", HOT)
-def test_hot_documents_change_nothing(spark, tables, name):
-    spark.conf.set(HOT_ROWS_SETTING, "4")
-    spark.conf.set(MAX_CELLS_SETTING, "8")
+def test_documents_over_many_cells_change_nothing(spark, name):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         assert compare(spark, duck(SF), SF, QUERIES[name], EXPECTED[name]) == []
     finally:
-        spark.conf.unset(HOT_ROWS_SETTING)
-        spark.conf.unset(MAX_CELLS_SETTING)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_debit_minus_credit_is_net(tables):
@@ -252,6 +253,31 @@ def test_one_failure_does_not_stop_the_rest(spark, tmp_path):
     assert next((tmp_path / "a").glob("part-*.csv")).read_text() == "X,X\n,1\n"
 
 
+def test_no_work_is_left_behind(spark, tmp_path):
+    def failing():
+        return number_lines(spark.range(5).selectExpr("1 AS doc", "id"), ["doc"], ["id"]).filter(
+            F.raise_error(F.lit("no such row")).isNull()
+        )
+
+    done = generate_imports({"bad": ImportJob(failing, list)}, str(tmp_path))
+    assert done[0].error and not Path(shared_root(spark), "work").exists()
+
+
+def test_a_table_without_a_key_is_refused(spark):
+    with pytest.raises(ValueError, match="Commitment"):
+        conform(spark.createDataFrame([("F1", "J")], "Data_Folder_Id string, Job string"), "jc_transaction")
+    exact = conform(
+        spark.createDataFrame([("F1", "V", "I", 0.1, 0.2, 0.3)], "Data_Folder_Id string, Vendor string, Invoice string, Amount double, Amount_Paid double, Retainage double"),
+        "ap_distribution",
+    )
+    assert dict(exact.dtypes)["Amount"] == "decimal(18,2)" and "Job" in exact.columns
+
+
+def test_an_unsplit_database_read_is_refused(spark):
+    with pytest.raises(ValueError, match="partitionColumn"):
+        read_source(spark, "job", "jdbc:none")
+
+
 def test_filters_and_columns_reach_a_landed_table(spark, tables, tmp_path):
     land(tables.src["gl_transaction"], "gl_transaction", str(tmp_path))
     rows = read_source(spark, "gl_transaction", str(tmp_path))
@@ -260,4 +286,7 @@ def test_filters_and_columns_reach_a_landed_table(spark, tables, tmp_path):
     plan = df.filter("Data_Folder_Id = 'F1'").select("Debit")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(Accounting_Date" in plan and "EqualTo(Accrual_or_Cash,Accrual)" in plan
     assert re.search(r"PartitionFilters: \[[^\]]*Data_Folder_Id", plan)
+    assert re.search(r"PartitionFilters: \[[^\]]*posting_month", plan)
+    months = {int(f.split("posting_month=")[1].split("/")[0]) for f in df.select("_metadata.file_path").distinct().toPandas()["file_path"]}
+    assert months <= set(range(200001, 200012)) and months
     assert "Reference_1" not in plan.split("ReadSchema")[1]
