@@ -7,8 +7,12 @@ of the union filter the candidates, and the full sets verify them.
 
 Documents with equal sets are one node. Every list first links its members to its first one, which
 joins most groups of copies without looking at their pairs. After that only members of different
-components are compared, by size class and in blocks of bounded size, so that neither a common
-passage nor a large group of copies lands in one task; no list is cut short.
+components are compared, by size class and in blocks of bounded size; no list is cut short.
+
+A hash with a very long list stands in a passage that many texts share. Two texts at the threshold
+of which one has at most HOT_SHARE of its hashes in such passages also share rarer hashes, so
+that text lists more of those instead. Long lists keep the texts that consist mostly of
+common passages.
 """
 
 from __future__ import annotations
@@ -33,8 +37,13 @@ SKETCH = 64
 LISTED = 12
 #: Pairs whose union sketch is below this share (4.6 standard deviations below the threshold) go.
 LEAST_ESTIMATE = 0.5
-#: Members of a block; a task compares two blocks at a time.
+#: Members of a block; a task compares two blocks at a time. A longer list makes its hash a common one.
 BLOCK = 256
+#: A text with at most this share of common hashes lists so many rarer ones in their place. Then two
+#: texts at the threshold agree in 0.375 of their rarer hashes at least, and have none of those
+#: listed in common with a chance of 0.625 ** 24, about 1 in 80 000, in the worst case.
+HOT_SHARE = 0.6
+LISTED_RARE = 24
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -80,19 +89,37 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return found.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def _lists(nodes: DataFrame) -> DataFrame:
-    """``value, node, n``: each node in the lists of its least hashes."""
+def _lists(nodes: DataFrame, count: int) -> DataFrame:
+    """``value, node, n, place``: each node with ``count`` of its least hashes."""
 
     def work(columns: list, part: int) -> dict:
-        values = [np.frombuffer(s, np.int64)[:LISTED] for s in columns[2]]
+        values = [np.frombuffer(s, np.int64)[:count] for s in columns[2]]
         counts = [len(v) for v in values]
         return {
             "value": np.concatenate(values) if values else [],
             "node": np.repeat(np.array(columns[0], np.int64), counts),
             "n": np.repeat(np.array(columns[1], np.int64), counts),
+            "place": np.concatenate([np.arange(c) for c in counts]) if values else [],
         }
 
-    return arrow_rows(nodes.select("node", "n", "sketch"), work, "value long, node long, n long")
+    return arrow_rows(nodes.select("node", "n", "sketch"), work, "value long, node long, n long, place int")
+
+
+def _rarer_lists(lists: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``value, node, n``: ``lists`` with rarer hashes in place of common ones, as explained above."""
+    common = stored(lists.groupBy("value").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select("value"))
+    touched = stored(lists.join(common, "value", "left_semi").select("node").distinct())
+    marked = _lists(sketches.join(touched, "node"), SKETCH).join(
+        common.withColumn("common", F.lit(True)), "value", "left"
+    )
+    kinds = F.struct("place", "value", F.col("common").isNotNull().alias("common"))
+    whole = marked.groupBy("node", "n").agg(F.sort_array(F.collect_list(kinds)).alias("all"))
+    rare, often = F.filter("all", lambda x: ~x["common"]), F.filter("all", lambda x: x["common"])
+    chosen = F.when(F.size(often) <= HOT_SHARE * F.size("all"), F.slice(rare, 1, LISTED_RARE)).otherwise(
+        F.concat(F.slice(rare, 1, LISTED_RARE), F.slice(often, 1, LISTED))
+    )
+    again = whole.select("node", "n", F.explode(F.transform(chosen, lambda x: x["value"])).alias("value"))
+    return lists.join(touched, "node", "left_anti").select("value", "node", "n").unionByName(again)
 
 
 def _similar_size(a: str, b: str):
@@ -171,39 +198,61 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
     """Edges between members of one list in different components that their sketches let pass.
 
     A list is dealt by size class (sizes within the threshold lie in one class or in two next to
-    each other), and each part into blocks; every two blocks meet in a group of bounded size.
+    each other). In each part the members of the largest component need not meet each other: their
+    blocks meet the blocks of the others, and those meet among themselves. Every group that a task
+    compares holds two blocks.
     """
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / PERCENT))).cast("int")
     placed = lists.select("value", "node", "n", "comp", F.explode(F.array(band, band - 1)).alias("part"), band.alias("band"))
-    sizes = placed.groupBy("value", "part").agg(
-        F.ceil(F.count("*") / BLOCK).alias("blocks"),
-        F.min("comp").alias("low"),
-        F.max("comp").alias("high"),
-        F.max((F.col("band") == F.col("part")).cast("int")).alias("home"),
+    per_comp = placed.groupBy("value", "part", "comp").agg(
+        F.count("*").alias("size"), F.max((F.col("band") == F.col("part")).cast("int")).alias("home")
     )
-    sizes = sizes.filter("low <> high AND home = 1").drop("low", "high", "home")
-    dealt = (
-        placed.join(sizes, ["value", "part"])
-        .withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    sizes = (
+        per_comp.groupBy("value", "part")
+        .agg(
+            F.max(F.struct("size", "comp")).alias("main"),
+            F.sum("size").alias("all"),
+            F.max("home").alias("home"),
+        )
+        .filter("home = 1 AND all > main.size")
         .select(
             "value",
             "part",
-            F.least("own", "other").alias("first"),
-            F.greatest("own", "other").alias("second"),
-            "own",
-            "node",
-            "n",
-            "comp",
-            (F.col("band") == F.col("part")).alias("home"),
+            F.col("main.comp").alias("main"),
+            F.ceil(F.col("main.size") / BLOCK).alias("main_blocks"),
+            F.ceil((F.col("all") - F.col("main.size")) / BLOCK).alias("other_blocks"),
         )
     )
+
+    def each(count: str, make):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(count) - 1), make)
+
+    def group(first, second):
+        return F.struct(first.cast("long").alias("first"), second.cast("long").alias("second"))
+
+    own = F.col("own")
+    dealt = (
+        placed.join(sizes, ["value", "part"])
+        .withColumn("is_main", F.col("comp") == F.col("main"))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("other_blocks"))))
+        # a second block below zero is one of the others beside a block of the largest component
+        .withColumn(
+            "groups",
+            F.when(F.col("is_main"), each("other_blocks", lambda j: group(own, -1 - j))).otherwise(
+                F.concat(
+                    each("main_blocks", lambda i: group(i, -1 - own)),
+                    each("other_blocks", lambda j: group(F.least(own, j), F.greatest(own, j))),
+                )
+            ),
+        )
+        .select("value", "part", "own", "node", "n", "comp", "is_main", (F.col("band") == F.col("part")).alias("home"), F.inline("groups"))
+    )
     keys = ["value", "part", "first", "second"]
     ready = (
         dealt.join(sketches.select("node", "sketch"), "node")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .select(*keys, "own", "node", "n", "comp", "home", "sketch")
+        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "sketch")
     )
     schema = _arrow("a long, b long")
 
@@ -217,42 +266,46 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:4] != key:
-                    if held:
+                    if len(held) > 1:
                         yield flush()
                     key, held = row[:4], []
                 held.append(row[4:])
-        if held:
+        if len(held) > 1:
             yield flush()
 
     return ready.mapInArrow(run, "a long, b long").distinct()
 
 
 def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
-    value, _, first, second = key
-    own, node, n, comp, home = (np.array(c) for c in list(zip(*held))[:5])
-    sketches = [np.frombuffer(row[5], np.int64) for row in held]
+    _, _, first, second = key
+    own, node, n, comp, home, main = (np.array(c) for c in list(zip(*held))[:6])
+    wanted = comp[:, None] != comp[None, :]
+    wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
+    # two of the class itself, or one of it and one of the next class
+    wanted &= home[:, None] | home[None, :]
+    if second < 0:
+        wanted &= main[:, None] != main[None, :]
+    elif first != second:
+        wanted &= own[:, None] != own[None, :]
+    wanted = np.triu(wanted, 1)
+    used = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
+    if not len(used):
+        return []
+    wanted, node = wanted[np.ix_(used, used)], node[used]
+    sketches = [np.frombuffer(held[i][6], np.int64) for i in used]
     sizes = np.array([len(s) for s in sketches])
     kinds, place = np.unique(np.concatenate(sketches), return_inverse=True)
     often = np.bincount(place) > 1
     column = np.cumsum(often) - 1
     keep = often[place]
-    holds = np.zeros((len(held), int(often.sum())), np.float32)
-    holds[np.repeat(np.arange(len(held)), sizes)[keep], column[place[keep]]] = 1
-    common = holds @ holds.T
-    wanted = common >= 0.5 * LEAST_ESTIMATE * np.minimum(sizes[:, None], sizes[None, :])
-    wanted &= comp[:, None] != comp[None, :]
-    wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
-    # two of the class itself, or one of it and one of the next class; in different blocks unless it is one
-    wanted &= home[:, None] | home[None, :]
-    if first != second:
-        wanted &= own[:, None] != own[None, :]
-    pairs = []
-    for i, j in zip(*np.nonzero(np.triu(wanted, 1))):
-        a, b = sketches[i], sketches[j]
-        # a pair comes from the list of its least common hash alone
-        if np.intersect1d(a[:LISTED], b[:LISTED], assume_unique=True)[0] == value and _estimate(a, b) >= LEAST_ESTIMATE:
-            pairs.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
-    return pairs
+    holds = np.zeros((len(used), int(often.sum())), np.float32)
+    holds[np.repeat(np.arange(len(used)), sizes)[keep], column[place[keep]]] = 1
+    wanted &= holds @ holds.T >= 0.5 * LEAST_ESTIMATE * np.minimum(sizes[:, None], sizes[None, :])
+    return [
+        (int(min(node[i], node[j])), int(max(node[i], node[j])))
+        for i, j in zip(*np.nonzero(wanted))
+        if _estimate(sketches[i], sketches[j]) >= LEAST_ESTIMATE
+    ]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = members.filter("row = node").select("node", "n", "label", "sig", F.col("doc_id").alias("id"))
     sketches = stored(nodes.join(rows.select(F.col("row").alias("node"), "sketch"), "node"))
 
-    lists = _lists(sketches)
+    every = stored(_lists(sketches, LISTED))
+    lists = every
     firsts = lists.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
     lists = stored(
         lists.join(firsts.filter("size > 1"), "value").select(
@@ -306,8 +360,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(_verified(stars, sets))
     drop_stored(sets, stars)
     comps = components(links)
-    labelled = lists.join(comps, "node", "left").select("value", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    pairs = stored(_block_pairs(stored(labelled), sketches))
+    lists = _rarer_lists(every, sketches)
+    shared = lists.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
+    lists = lists.join(shared, "value").join(comps, "node", "left")
+    lists = stored(lists.select("value", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    pairs = stored(_block_pairs(lists, sketches))
     sets = sets_of(pairs)
     more = stored(_verified(pairs, sets))
     drop_stored(sets, pairs)
