@@ -37,6 +37,8 @@ PRIOR = 10.0
 THRESHOLD = 0.7
 #: Score of a token outside the lexicon.
 GAP = -0.02
+#: Evidence beyond this says nothing more, so that very toxic documents do not flatten the curve.
+MOST_EVIDENCE = 15.0
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -110,7 +112,7 @@ class Model:
         return self.decay * score - math.log(max(self.k * length, 1e-12))
 
     def evidence(self, segments: list[tuple[int, int, float]], length: int) -> float:
-        return min(sum(max(self.excess(s, length), 0.0) for _, _, s in segments), 50.0)
+        return min(sum(max(self.excess(s, length), 0.0) for _, _, s in segments), MOST_EVIDENCE)
 
     def chance(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-(self.slope * evidence + self.offset)))
