@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ledgermap.functions.parse import compose_memo
 from ledgermap.functions.semantics import blank_if_null, iso, joined, joined_or_blank, money_text, tag, text
 from ledgermap.operators.documents import BATCH_ROWS, double_entry, header_detail, pack_batches
-from ledgermap.operators.lookup import base_account_targets, existing_keys, translate
+from ledgermap.operators.lookup import existing_keys, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line, included_jobs, look_up
-from ledgermap.plans.seeds import accounts
+from ledgermap.plans.ledger import segment_targets
 from ledgermap.sources.tables import Params, in_months
 
 c = F.col
@@ -53,10 +53,12 @@ def live_costs(src: Tables, params: Params) -> DataFrame:
 
 
 def _account_copies(src: Tables, maps: Tables) -> DataFrame:
-    """How often an account matches the account translation; every cost row counts that often."""
-    chart = accounts(src).select("data_folder_id", "account", "baseaccount")
+    """How often an account matches the account, location and department translations together.
+
+    Every cost row counts that often.
+    """
     return (
-        base_account_targets(chart, maps["base_account"])
+        segment_targets(src, maps)
         .groupBy("data_folder_id", "account")
         .agg(F.sum("copies").alias("_copies"))
         .filter(c("_copies") > 1)

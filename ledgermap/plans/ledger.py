@@ -40,13 +40,19 @@ def _segment_map(maps: Tables, name: str) -> DataFrame:
     return maps[name].filter((c(old) != "") & (c(new) != "")).select(old, new, "data_folder_id").distinct()
 
 
-def account_targets(src: Tables, maps: Tables) -> DataFrame:
-    """Per ledger account: new account, location, department and entity, with copies counted."""
+def segment_targets(src: Tables, maps: Tables) -> DataFrame:
+    """Ledger accounts with new account, location and department; a row for each combination of matches."""
     chart = accounts(src).select("data_folder_id", "account", "baseaccount", "prefixa", "prefixabc")
     df = base_account_targets(chart, maps["base_account"])
     for name in ("location", "department"):
         on = {"prefixabc": f"legacy_{name}_id", "data_folder_id": "data_folder_id"}
         df = translate(df, _segment_map(maps, name), on, {f"_{name}": f"new_{name}_id"}, {f"_{name}": ""})
+    return df
+
+
+def account_targets(src: Tables, maps: Tables) -> DataFrame:
+    """Per ledger account: new account, location, department and entity, with copies counted."""
+    df = segment_targets(src, maps)
     entity = {"prefixa": "legacy_entity_id", "data_folder_id": "data_folder_id"}
     df = translate(df, maps["entity"], entity, {"_entity": "new_entity_id"})
     return df.groupBy("data_folder_id", "account", "acct_no", "_location", "_department", "_entity").agg(

@@ -14,6 +14,7 @@ from ledgermap.operators.numbering import number_lines
 from ledgermap.plans import jobcost, ledger, masters, payables, receivables
 from ledgermap.plans.common import verbatim_header
 from ledgermap.plans.registry import ARCHIVED, DATASETS, run_all
+from ledgermap.plans.seeds import accounts
 from ledgermap.sources.schemas import conform
 from ledgermap.sources.sink import ImportJob, generate_imports
 from ledgermap.sources.tables import Params, land, source as read_source
@@ -290,3 +291,27 @@ def test_filters_and_columns_reach_a_landed_table(spark, tables, tmp_path):
     months = {int(f.split("posting_month=")[1].split("/")[0]) for f in df.select("_metadata.file_path").distinct().toPandas()["file_path"]}
     assert months <= set(range(200001, 200012)) and months
     assert "Reference_1" not in plan.split("ReadSchema")[1]
+
+
+def test_two_targets_of_a_prefix_count_each_cost_twice(tables):
+    def copies(maps):
+        found = ledger.segment_targets(tables.src, maps).filter("prefixabc <> ''").groupBy("data_folder_id", "account")
+        return {(r[0], r[1]): r[2] for r in found.agg(F.sum("copies")).collect()}
+
+    maps = {name: tables.maps[name] for name in tables.maps}
+    prefixes = accounts(tables.src).select("data_folder_id", "prefixabc").distinct()
+    two = maps | {
+        "location": prefixes.select(
+            "data_folder_id",
+            F.col("prefixabc").alias("legacy_location_id"),
+            F.explode(F.array(F.lit("L1"), F.lit("L2"))).alias("new_location_id"),
+        )
+    }
+    once = copies(maps)
+    assert once and copies(two) == {account: 2 * n for account, n in once.items()}
+
+    def total(maps):
+        entries = jobcost.job_cost_entries(tables.src, maps, tables.params)
+        return entries.agg(F.sum(F.col("debit") + F.col("credit")).alias("v")).first().v
+
+    assert total(two) > total(maps) > 0
