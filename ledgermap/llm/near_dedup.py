@@ -40,10 +40,12 @@ LEAST_ESTIMATE = 0.5
 #: Members of a block; a task compares two blocks at a time. A longer list makes its hash a common one.
 BLOCK = 256
 #: A text with at most this share of common hashes lists so many rarer ones in their place. Then two
-#: texts at the threshold agree in 0.375 of their rarer hashes at least, and have none of those
-#: listed in common with a chance of 0.625 ** 24, about 1 in 80 000, in the worst case.
-HOT_SHARE = 0.6
-LISTED_RARE = 24
+#: texts at the threshold agree in (0.75 - 0.4) / (1 - 0.4) of their rarer hashes at least, and have
+#: none of those listed in common with a chance of about 0.42 ** 16, one in a million.
+HOT_SHARE = 0.4
+LISTED_RARE = 16
+#: Groups of at most so many members are compared pair by pair instead of by matrices.
+FEW = 24
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -128,10 +130,15 @@ def _similar_size(a: str, b: str):
 
 def _estimate(a: np.ndarray, b: np.ndarray) -> float:
     """Share of the union's least hashes that both sketches hold."""
-    union = np.union1d(a, b)[: max(SKETCH, 1)]
-    if len(a) < SKETCH and len(b) < SKETCH:
-        union = np.union1d(a, b)
-    return float(np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).mean())
+    merged = np.sort(np.concatenate([a, b]))
+    twice = merged[1:] == merged[:-1]
+    both = int(np.count_nonzero(twice))
+    union = len(merged) - both
+    if union > SKETCH and max(len(a), len(b)) == SKETCH:
+        # the sketches know no more than so many hashes of the union
+        last = int(np.searchsorted(np.cumsum(~twice), SKETCH))
+        both, union = int(np.count_nonzero(twice[: last + 1])), SKETCH
+    return both / union
 
 
 def _passing(edges: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -278,6 +285,8 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     _, _, first, second = key
+    if len(held) <= FEW:
+        return _compare_few(held)
     own, node, n, comp, home, main = (np.array(c) for c in list(zip(*held))[:6])
     wanted = comp[:, None] != comp[None, :]
     wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
@@ -308,6 +317,18 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     ]
 
 
+def _compare_few(held: list[tuple]) -> list[tuple[int, int]]:
+    """The same for a small group; pairs that another group compares too do no harm."""
+    pairs = []
+    for i, (_, node, n, comp, home, _, sketch) in enumerate(held):
+        for _, other, m, other_comp, other_home, _, other_sketch in held[:i]:
+            if comp == other_comp or not (home or other_home) or min(n, m) * 100 < max(n, m) * PERCENT:
+                continue
+            if _estimate(np.frombuffer(sketch, np.int64), np.frombuffer(other_sketch, np.int64)) >= LEAST_ESTIMATE:
+                pairs.append((min(node, other), max(node, other)))
+    return pairs
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``.
 
