@@ -7,6 +7,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -135,6 +136,20 @@ def test_near_crowded(make_docs, crowded, monkeypatch, block):
     assert as_set(near_duplicates(make_docs(*crowded)).collect()) == as_set(plain_near(crowded))
 
 
+def test_matrices_find_what_pairs_find(monkeypatch):
+    pick = random.Random(3)
+    base = sorted(pick.sample(range(10**6), 90))
+    held = []
+    for node in range(60):
+        own = set(base) - set(pick.sample(base, pick.randrange(0, 40)))
+        own |= set(pick.sample(range(10**6), pick.randrange(0, 40)))
+        sketch = np.array(sorted(own)[: near_dedup.SKETCH], np.int64)
+        held.append((0, node, len(own), node % 7, pick.random() < 0.7, False, sketch.tobytes()))
+    want = sorted(near_dedup._compare_few(held))
+    monkeypatch.setattr(near_dedup, "FEW", 0)
+    assert sorted(near_dedup._compare((1, 2, 0, 0), held)) == want and want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 70), (200, 201)]
     got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
