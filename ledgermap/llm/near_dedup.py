@@ -39,10 +39,10 @@ LISTED = 12
 LEAST_ESTIMATE = 0.5
 #: Members of a block; a task compares two blocks at a time. A longer list makes its hash a common one.
 BLOCK = 256
-#: A text with at most this share of common hashes lists so many rarer ones in their place. Then two
-#: texts at the threshold agree in (0.75 - 0.4) / (1 - 0.4) of their rarer hashes at least, and have
-#: none of those listed in common with a chance of about 0.42 ** 16, one in a million.
-HOT_SHARE = 0.4
+#: A text of whose listed hashes at most this share is common lists further ones in their place, up
+#: to so many. Two texts at the threshold agree in (0.75 - 0.34) / (1 - 0.34) of their rarer hashes
+#: at least, and have none of those listed in common with a chance of about 0.38 ** 16.
+HOT_SHARE = 0.34
 LISTED_RARE = 16
 #: Groups of at most so many members are compared pair by pair instead of by matrices.
 FEW = 24
@@ -92,7 +92,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _lists(nodes: DataFrame, count: int) -> DataFrame:
-    """``value, node, n, place``: each node with ``count`` of its least hashes."""
+    """``value, node, n``: each node with ``count`` of its least hashes."""
 
     def work(columns: list, part: int) -> dict:
         values = [np.frombuffer(s, np.int64)[:count] for s in columns[2]]
@@ -101,27 +101,42 @@ def _lists(nodes: DataFrame, count: int) -> DataFrame:
             "value": np.concatenate(values) if values else [],
             "node": np.repeat(np.array(columns[0], np.int64), counts),
             "n": np.repeat(np.array(columns[1], np.int64), counts),
-            "place": np.concatenate([np.arange(c) for c in counts]) if values else [],
         }
 
-    return arrow_rows(nodes.select("node", "n", "sketch"), work, "value long, node long, n long, place int")
+    return arrow_rows(nodes.select("node", "n", "sketch"), work, "value long, node long, n long")
 
 
 def _rarer_lists(lists: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``value, node, n``: ``lists`` with rarer hashes in place of common ones, as explained above."""
-    common = stored(lists.groupBy("value").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select("value"))
-    touched = stored(lists.join(common, "value", "left_semi").select("node").distinct())
-    marked = _lists(sketches.join(touched, "node"), SKETCH).join(
-        common.withColumn("common", F.lit(True)), "value", "left"
+    """``value, node, n, plain``: ``lists`` with rarer hashes in place of common ones.
+
+    ``plain`` marks nodes that keep just the lists they had.
+    """
+    common = lists.groupBy("value").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK)
+    marked = lists.join(common.select("value", F.lit(1).alias("common")), "value", "left")
+    touched = stored(
+        marked.groupBy("node").agg(F.count("common").alias("often"), F.count("*").alias("all")).filter("often > 0")
     )
-    kinds = F.struct("place", "value", F.col("common").isNotNull().alias("common"))
-    whole = marked.groupBy("node", "n").agg(F.sort_array(F.collect_list(kinds)).alias("all"))
-    rare, often = F.filter("all", lambda x: ~x["common"]), F.filter("all", lambda x: x["common"])
-    chosen = F.when(F.size(often) <= HOT_SHARE * F.size("all"), F.slice(rare, 1, LISTED_RARE)).otherwise(
-        F.concat(F.slice(rare, 1, LISTED_RARE), F.slice(often, 1, LISTED))
+    kept = (
+        marked.join(touched, "node", "left")
+        .filter(F.col("common").isNull() | (F.col("often") > HOT_SHARE * F.col("all")))
+        .select("value", "node", "n", F.col("often").isNull().alias("plain"))
     )
-    again = whole.select("node", "n", F.explode(F.transform(chosen, lambda x: x["value"])).alias("value"))
-    return lists.join(touched, "node", "left_anti").select("value", "node", "n").unionByName(again)
+
+    def work(columns: list, part: int) -> dict:
+        further = [
+            np.frombuffer(sketch, np.int64)[LISTED : LISTED_RARE + often]
+            for _, _, often, sketch in zip(*columns)
+        ]
+        counts = [len(f) for f in further]
+        return {
+            "value": np.concatenate(further) if further else [],
+            "node": np.repeat(np.array(columns[0], np.int64), counts),
+            "n": np.repeat(np.array(columns[1], np.int64), counts),
+            "plain": np.zeros(sum(counts), bool),
+        }
+
+    rows = sketches.join(touched, "node").select("node", "n", "often", "sketch")
+    return kept.unionByName(arrow_rows(rows, work, "value long, node long, n long, plain boolean"))
 
 
 def _similar_size(a: str, b: str):
@@ -210,7 +225,7 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
     compares holds two blocks.
     """
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / PERCENT))).cast("int")
-    placed = lists.select("value", "node", "n", "comp", F.explode(F.array(band, band - 1)).alias("part"), band.alias("band"))
+    placed = lists.select("value", "node", "n", "comp", "plain", F.explode(F.array(band, band - 1)).alias("part"), band.alias("band"))
     per_comp = placed.groupBy("value", "part", "comp").agg(
         F.count("*").alias("size"), F.max((F.col("band") == F.col("part")).cast("int")).alias("home")
     )
@@ -252,14 +267,14 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
                 )
             ),
         )
-        .select("value", "part", "own", "node", "n", "comp", "is_main", (F.col("band") == F.col("part")).alias("home"), F.inline("groups"))
+        .select("value", "part", "own", "node", "n", "comp", "is_main", "plain", (F.col("band") == F.col("part")).alias("home"), F.inline("groups"))
     )
     keys = ["value", "part", "first", "second"]
     ready = (
         dealt.join(sketches.select("node", "sketch"), "node")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "sketch")
+        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "plain", "sketch")
     )
     schema = _arrow("a long, b long")
 
@@ -284,9 +299,9 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
-    _, _, first, second = key
+    value, _, first, second = key
     if len(held) <= FEW:
-        return _compare_few(held)
+        return _compare_few(value, held)
     own, node, n, comp, home, main = (np.array(c) for c in list(zip(*held))[:6])
     wanted = comp[:, None] != comp[None, :]
     wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
@@ -301,7 +316,8 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     if not len(used):
         return []
     wanted, node = wanted[np.ix_(used, used)], node[used]
-    sketches = [np.frombuffer(held[i][6], np.int64) for i in used]
+    sketches = [np.frombuffer(held[i][7], np.int64) for i in used]
+    plain = [held[i][6] for i in used]
     sizes = np.array([len(s) for s in sketches])
     kinds, place = np.unique(np.concatenate(sketches), return_inverse=True)
     often = np.bincount(place) > 1
@@ -313,18 +329,26 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     return [
         (int(min(node[i], node[j])), int(max(node[i], node[j])))
         for i, j in zip(*np.nonzero(wanted))
-        if _estimate(sketches[i], sketches[j]) >= LEAST_ESTIMATE
+        if _passes(value, sketches[i], sketches[j], plain[i] and plain[j])
     ]
 
 
-def _compare_few(held: list[tuple]) -> list[tuple[int, int]]:
+def _passes(value: int, a: np.ndarray, b: np.ndarray, plain: bool) -> bool:
+    """Whether the sketches are close enough; of two plain nodes only the first common list tells."""
+    if plain and np.intersect1d(a[:LISTED], b[:LISTED], assume_unique=True)[0] != value:
+        return False
+    return _estimate(a, b) >= LEAST_ESTIMATE
+
+
+def _compare_few(value: int, held: list[tuple]) -> list[tuple[int, int]]:
     """The same for a small group; pairs that another group compares too do no harm."""
     pairs = []
-    for i, (_, node, n, comp, home, _, sketch) in enumerate(held):
-        for _, other, m, other_comp, other_home, _, other_sketch in held[:i]:
+    for i, (_, node, n, comp, home, _, plain, sketch) in enumerate(held):
+        for _, other, m, other_comp, other_home, _, other_plain, other_sketch in held[:i]:
             if comp == other_comp or not (home or other_home) or min(n, m) * 100 < max(n, m) * PERCENT:
                 continue
-            if _estimate(np.frombuffer(sketch, np.int64), np.frombuffer(other_sketch, np.int64)) >= LEAST_ESTIMATE:
+            a, b = np.frombuffer(sketch, np.int64), np.frombuffer(other_sketch, np.int64)
+            if _passes(value, a, b, plain and other_plain):
                 pairs.append((min(node, other), max(node, other)))
     return pairs
 
@@ -384,7 +408,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = _rarer_lists(every, sketches)
     shared = lists.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
     lists = lists.join(shared, "value").join(comps, "node", "left")
-    lists = stored(lists.select("value", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    lists = stored(lists.select("value", "node", "n", "plain", F.coalesce("comp", "node").alias("comp")))
     pairs = stored(_block_pairs(lists, sketches))
     sets = sets_of(pairs)
     more = stored(_verified(pairs, sets))

@@ -101,7 +101,7 @@ class WordStore:
     depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most: int = 600_000):
         self.encode, self.most = encode, most
         self._reset()
 

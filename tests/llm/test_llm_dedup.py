@@ -144,8 +144,8 @@ def test_matrices_find_what_pairs_find(monkeypatch):
         own = set(base) - set(pick.sample(base, pick.randrange(0, 40)))
         own |= set(pick.sample(range(10**6), pick.randrange(0, 40)))
         sketch = np.array(sorted(own)[: near_dedup.SKETCH], np.int64)
-        held.append((0, node, len(own), node % 7, pick.random() < 0.7, False, sketch.tobytes()))
-    want = sorted(near_dedup._compare_few(held))
+        held.append((0, node, len(own), node % 7, pick.random() < 0.7, False, False, sketch.tobytes()))
+    want = sorted(near_dedup._compare_few(1, held))
     monkeypatch.setattr(near_dedup, "FEW", 0)
     assert sorted(near_dedup._compare((1, 2, 0, 0), held)) == want and want
 
