@@ -3,10 +3,12 @@
 Training counts, over labelled documents, in how many toxic and clean ones a word or a word
 beginning stands. Its log-odds take the counts of both classes together as an informative
 Dirichlet prior; those well above zero form the lexicon. Every other token scores slightly below
-zero. A scan over the tokens of a text, linear in its length, finds all maximal segments. The
-scores of segments that chance brings about in clean text follow an extreme-value law with two
-parameters, set on labelled documents kept back; what the segments of a document score beyond
-that law is its evidence, and a logistic curve makes it a probability.
+zero. A scan over the tokens of a text, linear in its length, finds all maximal segments; every
+occurrence of a word scores. Only the evidence discounts repeats: a second scan of each segment
+gives the n-th occurrence of a word in it one n-th of its score. The scores that chance brings
+about in clean text follow an extreme-value law with two parameters, set on labelled documents
+kept back; what the segments of a document score beyond that law is its evidence, and a logistic
+curve makes it a probability.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -56,24 +60,34 @@ def maximal_segments(places: list[int], scores: list[float], gap: float) -> list
 
     ``places`` are the tokens with a positive score; those between them score ``gap`` (below 0).
     Each candidate keeps the running total before and after it; a new one joins with the last one
-    whose total before is lower, if its own total after is higher.
+    whose total before is lower, if its own total after is higher. Each also keeps which one that
+    is, so that a search passes over every candidate once.
     """
-    found: list[list[float]] = []  # first, last, total before, total after
+    found: list[list[float]] = []  # first, last, total before, total after, the last with a lower total before
     total, at = 0.0, 0
     for place, score in zip(places, scores):
         before = total + gap * (place - at)
         total, at = before + score, place + 1
-        segment = [place, place, before, total]
-        while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= segment[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= segment[3]:
-                found.append(segment)
-                break
-            segment = [found[k][0], segment[1], found[k][2], segment[3]]
+        k = len(found) - 1
+        while k >= 0 and found[k][2] >= before:
+            k = found[k][4]
+        segment = [place, place, before, total, k]
+        while k >= 0 and found[k][3] < total:
+            segment = [found[k][0], place, found[k][2], total, found[k][4]]
             del found[k:]
-    return [(int(a), int(b), after - before) for a, b, before, after in found]
+            k = segment[4]
+        found.append(segment)
+    return [(int(a), int(b), after - before) for a, b, before, after, _ in found]
+
+
+class Segment(NamedTuple):
+    first: int
+    last: int
+    score: float
+    #: Last token whose word did not stand in the segment before.
+    last_new: int
+    #: Scores of the maximal segments within it when repeats are discounted.
+    parts: list[float]
 
 
 @dataclass
@@ -92,34 +106,49 @@ class Model:
     def word_score(self, word: str) -> float:
         return max((self.lexicon.get(f, 0.0) for f in features(word)), default=0.0)
 
-    def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
-        """Maximal segments; a word counts where it first stands, so repeating it adds nothing."""
+    def segments(self, words: list[str]) -> list[Segment]:
+        """All maximal segments; every occurrence of a word scores."""
         starts = self.starts
-        places, scores, seen = [], [], set()
+        places, scores, known = [], [], {}
         for i in [i for i, w in enumerate(words) if w[:3] in starts]:
             word = words[i]
-            if word in seen:
-                continue
-            seen.add(word)
-            score = self.word_score(word)
+            score = known.get(word)
+            if score is None:
+                score = known[word] = self.word_score(word)
             if score > 0:
                 places.append(i)
                 scores.append(score)
-        return maximal_segments(places, scores, self.gap)
+        found, at = [], 0
+        for first, last, score in maximal_segments(places, scores, self.gap):
+            start = bisect_left(places, first, at)
+            at = bisect_right(places, last, start)
+            times, less, last_new = Counter(), [], first
+            for place, full in zip(places[start:at], scores[start:at]):
+                times[words[place]] += 1
+                if times[words[place]] == 1:
+                    last_new = place
+                less.append(full / times[words[place]])
+            parts = [s for _, _, s in maximal_segments(places[start:at], less, self.gap)]
+            found.append(Segment(first, last, score, last_new, parts))
+        return found
 
     def excess(self, score: float, length: int) -> float:
         """How far a segment lies above what the law expects of a text of this length."""
         return self.decay * score - math.log(max(self.k * length, 1e-12))
 
-    def evidence(self, segments: list[tuple[int, int, float]], length: int) -> float:
-        return min(sum(max(self.excess(s, length), 0.0) for _, _, s in segments), MOST_EVIDENCE)
+    def weight(self, parts: list[float], length: int) -> float:
+        """What the parts score beyond the law; a segment with any is a significant passage."""
+        return sum(max(self.excess(s, length), 0.0) for s in parts)
+
+    def evidence(self, parts: list[float], length: int) -> float:
+        return min(self.weight(parts, length), MOST_EVIDENCE)
 
     def chance(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-(self.slope * evidence + self.offset)))
 
     def score(self, text: str) -> float:
         words = tokens(text)
-        return self.chance(self.evidence(self.segments(words), len(words)))
+        return self.chance(self.evidence([s for x in self.segments(words) for s in x.parts], len(words)))
 
 
 def _lexicon(counts: dict[str, tuple[float, float]], toxic: float, clean: float) -> dict[str, float]:
@@ -232,7 +261,7 @@ def train(
         for text in columns[1]:
             words = tokens(text)
             lengths.append(len(words))
-            best.append([float(s) for _, _, s in model.segments(words)])
+            best.append([float(s) for x in model.segments(words) for s in x.parts])
         return {"toxic": columns[0], "length": lengths, "scores": best}
 
     seen = arrow_rows(held, scan, "toxic int, length long, scores array<double>").collect()
@@ -251,7 +280,7 @@ def _calibrate(model: Model, seen: list[tuple[bool, int, list[float]]]) -> Model
             exceeding = (np.sum(best >= x) + 0.5) / (len(clean) + 1)
             model.k = max(model.k, -math.log(1 - exceeding) * math.exp(model.decay * x) / mean)
     if seen and model.lexicon:
-        evidence = np.array([model.evidence([(0, 0, s) for s in ss], n) for _, n, ss in seen])
+        evidence = np.array([model.evidence(ss, n) for _, n, ss in seen])
         model.slope, model.offset = _logistic(evidence, np.array([float(t) for t, *_ in seen]))
     return model
 
@@ -273,8 +302,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for text in columns[2]:
             words = tokens(text)
             segments = model.segments(words)
-            scores.append(model.chance(model.evidence(segments, len(words))))
-            passages.append(sum(model.excess(s, len(words)) > 0 for _, _, s in segments))
+            scores.append(model.chance(model.evidence([s for x in segments for s in x.parts], len(words))))
+            passages.append(sum(model.weight(x.parts, len(words)) > 0 for x in segments))
         predicted = [int(s >= threshold) for s in scores]
         return {"doc_id": columns[0], "held_out": columns[1], "score": scores, "predicted": predicted, "n_passages": passages}
 
@@ -282,20 +311,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, first_token, last_token, segment_score, excess, passage``: each significant passage."""
+    """``doc_id, first_token, last_token, segment_score, excess, passage, end_token, segment``.
+
+    One row for each significant passage. ``last_token`` and ``passage`` end with the last word that
+    is new in it, ``end_token`` and ``segment`` with its last scoring word, new or repeated.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def work(columns: list, part: int) -> dict:
         out: list[tuple] = []
         for doc, text in zip(*columns):
             words = tokens(text)
-            for a, b, s in model.segments(words):
-                if (excess := model.excess(s, len(words))) > 0:
-                    out.append((doc, a, b, s, excess, " ".join(words[a : b + 1])))
-        names = ("doc_id", "first_token", "last_token", "segment_score", "excess", "passage")
+            for a, b, s, new, parts in model.segments(words):
+                if (excess := model.weight(parts, len(words))) > 0:
+                    passage, segment = (" ".join(words[a : end + 1]) for end in (new, b))
+                    out.append((doc, a, new, s, excess, passage, b, segment))
+        names = ("doc_id", "first_token", "last_token", "segment_score", "excess", "passage", "end_token", "segment")
         return dict(zip(names, zip(*out))) if out else {n: [] for n in names}
 
-    schema = "doc_id long, first_token int, last_token int, segment_score double, excess double, passage string"
+    schema = "doc_id long, first_token int, last_token int, segment_score double, excess double, passage string, end_token int, segment string"
     return arrow_rows(rows, work, schema)
 
 
