@@ -72,6 +72,11 @@ def drop_stored(*frames: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows with one id and different texts apart; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def training_part(doc_id: Column) -> Column:
     """True for rows whose label may be learned from; the others are held out."""
     return F.crc32(doc_id.cast("string")) % 3 != 1

@@ -17,20 +17,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import ASCII_SPACE, CHUNK_CHARS, _arrow, drop_stored, slices, stored
+from ledgermap.llm.common import ASCII_SPACE, CHUNK_CHARS, _arrow, drop_stored, slices, stored, text_key
 
 BLOCK_BYTES = 4096
 #: Bytes of blocks that a task keeps in order to name them once; then it starts anew.
 KEPT_BYTES = 48_000_000
 
-_ROWS = "row long, doc_id long, points long, text_sha256 string, names array<long>, local long, block binary"
+_ROWS = "row long, doc_id long, key binary, points long, text_sha256 string, names array<long>, local long, block binary"
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+def _cut(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, keys: bool) -> DataFrame:
     """Rows of documents with the task's own names of their blocks, and rows of named blocks."""
     schema = _arrow(_ROWS)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        (text_key(F.col(text_col)) if keys else F.lit(None).cast("binary")).alias("key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,7 +44,7 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataF
         for batch in batches:
             for piece in slices(batch, CHUNK_CHARS):
                 out: list[tuple] = []
-                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                for doc, key, text in zip(*(c.to_pylist() for c in piece.columns)):
                     data = text.encode().translate(None, ASCII_SPACE)
                     names = []
                     for start in range(0, max(len(data), 1), block_bytes):
@@ -54,10 +56,10 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataF
                                 held = 0
                             name = named[block] = local
                             held += len(block) + 100
-                            out.append((None, None, None, None, None, local, block))
+                            out.append((None, None, None, None, None, None, local, block))
                             local += 1
                         names.append(name)
-                    out.append((row, doc, len(text), hashlib.sha256(data).hexdigest(), names, None, None))
+                    out.append((row, doc, key, len(text), hashlib.sha256(data).hexdigest(), names, None, None))
                     row += 1
                 columns = [pa.array(c, type=f.type) for c, f in zip(zip(*out), schema)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -140,7 +142,12 @@ def exact_duplicates(
     repeated rows one is kept. Null ids come last. Further columns are ignored; an empty table
     gives an empty result.
     """
-    parts = stored(_cut(docs, id_col, text_col, block_bytes))
+    return _decided(docs, id_col, text_col, block_bytes).drop("key")
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, keys: bool = False) -> DataFrame:
+    """The result of ``exact_duplicates`` and ``key``, which is null unless asked for."""
+    parts = stored(_cut(docs, id_col, text_col, block_bytes, keys))
     rows = parts.filter("local IS NULL").drop("local", "block")
     named = rows.drop("names").join(_identities(rows, parts), "row")
     groups = named.groupBy("blocks", "name").agg(
@@ -149,6 +156,7 @@ def exact_duplicates(
     )
     return named.join(groups, ["blocks", "name"]).select(
         "doc_id",
+        "key",
         (-F.col("best")["col2"]).alias("keep_id"),
         "group_size",
         (F.col("row") == -F.col("best")["col3"]).alias("kept"),
@@ -158,18 +166,19 @@ def exact_duplicates(
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` does not keep; all columns stay."""
-    return keep_rows(docs, stored(exact_duplicates(docs, id_col, text_col)), id_col, text_col)
+    return keep_rows(docs, stored(_decided(docs, id_col, text_col, keys=True)), id_col, text_col)
 
 
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id has a row ``kept`` in ``decided``.
+    """Rows of ``docs`` whose id and text have a row ``kept`` in ``decided``.
 
-    The ids that go are joined, not the texts that stay. Where an id that stays stands on several
-    rows, those with the same text are one.
+    The ids and keys that go are joined, not the texts that stay. Of rows with one id and the same
+    text one stays.
     """
-    ids = decided.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-    gone = ids.filter("NOT kept").select(F.col("doc_id").alias("_llm_id"))
-    again = ids.filter("kept AND rows > 1").select(F.col("doc_id").alias("_llm_id"))
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_llm_id"))
-    repeated = docs.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    pairs = decided.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    names = F.col("doc_id").alias("_llm_id"), F.col("key").alias("_llm_key")
+    gone, again = pairs.filter("NOT kept").select(*names), pairs.filter("kept AND rows > 1").select(*names)
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_llm_id")) & (text_key(docs[text_col]) == F.col("_llm_key"))
+    repeated = docs.join(again, same, "left_semi").withColumn("_llm_text", F.coalesce(F.col(text_col), F.lit("")))
+    repeated = repeated.dropDuplicates([id_col, "_llm_text"]).drop("_llm_text")
     return docs.join(gone.unionByName(again), same, "left_anti").unionByName(repeated)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import _arrow, arrow_rows, drop_stored, stored
+from ledgermap.llm.common import _arrow, arrow_rows, drop_stored, stored, text_key
 from ledgermap.llm.exact_dedup import keep_rows
 
 WORDS = 5
@@ -72,22 +72,25 @@ def shingles(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row, doc_id, n, sig, sketch``; ``sig`` names the set, ``sketch`` its least hashes as bytes."""
+def _sketches(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) -> DataFrame:
+    """``row, doc_id, key, n, sig, sketch``; ``sig`` names the set, ``sketch`` its least hashes as bytes."""
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        (text_key(F.col(text_col)) if keys else F.lit(None).cast("binary")).alias("key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
     def work(columns: list, part: int) -> dict:
-        sets = shingles(columns[1])
+        sets = shingles(columns[2])
         return {
             "doc_id": columns[0],
+            "key": columns[1],
             "n": [len(s) for s in sets],
             "sig": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
             "sketch": [s[:SKETCH].tobytes() for s in sets],
         }
 
-    found = arrow_rows(rows, work, "doc_id long, n long, sig binary, sketch binary")
+    found = arrow_rows(rows, work, "doc_id long, key binary, n long, sig binary, sketch binary")
     return found.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
@@ -361,10 +364,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the smallest id that verified links reach; the row with that id is kept. Repeated rows have
     equal results. Further columns are ignored; an empty table gives no rows.
     """
-    rows = stored(_sketches(docs, id_col, text_col))
+    return _decided(docs, id_col, text_col).drop("key")
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) -> DataFrame:
+    """The result of ``near_duplicates`` and ``key``, which is null unless asked for."""
+    rows = stored(_sketches(docs, id_col, text_col, keys))
     filled = rows.filter("n > 0")
     groups = filled.groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("label"))
-    members = stored(filled.select("row", "doc_id", "n", "sig").join(groups, "sig"))
+    members = stored(filled.select("row", "doc_id", "key", "n", "sig").join(groups, "sig"))
     nodes = members.filter("row = node").select("node", "n", "label", "sig", F.col("doc_id").alias("id"))
     sketches = stored(nodes.join(rows.select(F.col("row").alias("node"), "sketch"), "node"))
 
@@ -419,12 +427,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("label").alias("component_id"))
     found = members.join(named.select("node", "comp"), "node").join(smallest, "comp")
-    result = found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
-        rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    result = found.select("doc_id", "key", F.col("n").alias("n_shingles"), "component_id").unionByName(
+        rows.filter("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     )
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component; all columns stay."""
-    return keep_rows(docs, stored(near_duplicates(docs, id_col, text_col)), id_col, text_col)
+    """``docs`` without the rows that ``near_duplicates`` does not keep; all columns stay."""
+    return keep_rows(docs, stored(_decided(docs, id_col, text_col, keys=True)), id_col, text_col)
