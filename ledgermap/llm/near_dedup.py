@@ -3,7 +3,8 @@
 A document is the set of its five-word shingles, each hashed once. Its sketch keeps the least
 hashes. Inverted lists of the very least of them bring together documents that may overlap; two
 documents at the threshold lie in no common list with a chance of about 0.25 ** LISTED. Sketches
-of the union filter the candidates, and the full sets verify them.
+of the union filter the candidates, which loses two such documents with a chance of about 4.6e-6,
+and the full sets verify them.
 
 Documents with equal sets are one node. Every list first links its members to its first one, which
 joins most groups of copies without looking at their pairs. After that only members of different
