@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermap.llm import toxicity, url_filter
+from ledgermap.llm import clustering, merkle, personal_data, toxicity, url_filter
 from ledgermap.llm.bpe_automaton import round_trip
+from ledgermap.llm.clustering import cluster
 from ledgermap.llm.common import read
 from ledgermap.llm.exact_dedup import exact_duplicates
 from ledgermap.llm.language import identify, train
@@ -117,3 +118,24 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_centroid_clustering"] = clustering.expected_sql()
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_merkle_manifest"] = merkle.expected_sql()
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.personal_data(read(spark, sf_dir, "documents")))
