@@ -38,6 +38,7 @@ INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 #: Kinds of compatibility characters that are another form of one plain character.
 FORMS = ("<font>", "<wide>", "<narrow>", "<small>", "<circle>")
 
+#: The patterns for disguises are applied to texts in lower case.
 # Digits as words, 0 to 9, in the languages of the corpus.
 DIGIT_WORDS = (
     "zero one two three four five six seven eight nine",
@@ -60,14 +61,14 @@ _WORD = "|".join(sorted(DIGIT, key=len, reverse=True))
 _ITEM = rf"(?:{_WORD}|[0-9]+)"
 #: Spelled and written digits with one blank, dash or dot between them.
 SPELLED = re.compile(
-    rf"(?<!\w)(?:(?:{PLUS_WORDS})[ -])?{_ITEM}(?:(?:[ .-]|[ ](?:{DOT_WORDS})[ ]){_ITEM})+(?!\w)", re.IGNORECASE
+    rf"(?<!\w)(?:(?:{PLUS_WORDS})[ -])?{_ITEM}(?:(?:[ .-]|[ ](?:{DOT_WORDS})[ ]){_ITEM})+(?!\w)"
 )
 SPELLED_PART = re.compile(
     rf"(?P<plus>(?:{PLUS_WORDS})[ -])|(?P<digit>{_WORD})|(?P<written>[0-9]+)"
     rf"|(?P<dot>[ ](?:{DOT_WORDS})[ ]|\.)|(?P<gap>[ -])",
-    re.IGNORECASE,
 )
-SPELLED_CUE = re.compile(rf"\b(?:{_WORD})[ .-]{_ITEM}", re.IGNORECASE)
+#: What every run with enough spelled digits holds; looked for first, since it is faster to find.
+SPELLED_CUE = re.compile(rf"\b(?:{_WORD})(?:[ .-]|[ ](?:{DOT_WORDS})[ ]){_ITEM}(?:[ .-]|[ ](?:{DOT_WORDS})[ ]){_ITEM}|\b[0-9]+(?:[ .-]|[ ](?:{DOT_WORDS})[ ])(?:{_WORD})\b")
 
 _AT = rf"\s?(?:[\[({{<]\s?(?:{AT_WORDS}|@)\s?[\])}}>]|&#0*64;|&#x0*40;|&commat;|%40)\s?"
 _DOT = rf"\s?(?:[\[({{<]\s?(?:{DOT_WORDS}|\.)\s?[\])}}>]|&#0*46;|&#x0*2e;|&period;|%2e)\s?"
@@ -83,17 +84,16 @@ def _address(at: str, dot: str) -> re.Pattern:
     return re.compile(
         rf"(?<![A-Za-z0-9_%+-])(?:{name}@(?:{domain}|{bare_domain})|{bare_name}{_AT}(?:{domain}|{bare_domain})"
         rf"|{bare_name}\s(?:{at})\s(?!(?:{NO_DOMAIN})\s){bare_domain})",
-        re.IGNORECASE,
     )
 
 
 ADDRESSES = [_address(*pair) for pair in BARE_PAIRS]
-ADDRESS_PART = re.compile(rf"(?P<at>{_AT}|\s(?:{AT_WORDS})\s)|(?P<dot>{_DOT}|\s(?:{DOT_WORDS})\s)", re.IGNORECASE)
+ADDRESS_PART = re.compile(rf"(?P<at>{_AT}|\s(?:{AT_WORDS})\s)|(?P<dot>{_DOT}|\s(?:{DOT_WORDS})\s)")
 #: No address in disguise is without a word or sign for at, and one for dot or a disguised at.
-AT_CUE = re.compile(rf"@|[\[({{<]\s?(?:{AT_WORDS})\s?[\])}}>]|&#|&commat;|%40|\s(?:{AT_WORDS})\s", re.IGNORECASE)
-DOT_CUE = re.compile(rf"\b(?:{DOT_WORDS})\b|[\[({{<]\s?(?:\.|@|{AT_WORDS}\b)|&#|&period;|&commat;|%2e|%40", re.IGNORECASE)
+AT_CUE = re.compile(rf"@|[\[({{<]\s?(?:{AT_WORDS})\s?[\])}}>]|&#|&commat;|%40|\s(?:{AT_WORDS})\s")
+DOT_CUE = re.compile(rf"\b(?:{DOT_WORDS})\b|[\[({{<]\s?(?:\.|@|{AT_WORDS}\b)|&#|&period;|&commat;|%2e|%40")
 #: Disguised dots between numbers.
-IP_DOTS = re.compile(rf"(?<=[0-9])(?:{_DOT}|\s(?:{DOT_WORDS})\s)(?=[0-9])", re.IGNORECASE)
+IP_DOTS = re.compile(rf"(?<=[0-9])(?:{_DOT}|\s(?:{DOT_WORDS})\s)(?=[0-9])")
 
 Span = tuple[str, int, int]
 
@@ -206,43 +206,49 @@ def look_alikes() -> dict[str, str]:
     return table
 
 
-@lru_cache(maxsize=1)
-def _look_alike() -> re.Pattern:
-    return re.compile("[" + "".join(map(re.escape, sorted(look_alikes()))) + "]")
-
-
 def plain_characters(text: str) -> Edited:
     if text.isascii():
         return Edited(text, [])
     table = look_alikes()
-    return Edited(text, [(*m.span(), table[m[0]]) for m in _look_alike().finditer(text)])
+    present = table.keys() & set(text)
+    if not present:
+        return Edited(text, [])
+    pattern = re.compile("[" + "".join(map(re.escape, sorted(present))) + "]")
+    return Edited(text, [(*m.span(), table[m[0]]) for m in pattern.finditer(text)])
+
+
+def lower(text: str) -> str:
+    """Lower case, character by character where the text would change its length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def plain_digits(text: str) -> Edited:
     """Runs with enough spelled digits, as digits without gaps."""
-    edits = []
-    if SPELLED_CUE.search(text):
-        for run in SPELLED.finditer(text):
-            parts = list(SPELLED_PART.finditer(text, *run.span()))
+    edits, low = [], lower(text)
+    if SPELLED_CUE.search(low):
+        for run in SPELLED.finditer(low):
+            parts = list(SPELLED_PART.finditer(low, *run.span()))
             if sum(p.lastgroup == "digit" for p in parts) < LEAST_SPELLED:
                 continue
             signs = {"plus": "+", "dot": ".", "gap": ""}
             for p in parts:
                 if p.lastgroup != "written":
-                    edits.append((*p.span(), DIGIT[p[0].lower()] if p.lastgroup == "digit" else signs[p.lastgroup]))
+                    edits.append((*p.span(), DIGIT[p[0]] if p.lastgroup == "digit" else signs[p.lastgroup]))
     return Edited(text, edits)
 
 
 def plain_signs(text: str) -> Edited:
     """Disguised at and dot inside addresses, and disguised dots between numbers."""
     edits: dict[int, tuple[int, int, str]] = {}
-    if DOT_CUE.search(text):
-        if AT_CUE.search(text):
+    low = lower(text)
+    if DOT_CUE.search(low):
+        if AT_CUE.search(low):
             for pattern in ADDRESSES:
-                for whole in pattern.finditer(text):
-                    for p in ADDRESS_PART.finditer(text, *whole.span()):
+                for whole in pattern.finditer(low):
+                    for p in ADDRESS_PART.finditer(low, *whole.span()):
                         edits[p.start()] = (*p.span(), "@" if p.lastgroup == "at" else ".")
-        for p in IP_DOTS.finditer(text):
+        for p in IP_DOTS.finditer(low):
             edits.setdefault(p.start(), (*p.span(), "."))
     ordered, end = [], 0
     for start in sorted(edits):

@@ -279,6 +279,7 @@ DISGUISED = [
     ("call +４９ 30 1234567 please", "phone", "+４９ 30 1234567"),
     ("call +49–30–1234567", "phone", "+49–30–1234567"),
     ("card four one one one 1111 one one one one 1111", "card", "four one one one 1111 one one one one 1111"),
+    ("CALL PLUS ONE-FIVE-FIVE 5551234 İ", "phone", "PLUS ONE-FIVE-FIVE 5551234"),
     ("card ٤١١١ ١١١١ ١١١١ ١١١١", "card", "٤١١١ ١١١١ ١١١١ ١١١١"),
 ]
 
@@ -298,6 +299,7 @@ def test_disguised(text, kind, span):
         "one two three four, then five. Six or seven",
         "from 1990–1995 and in 3 point 5 ways",
         "a naïve façade — déjà vu in São Paulo, адрес и почта",
+        "ſix ſeven ſix ſeven ſix ſeven İ 1 ſix two",
         "version 1.2.3 of 10 items, 50% of 3 (at) last",
         "",
     ],
