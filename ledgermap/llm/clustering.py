@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from ledgermap.llm.common import _arrow, drop_stored, ship, stored
 
-#: Vectors that a task compares at a time.
-BLOCK_ROWS = 1024
+#: Vectors that a task compares at a time; their differences should stay in a core's cache.
+BLOCK_ROWS = 128
 #: Coefficients that the search has added up after each step; the last one is all of them.
 STEPS = (4, 16, 64)
 #: Integers up to this absolute value give sums below 2 ** 63; others are counted as Python integers.
