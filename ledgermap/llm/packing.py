@@ -10,10 +10,11 @@ one is cut into sequences whose lengths are powers of two, which need no padding
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,13 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import CHUNK_CHARS, _arrow, slices
-from ledgermap.llm.words import SEPARATORS, WordStore
+from ledgermap.llm.common import CHUNK_CHARS, _arrow, ship, slices
+from ledgermap.llm.words import byte_letters
 
 #: Open windows of a task; at this number they are closed as at the end of the partition.
 MOST_OPEN = 4096
-UNITS = re.compile(r"\s+(?!\S)|\s?\S+")
-DOUBLE_SPACE = re.compile(r"\s\s")
 
 Piece = tuple[int | None, int, np.ndarray, int]  # document, start, ids, tokens of the document
 
@@ -121,38 +120,80 @@ class Packer:
             number = self._number() if fill else number
 
 
-#: Marks a unit that stands as it is; all others follow a blank.
-AS_IS = "\x1c"
+# Fixed value: the pattern of byte-level pre-tokenization.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The faster library cannot match longer runs of white space.
+LONG_SPACE = re.compile(r"\s{2048}")
 
 
-def units(text: str) -> list[str]:
-    """Parts of a text that byte-level pre-tokenization treats one by one, as keys of the store.
+class Encoder:
+    """Ids of texts as the tokenizers library gives them for a file, with its added tokens split off first.
 
-    A cut before the last white space of a run, or before the whole run, is always a border.
+    Where the file is plain byte-level BPE whose ids rise with the merges, a faster library with the
+    same vocabulary encodes the text between added tokens.
     """
-    if SEPARATORS.search(text):
-        return [AS_IS + text]
-    if DOUBLE_SPACE.search(text):
-        return [AS_IS + unit for unit in UNITS.findall(text)]
-    found = text.split(" ")
-    found[0] = AS_IS + found[0]
-    return found
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as file:
+            self.fast = _fast(json.load(file))
+        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.added = {text: np.array([i], np.uint32) for text, i in added.items()}
+        # of tokens that start at the same place the longest counts
+        either = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+        self.border = re.compile(f"({either})") if added else None
+
+    def __call__(self, text: str) -> np.ndarray:
+        if self.fast is None:
+            return self._slow(text)
+        if self.border and self.border.search(text):
+            parts = [self.added.get(p) if i % 2 else self._plain(p) for i, p in enumerate(self.border.split(text))]
+            return np.concatenate(parts)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> np.ndarray:
+        if LONG_SPACE.search(text):
+            return self._slow(text)
+        return np.array(self.fast(text), np.uint32)
+
+    def _slow(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+def _fast(file: dict) -> Callable[[str], list[int]] | None:
+    model, added = file["model"], file["added_tokens"]
+    before = file["pre_tokenizer"] or {}
+    plain = (
+        model["type"] == "BPE"
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex")
+        and not before.get("add_prefix_space")
+        and not file["normalizer"]
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges"))
+    )
+    if not plain:
+        return None
+    import tiktoken
 
-@lru_cache(maxsize=4)
-def _store(path: str) -> WordStore:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
+    as_byte = {letter: b for b, letter in enumerate(byte_letters())}
+    names = {t["content"] for t in added}
+    ranks = {bytes(as_byte[c] for c in token): i for token, i in model["vocab"].items() if token not in names}
+    pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+    merged = [model["vocab"][a + b] for a, b in pairs]
+    if merged != sorted(merged) or len(ranks) != 256 + len(merged):
+        return None
+    return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def encode(words: list[str]) -> list[list[int]]:
-        plain = [w[1:] if w.startswith(AS_IS) else " " + w for w in words]
-        return [e.ids for e in library.encode_batch(plain, add_special_tokens=False)]
 
-    return WordStore(encode)
+@lru_cache(maxsize=4)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pack(
@@ -172,6 +213,7 @@ def pack(
     further columns are ignored whatever their names. ``sequence_id`` is unique over all tasks;
     a retried task makes the same sequences from the same rows.
     """
+    ship(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
@@ -183,7 +225,7 @@ def pack(
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 32
-        packer, store = Packer(window), _store(tokenizer)
+        packer, encode = Packer(window), _encoder(tokenizer)
 
         def closed() -> pa.RecordBatch:
             out: list[list] = [[] for _ in arrow_schema]
@@ -200,13 +242,8 @@ def pack(
 
         for batch in batches:
             for piece in slices(batch, CHUNK_CHARS):
-                texts = piece.column(1).to_pylist()
-                codes, counts = store.look_up([units(t) for t in texts])
-                ids, sizes = store.flatten(codes)
-                upto = np.concatenate([[0], np.cumsum(sizes)])
-                bounds = upto[np.concatenate([[0], np.cumsum(counts)])]
-                for doc, a, b in zip(piece.column(0).to_pylist(), bounds, bounds[1:]):
-                    packer.add(doc, np.append(ids[a:b], np.uint32(end_id)))
+                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                    packer.add(doc, np.append(encode(text), np.uint32(end_id)))
                 yield closed()
         packer.finish()
         yield closed()

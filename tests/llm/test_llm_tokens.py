@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgermap.llm.bpe_automaton import automaton, decode, encode, round_trip
-from ledgermap.llm.packing import MOST_OPEN, Packer, pack, units
+from ledgermap.llm.packing import MOST_OPEN, Encoder, Packer, pack
 from ledgermap.llm.queries import BYTE_BPE, QUERIES, WORD_BPE
 from ledgermap.llm.token_counts import count_words, merges, token_counts
 from ledgermap.llm.words import WordStore
@@ -99,13 +99,22 @@ def test_odd_documents(make_docs, word_bpe):
         assert work(make_docs(), WORD_BPE).count() == 0
 
 
-def test_units_encode_like_the_whole_text(byte_bpe):
-    pick = random.Random(9)
-    cases = ["".join(pick.choice("ab the 1'\n\t .é") for _ in range(pick.randrange(1, 60))) for _ in range(300)]
-    for text in [*cases, "", " ", "  ", "x  ", "a<|endoftext|> b", "\x1ca b"]:
-        parts = [u[1:] if u.startswith("\x1c") else " " + u for u in units(text)]
-        assert "".join(parts) == text
-        assert [i for p in parts for i in ids_of(byte_bpe, p)] == ids_of(byte_bpe, text)
+def test_encoder_equals_the_library(byte_bpe):
+    pick, encode = random.Random(9), Encoder(BYTE_BPE)
+    assert encode.fast
+    parts = ["<|endoftext|>", "\n\n", "\n", " ", "  ", "a", "b1", "'ll", "é", "日本", "🙂", "\u3000", "\x1c", "\x85", "Σ", ".", "end", "<|", "|>"]
+    cases = ["".join(pick.choices(parts, k=pick.randrange(40))) for _ in range(3000)]
+    cases += ["a\n\n<|endoftext|>b", "end.\n\n<|endoftext|>\n\nstart", "<|endoftext|><|endoftext|>", " <|endoftext|> "]
+    cases += ["x" + " " * 5000 + "y <|endoftext|>", "\n" * 3000, "ab" * 4000]
+    for text in cases:
+        assert encode(text).tolist() == ids_of(byte_bpe, text)
+
+
+def test_encoder_of_another_kind_of_file_uses_the_library(word_bpe):
+    encode = Encoder(WORD_BPE)
+    assert encode.fast is None
+    for text in ("One <|endoftext|> two", "", "Ünï\n\n"):
+        assert encode(text).tolist() == ids_of(word_bpe, text)
 
 
 def check_pieces(rows, documents, byte_bpe, window):
