@@ -102,14 +102,14 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op9_top_k"] = """
 WITH vectors AS (
-    SELECT vec_id, [floor(256 * v::DOUBLE)::BIGINT for v in embedding] AS x
+    SELECT row_number() OVER () AS row, vec_id, [floor(256 * v::DOUBLE)::BIGINT for v in embedding] AS x
     FROM embeddings
     WHERE embedding IS NOT NULL AND len([v for v in embedding if v IS NULL OR NOT isfinite(v)]) = 0
 ), scores AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+    SELECT q.row, q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
     FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+    SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

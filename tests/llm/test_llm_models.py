@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -151,25 +152,65 @@ def test_toxicity_odd(spark, make_docs):
     assert {r["predicted"] for r in toxicity.score(odd, empty).collect()} == {0}
 
 
-def plain_top(rows, queries, k):
+def plain_top(rows, queries, k, scale=256):
+    """Every query row against every row of another id, in Python integers."""
+    whole = [(i, [math.floor(scale * Fraction(float(v))) for v in x]) for i, x in rows]
     out = []
-    for q in queries:
-        x = next(v for i, v in rows if i == q)
-        scores = sorted((-int(np.dot(x[: len(v)], v[: len(x)])), i) for i, v in rows if i != q)
-        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
-    return sorted(out)
+    for q, x in whole:
+        if q in queries:
+            scores = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in whole if i != q)
+            out += [(q, rank, i, -s if -(2**63) <= -s < 2**63 else None) for rank, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out, key=repr)
 
 
-def test_top_k_odd(spark, monkeypatch):
-    monkeypatch.setattr(topk, "CELL_ROWS", 7)
+@pytest.fixture
+def small_cells(monkeypatch):
+    for name, value in (("CELL_ROWS", 7), ("CHUNK_CELLS", 2), ("QUERY_ROWS", 2), ("RING_SAMPLE", 3), ("PIVOTS", 5)):
+        monkeypatch.setattr(topk, name, value)
+
+
+def test_top_k_odd(spark, small_cells):
     pick = random.Random(6)
     rows = [(i, [pick.choice([-1.5, 0.0, 0.25, 0.7, 2.0]) for _ in range(4)]) for i in range(120)]
     rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(200, 260)] + [(300, [9.0] * 4), (301, [1.0]), (302, [])]
+    rows += rows[:5] + [(1, [8.0, 0.0, 0.0, 1.0]), (100, [0.0, 7.0, -1.0, 0.0])]
     bad = [(400, None), (401, [1.0, None, 0.0, 0.0]), (402, [float("nan")] * 4), (403, [float("inf")] * 4), (None, [1.0] * 4)]
-    frame = spark.createDataFrame([(*r, 3, 7) for r in rows + bad + rows[:5]], "vec_id long, embedding array<float>, score int, cell int")
-    whole = [(i, [math.floor(256 * float(np.float32(v))) for v in x]) for i, x in rows]
+    frame = spark.createDataFrame([(*r, 3, 7) for r in rows + bad], "vec_id long, embedding array<float>, score int, cell int")
     got = topk.top_k(frame, frame.filter("vec_id % 50 = 0")).collect()
-    assert sorted(map(tuple, got)) == plain_top(whole, [0, 50, 100, 200, 250, 300], 5)
-    few = topk.top_k(frame.filter("vec_id < 3"), frame.filter("vec_id = 0")).collect()
-    assert [r["rank"] for r in few] == [1, 2] or sorted(r["rank"] for r in few) == [1, 2]
+    exact = [(i, [float(np.float32(v)) for v in x]) for i, x in rows]
+    assert sorted(map(tuple, got), key=repr) == plain_top(exact, {0, 50, 100, 200, 250, 300}, 5)
+    few = topk.top_k(frame.filter("vec_id = 3 OR vec_id = 20"), frame.filter("vec_id = 20")).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(few, key=lambda r: r["rank"])] == [(1, 3), (2, 3)]
     assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
+    assert topk.top_k(frame, frame.limit(0)).count() == 0
+    longer = spark.createDataFrame([(1000, [1.0] * 9)], "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, topk.top_k(frame, longer).collect()), key=repr) == sorted(
+        plain_top([*exact, (1000, [1.0] * 9)], {1000}, 5), key=repr
+    )
+
+
+@pytest.mark.parametrize("spread", [1e5, 1e8, 8e6, 3e12])
+def test_top_k_of_large_components(spark, small_cells, spread):
+    pick = random.Random(int(spread))
+    rows = [(i, [pick.gauss(0, spread) for _ in range(3)]) for i in range(80)]
+    # scores that differ in their last digits only
+    rows += [(i, [spread, i / 256, 0.0]) for i in range(200, 212)] + [(100, [spread, 1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, frame.filter("vec_id % 50 = 0")).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_top(rows, {0, 50, 100, 200}, 5)
+
+
+def test_top_k_stops_early_on_clusters(spark, small_cells):
+    """Rings beyond the radius are never visited."""
+    pick = random.Random(8)
+    rows = [(i, [100.0 * (i % 4 == j) + pick.random() for j in range(4)]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    search = topk._search
+    try:
+        topk._search = lambda visits, *rest: (seen.append(visits.count()), search(visits, *rest))[1]
+        got = topk.top_k(frame, frame.filter("vec_id % 50 = 0")).collect()
+    finally:
+        topk._search = search
+    assert sorted(map(tuple, got), key=repr) == plain_top(rows, set(range(0, 400, 50)), 5)
+    assert sum(seen) < 8 * 40
