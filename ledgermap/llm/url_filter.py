@@ -109,22 +109,25 @@ def judge(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every row.
 
-    ``score`` is null where a rule decides. A null or unparsable URL has an empty host and path
-    and is judged like any other text. Models and calibration see each text once however many
-    rows repeat it. Without calibration URLs of both sides the threshold is 0; a score on it
+    ``score`` is null where a rule decides. The models learn, calibrate and score whole URLs with
+    scheme, query and fragment; host and path are for the rules and the result. A null URL counts
+    as empty text; it and one without ``://`` have an empty host and path and are judged like any
+    other text. Models and calibration see each URL once however many rows repeat it. Without calibration URLs of both sides the threshold is 0; a score on it
     allows. Further columns are ignored whatever their names; an empty table gives no rows.
     """
     host, path = host_and_path(F.col(url_col))
-    parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    parsed = pages.select(
+        F.col(id_col).alias("page_id"),
+        host.alias("host"),
+        path.alias("path"),
+        F.coalesce(F.col(url_col), F.lit("")).alias("text"),
+    )
     name, decided = matching_rule(F.col("host"), F.col("path"), rules)
-    parsed = parsed.withColumns({"rule": name, "decided": decided, "text": F.concat("host", "path")})
+    parsed = parsed.withColumns({"rule": name, "decided": decided})
     held = F.substring(F.md5("text"), 1, 1).isin("0", "1", "2")
-    texts = parsed.groupBy("host", "path", "decided").agg(F.first("text").alias("text"))
     texts = stored(
-        texts.select(
+        parsed.select("text", "decided").distinct().select(
             F.monotonically_increasing_id().alias("id"),
-            "host",
-            "path",
             "text",
             "decided",
             F.when(held, F.lit(None)).otherwise(F.col("decided")).alias("side"),
@@ -137,7 +140,7 @@ def judge(
         .groupBy("id")
         .agg(F.avg("ratio").alias("score"))
     )
-    scored = stored(texts.filter("side IS NULL").drop("side", "text").join(scored, "id"))
+    scored = stored(texts.filter("side IS NULL").drop("side").join(scored, "id"))
     sides = {
         r["decided"]: (r["mean"], r["spread"])
         for r in scored.filter("decided IS NOT NULL")
@@ -150,13 +153,13 @@ def judge(
         (mean_a, spread_a), (mean_b, spread_b) = sides[ALLOW], sides[BLOCK]
         both = spread_a + spread_b
         threshold = (mean_a * spread_b + mean_b * spread_a) / both if both else (mean_a + mean_b) / 2
-    unruled = scored.filter("decided IS NULL").select("host", "path", "score")
+    unruled = scored.filter("decided IS NULL").select("text", "score")
     ruled = parsed.filter("decided IS NOT NULL").select(
         "page_id", "host", "path", "rule", F.col("decided").alias("verdict"), F.lit(None).cast("double").alias("score")
     )
     judged = (
         parsed.filter("decided IS NULL")
-        .join(unruled, ["host", "path"])
+        .join(unruled, "text")
         .select(
             "page_id",
             "host",
@@ -166,7 +169,9 @@ def judge(
             "score",
         )
     )
-    return ruled.unionByName(judged)
+    result = stored(ruled.unionByName(judged))
+    drop_stored(texts, ratios, scored)
+    return result
 
 
 def expected_sql(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
@@ -196,17 +201,17 @@ def expected_sql(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
         FROM c{size} c JOIN t{size} t ON t.side = c.side AND t.context = left(c.gram, {size}){join})"""
     return rf"""
 WITH parts AS (
-    SELECT page_id,
+    SELECT page_id, coalesce(url, '') AS text,
         translate(regexp_extract(coalesce(url, ''), '{PARTS}', 1), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
         regexp_extract(coalesce(url, ''), '{PARTS}', 2) AS path
     FROM pages),
-    parsed AS (SELECT *, {rule_case(None)} AS rule, {rule_case(0)} AS decided, host || path AS text FROM parts),
+    parsed AS (SELECT *, {rule_case(None)} AS rule, {rule_case(0)} AS decided FROM parts),
     texts AS (
-        SELECT DISTINCT host, path, text, decided,
+        SELECT DISTINCT text, decided,
             CASE WHEN left(md5(text), 1) NOT IN ('0', '1', '2') THEN decided END AS learns
         FROM parsed),
     grams AS (
-        SELECT host, path, decided, learns,
+        SELECT text, decided, learns,
             unnest([substring(repeat(chr(2), {CONTEXT}) || text || chr(3), i, {CONTEXT + 1})
                 for i in range(1, length(text) + 2)]) AS gram
         FROM texts),
@@ -217,7 +222,7 @@ WITH parts AS (
         SELECT a.gram, ln(a.p) - ln(b.p) AS ratio
         FROM p{CONTEXT} a JOIN p{CONTEXT} b ON a.gram = b.gram AND a.side = '{ALLOW}' AND b.side = '{BLOCK}'),
     scored AS (
-        SELECT host, path, decided, avg(ratio) AS score
+        SELECT text, decided, avg(ratio) AS score
         FROM grams JOIN ratios USING (gram) WHERE learns IS NULL GROUP BY ALL),
     sides AS (
         SELECT avg(score) FILTER (decided = '{ALLOW}') AS ma, avg(score) FILTER (decided = '{BLOCK}') AS mb,
@@ -228,5 +233,5 @@ WITH parts AS (
         FROM sides)
 SELECT page_id, host, path, rule,
     coalesce(decided, CASE WHEN s.score >= (SELECT line FROM line) THEN '{ALLOW}' ELSE '{BLOCK}' END) AS verdict
-FROM parsed p LEFT JOIN (SELECT host, path, score FROM scored WHERE decided IS NULL) s USING (host, path)
+FROM parsed p LEFT JOIN (SELECT text, score FROM scored WHERE decided IS NULL) s USING (text)
 """

@@ -60,6 +60,16 @@ def test_urls_odd(spark, duck):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_query_string_decides(spark):
+    """Of URLs with the same host and path the models judge by what follows them."""
+    good = [f"http://site{i}.org/page/{i}?topic=gardening&ref=library{i}" for i in range(60)]
+    bad = [f"http://site{i}.com/de/{i}?go=casino-jackpot-{i}" for i in range(60)]
+    open_urls = ["http://same.net/go?topic=gardening&ref=library9", "http://same.net/go?go=casino-jackpot-9", "casino-jackpot", "topic=gardening&ref=library"]
+    pages = spark.createDataFrame(list(enumerate(good + bad + open_urls)), "page_id long, url string")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}
+    assert [verdicts[120 + i] for i in range(4)] == ["allow", "block", "block", "allow"]
+
+
 def test_url_models_learn_the_rules(spark):
     """Without two of its rules the models judge as those rules would, and better than by chance."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
