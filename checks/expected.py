@@ -1172,7 +1172,33 @@ EXPECTED["apply_audit"] = sql(
     """SELECT (SELECT count(*) FROM customer_edits WHERE NOT skipped) AS rows_read,
         (SELECT count(*) FROM customer_edits WHERE skipped) AS rows_skipped,
         (SELECT count(*) FROM map_customer m JOIN customer_last e ON e.data_folder_id = m.data_folder_id
-            AND e.legacy_customer_id = m.legacy_customer_id) AS rows_updated"""
+            AND e.legacy_customer_id = m.legacy_customer_id) AS rows_updated, CAST(0 AS BIGINT) AS rows_errors"""
+)
+CTES["vendor_edits"] = """
+    SELECT data_folder_id, legacy_vendor_id, 'W' || legacy_vendor_id AS new_vendor_id, no % 7 = 0 AS skipped,
+        no % 7 <> 0 AND no % 13 = 0 AS wrong
+    FROM (SELECT *, CAST(substr(legacy_vendor_id, 2, 5) AS INT) AS no FROM map_vendor)
+"""
+EXPECTED["apply_audit_errors"] = sql(
+    """SELECT (SELECT count(*) FROM vendor_edits WHERE NOT skipped AND NOT wrong) AS rows_read,
+        (SELECT count(*) FROM vendor_edits WHERE skipped) AS rows_skipped,
+        (SELECT count(*) FROM map_vendor m WHERE EXISTS (SELECT 1 FROM vendor_edits e WHERE NOT skipped AND NOT wrong
+            AND e.data_folder_id = m.data_folder_id AND e.legacy_vendor_id = m.legacy_vendor_id)) AS rows_updated,
+        (SELECT count(*) FROM vendor_edits WHERE wrong) AS rows_errors"""
+)
+EXPECTED["sheet_errors"] = sql(
+    "SELECT data_folder_id, legacy_vendor_id, 'too long: new_vendor_id' AS reason FROM vendor_edits WHERE wrong"
+)
+EXPECTED["apply_beside_errors"] = sql(
+    """SELECT m.* REPLACE (coalesce(e.new_vendor_id, m.new_vendor_id) AS new_vendor_id)
+    FROM map_vendor m LEFT JOIN (SELECT DISTINCT * FROM vendor_edits WHERE NOT skipped AND NOT wrong) e
+        ON e.data_folder_id = m.data_folder_id AND e.legacy_vendor_id = m.legacy_vendor_id"""
+)
+EXPECTED["controls_checked"] = sql(
+    """SELECT 'GL_STOP_' || Data_Folder_Id AS field_name,
+        if(Data_Folder_Id IN ('F1', 'F3'), '', CAST(max(Accounting_Date) AS VARCHAR)) AS field_value,
+        if(Data_Folder_Id IN ('F1', 'F3'), 'not readable: field_value', '') AS reason
+    FROM fx_glt GROUP BY Data_Folder_Id"""
 )
 EXPECTED["apply_entity"] = sql(
     """SELECT m.* REPLACE (w.new_entity_id AS new_entity_id, 1 AS pkg_base, 0 AS pkg_npc_commit)

@@ -33,7 +33,7 @@ from ledgermap.plans import contracts, jobcost, ledger, mappings
 from ledgermap.plans.common import included_jobs, look_up
 from ledgermap.plans.registry import ARCHIVED, DATASETS
 from ledgermap.plans.seeds import SEEDS
-from ledgermap.sources.sheets import EXTRA, SHEETS, clean_sheet
+from ledgermap.sources.sheets import EXTRA, SHEETS, checked_rows, clean_sheet, error_rows, usable_rows
 from ledgermap.sources.sink import text_form
 from ledgermap.sources.tables import lookup_1099, lookup_acct_type, lookup_state
 
@@ -172,6 +172,53 @@ def apply_audit(t: Landed) -> DataFrame:
     return mappings.apply_audit(t.maps["customer"], customer_edits(t), SHEETS["customer"], EXTRA)
 
 
+def vendor_edits(t: Landed) -> DataFrame:
+    """The vendor sheet after editing, with new ids that are too wide for the table and hidden rows."""
+    number = F.substring("legacy_vendor_id", 2, 5).cast("int")
+    return mappings.export_sheet(t.maps, "vendor").withColumns(
+        {
+            "new_vendor_id": F.when(number % 13 == 0, F.repeat(c("legacy_vendor_id"), F.lit(9))).otherwise(F.concat(F.lit("W"), c("legacy_vendor_id"))),
+            EXTRA: F.when(number % 7 == 0, "hide"),
+            "_row": number,
+        }
+    )
+
+
+@query
+def apply_audit_errors(t: Landed) -> DataFrame:
+    return mappings.apply_audit(t.maps["vendor"], vendor_edits(t), SHEETS["vendor"], EXTRA)
+
+
+@query
+def sheet_errors(t: Landed) -> DataFrame:
+    return mappings.sheet_errors(vendor_edits(t), SHEETS["vendor"], EXTRA)
+
+
+@query
+def apply_beside_errors(t: Landed) -> DataFrame:
+    return mappings.apply_raw(t.maps["vendor"], vendor_edits(t), "vendor", EXTRA)
+
+
+def folder_controls(t: Landed) -> DataFrame:
+    """A date parameter for each folder, from its newest posting; some are no day that a spreadsheet shows."""
+    day = F.date_diff("Accounting_Date", F.lit("1899-12-30").cast("date"))
+    last = t.src["gl_transaction"].groupBy("Data_Folder_Id").agg(F.max(day).alias("day"))
+    wide = F.when(c("Data_Folder_Id").isin("F1", "F3"), c("day") * 1000).otherwise(c("day"))
+    return last.select(
+        F.concat(F.lit("GL_STOP_"), c("Data_Folder_Id")).alias("field_name"), wide.cast("string").alias("field_value"),
+        F.lit(1).alias("_row"),
+    )
+
+
+@query
+def controls_checked(t: Landed) -> DataFrame:
+    """Parameters that can be applied with their value, the others with their reason."""
+    sheet = SHEETS["useful_fields"]
+    checked = checked_rows(folder_controls(t), sheet)
+    good = usable_rows(checked, sheet).select("field_name", "field_value", F.lit("").alias("reason"))
+    return good.unionByName(error_rows(checked, sheet).withColumn("field_value", F.lit("")))
+
+
 @query
 def apply_entity(t: Landed) -> DataFrame:
     raw = mappings.export_sheet(t.maps, "entity").withColumns(

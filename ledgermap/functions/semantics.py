@@ -102,12 +102,12 @@ def money_text(col: Column) -> Column:
 
 
 def flag_from_text(col: Column) -> Column:
-    """A sheet cell read into a 0/1 column: blank and ``False`` are 0, ``True`` and non-zero numbers 1."""
+    """A sheet cell read into a 0/1 column: blank and ``False`` are 0, ``True`` and non-zero numbers 1, other text NULL."""
     word = F.lower(F.trim(col))
     return (
         F.when(word == "true", F.lit(1))
         .when(word.isin("false", ""), F.lit(0))
-        .otherwise((word.cast("int") != 0).cast("int"))
+        .otherwise((word.try_cast("int") != 0).cast("int"))
     )
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermap.sources.versions import part_name, tables_of
+
 ROW = "_row"
 
 
@@ -27,13 +28,18 @@ def _matched(target: DataFrame, sheet: DataFrame, keys: Sequence[str], cols: Seq
     return target.join(side, same, "left").withColumn("_hit", F.col(f"_key_{keys[0]}").isNotNull())
 
 
-def apply_update(target: DataFrame, sheet: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def apply_update(
+    target: DataFrame, sheet: DataFrame, keys: Sequence[str], cols: Sequence[str], seen: Observation | None = None
+) -> DataFrame:
     """Write the sheet's ``cols`` into the rows of ``target`` with equal keys.
 
-    Rows are never added. Blank cells overwrite. A key that is NULL matches nothing.
+    Rows are never added. Blank cells overwrite. A key that is NULL matches nothing. ``seen`` counts
+    the rows reached, as ``updated``, while the result is computed.
     """
     kind = {f.name: f.dataType for f in target.schema.fields}
     joined = _matched(target, sheet, keys, cols)
+    if seen is not None:
+        joined = joined.observe(seen, F.count_if("_hit").alias("updated"))
     return joined.select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}").cast(kind[c])).otherwise(F.col(c)).alias(c) if c in cols else c
@@ -47,35 +53,49 @@ def updated_rows(target: DataFrame, sheet: DataFrame, keys: Sequence[str]) -> Da
     return _matched(target, sheet, keys, []).filter("_hit").select(*target.columns)
 
 
+FOLDER = "data_folder_id"
+
+
+def _folder(df: DataFrame) -> str | None:
+    return FOLDER if FOLDER in df.columns else None
+
+
 def replace_table(spark: SparkSession, database: str, name: str, df: DataFrame) -> int:
     """Store a new version of a table and return its row count, counted during the write.
 
-    The new version is written beside the old one and swapped in by name, so the table being read
-    is never overwritten. The old version is dropped last; if the swap fails it gets its name back.
+    Readers find the version before until the new one is whole; see ``sources.versions``.
+    """
+    return tables_of(spark, database).write(name, df, _folder(df)).rows
+
+
+def update_table(
+    spark: SparkSession, database: str, name: str, sheet: DataFrame, keys: Sequence[str], cols: Sequence[str]
+) -> int:
+    """Apply a cleaned sheet to a stored table; returns the number of rows it reached.
+
+    Only the data folders that the sheet names are read and written again. There is one entry per
+    folder in the table's manifest, so their list is as short as that.
     """
-    fresh = f"{database}.{name}_{uuid4().hex[:12]}"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(fresh)
-    current, aside = f"{database}.{name}", f"{fresh}_old"
-    there = spark.catalog.tableExists(current)
-    if there:
-        spark.sql(f"ALTER TABLE {current} RENAME TO {aside}")
-    try:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {current}")
-    except Exception:
-        if there:
-            spark.sql(f"ALTER TABLE {aside} RENAME TO {current}")
-        raise
-    if there:
-        spark.sql(f"DROP TABLE {aside}")
-    return seen.get["rows"]
+    store, seen = tables_of(spark, database), Observation()
+    if FOLDER not in keys:
+        target = store.read(name)
+        store.write(name, apply_update(target, sheet, keys, cols, seen), _folder(target))
+        return seen.get["updated"]
+    there = set(store.version(name).parts)
+    named = [r[0] for r in sheet.select(FOLDER).distinct().collect()]
+    folders = [f for f in named if f is not None and part_name(f) in there]
+    if not folders:
+        return 0
+    target = store.read(name, folders=folders)
+    store.rewrite(name, apply_update(target, sheet, keys, cols, seen), FOLDER, folders)
+    return seen.get["updated"]
 
 
 def seed(spark: SparkSession, database: str, name: str, build: Callable[[], DataFrame]) -> bool:
-    """Store a translation table unless it exists; tells whether it was written."""
-    if spark.catalog.tableExists(f"{database}.{name}"):
+    """Store the first version of a translation table unless there is one; tells whether it was written."""
+    if tables_of(spark, database).exists(name) or spark.catalog.tableExists(f"{database}.{name}"):
         return False
-    build().write.format("parquet").saveAsTable(f"{database}.{name}")
+    replace_table(spark, database, name, build())
     return True
 
 
@@ -95,6 +115,7 @@ def teardown(spark: SparkSession, database: str, tables: Sequence[str], confirm:
     if confirm != database:
         raise ValueError("confirm must repeat the database name")
     for name in tables:
+        tables_of(spark, database).drop(name)
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     if any(not table.isTemporary for table in spark.catalog.listTables(database)):
         return False

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermap.functions.semantics import flag_text
 from ledgermap.operators.lookup import translate
-from ledgermap.operators.updates import apply_update, set_all, updated_rows
+from ledgermap.operators.updates import apply_update, replace_table, set_all, update_table, updated_rows
 from ledgermap.plans.common import Tables
-from ledgermap.sources.sheets import SHEETS, Sheet, clean_controls, clean_sheet, last_used_column, row_kind
+from ledgermap.sources.sheets import ERROR, KIND, READ, SHEETS, SKIPPED, Sheet, checked_rows, error_rows, usable_rows
 from ledgermap.sources.sink import write_import
+from ledgermap.sources.tables import mapping
+from ledgermap.sources.workspace import stage
 
 c = F.col
 
@@ -51,28 +54,64 @@ def apply_sheet(target: DataFrame, cleaned: DataFrame, sheet: Sheet) -> DataFram
 
 
 def apply_raw(target: DataFrame, raw: DataFrame, name: str, last: str | None = None) -> DataFrame:
+    """New version of the table; rows of the sheet that it cannot take are left out, see ``sheet_errors``."""
     sheet = SHEETS[name]
-    cleaned = clean_controls(raw) if name == "useful_fields" else clean_sheet(raw, sheet, last)
-    return apply_sheet(target, cleaned, sheet)
+    return apply_sheet(target, usable_rows(checked_rows(raw, sheet, last), sheet), sheet)
+
+
+def sheet_errors(raw: DataFrame, sheet: Sheet, last: str | None = None) -> DataFrame:
+    """Rows of a sheet that cannot be applied: key columns and the reason."""
+    return error_rows(checked_rows(raw, sheet, last), sheet)
+
+
+def _counts() -> list[Column]:
+    kinds = {"rows_read": READ, "rows_skipped": SKIPPED, "rows_errors": ERROR}
+    return [F.count_if(c(KIND) == kind).alias(name) for name, kind in kinds.items()]
 
 
 def apply_audit(target: DataFrame, raw: DataFrame, sheet: Sheet, last: str | None = None) -> DataFrame:
-    """One row: sheet rows read and skipped, table rows updated."""
-    last = last or last_used_column(raw, sheet)
-    kinds = row_kind(raw, sheet, last)
-
-    def parts(read, skipped, updated):
-        return [
-            F.sum(read).cast("bigint").alias("rows_read"),
-            F.sum(skipped).cast("bigint").alias("rows_skipped"),
-            F.sum(updated).cast("bigint").alias("rows_updated"),
-        ]
-
-    def is_kind(kind: str):
-        return F.when(c("_kind") == kind, 1).otherwise(0)
-
-    zero, one = F.lit(0), F.lit(1)
-    of_sheet = kinds.agg(*parts(is_kind("read"), is_kind("skipped"), zero))
-    of_table = updated_rows(target, clean_sheet(raw, sheet, last), sheet.keys).agg(*parts(zero, zero, one))
+    """One row: sheet rows read, skipped and in error, table rows updated."""
+    checked = checked_rows(raw, sheet, last)
+    none = F.lit(0).cast("bigint")
+    of_sheet = checked.agg(*_counts()).withColumn("rows_updated", none)
+    reached = updated_rows(target, usable_rows(checked, sheet), sheet.keys)
+    of_table = reached.agg(F.count("*").alias("rows_updated")).withColumns(
+        {n: none for n in ("rows_read", "rows_skipped", "rows_errors")}
+    )
     both = of_sheet.unionByName(of_table)
-    return both.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in both.columns])
+    return both.agg(*[F.sum(n).alias(n) for n in ("rows_read", "rows_skipped", "rows_updated", "rows_errors")])
+
+
+@dataclass(frozen=True)
+class Audit:
+    read: int
+    skipped: int
+    errors: int
+    updated: int
+
+
+def errors_table(name: str) -> str:
+    return f"{name}_errors"
+
+
+def apply_to_table(spark: SparkSession, database: str, name: str, raw: DataFrame, last: str | None = None) -> Audit:
+    """Apply a sheet to a stored table and count, going on after rows that the table cannot take.
+
+    The sheet is checked in one pass, which counts its rows too. Rows in error become a version of
+    the table's error table, with their reasons; then the others are applied in a new version.
+    """
+    sheet, seen = SHEETS[name], Observation()
+    checked = stage(checked_rows(raw, sheet, last).observe(seen, *_counts()), "sheet")
+    replace_table(spark, database, errors_table(name), error_rows(checked, sheet))
+    if sheet.reset:
+        # every row changes, whatever the sheet names
+        counted = Observation()
+        target = mapping(spark, name, database)
+        for column in sheet.reset:
+            target = set_all(target, column, 0)
+        replace_table(spark, database, name, apply_update(target, usable_rows(checked, sheet), sheet.keys, sheet.updates, counted))
+        updated = counted.get["updated"]
+    else:
+        updated = update_table(spark, database, name, usable_rows(checked, sheet), sheet.keys, sheet.updates)
+    found = seen.get
+    return Audit(found["rows_read"], found["rows_skipped"], found["rows_errors"], updated)

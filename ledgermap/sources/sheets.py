@@ -6,7 +6,7 @@ carry the names of the translation table; the printed headers may repeat.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,12 @@ from ledgermap.functions.semantics import flag_from_text
 from ledgermap.operators.updates import ROW
 
 HIDE = "hide"
+#: Kinds of a sheet's rows, and the column that tells why a row cannot be applied.
+EMPTY, SKIPPED, READ, ERROR = "empty", "skipped", "read", "error"
+KIND, REASON = "_kind", "_reason"
+# The widest text that a column of a translation table takes.
+WIDTH = 50
+WIDTHS = {"category": 75, "field_value": 100}
 EXTRA = "_extra_column"
 Cell = Callable[[Column], Column]
 
@@ -240,23 +246,42 @@ def last_used_column(raw: DataFrame, sheet: Sheet) -> str:
     return sheet.columns[-1]
 
 
-def row_kind(raw: DataFrame, sheet: Sheet, last: str) -> DataFrame:
-    """Trim all cells and tell each row's kind: ``empty``, ``skipped`` or ``read``.
+def _first(reasons: list[Column]) -> Column:
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
 
-    A row is skipped when its last used cell says Hide, or when its first key is blank.
+
+def _too_long(names: Sequence[str]) -> list[Column]:
+    return [F.when(F.length(n) > WIDTHS.get(n, WIDTH), F.lit(f"too long: {n}")) for n in names]
+
+
+def row_kind(raw: DataFrame, sheet: Sheet, last: str, cells: Mapping[str, Cell] | None = None) -> DataFrame:
+    """Trim all cells and tell each row's kind: ``empty``, ``skipped``, ``error`` or ``read``.
+
+    A row is skipped when its last used cell says Hide, or when its first key is blank. A row whose
+    cells its table cannot take is an error, with the first such cell as its reason.
     """
-    cells = [n for n in (*sheet.columns, EXTRA) if n in raw.columns]
-    trimmed = raw.withColumns({n: F.trim(F.coalesce(n, F.lit(""))) for n in cells})
-    empty = F.concat(*cells) == ""
+    names = [n for n in (*sheet.columns, EXTRA) if n in raw.columns]
+    trimmed = raw.withColumns({n: F.trim(F.coalesce(n, F.lit(""))) for n in names})
+    change = sheet.cells if cells is None else cells
+    reasons = _too_long([n for n in (*sheet.keys, *sheet.updates) if n not in change])
+    reasons += [F.when(change[n](F.col(n)).isNull(), F.lit(f"not readable: {n}")) for n in sheet.updates if n in change]
+    empty = F.concat(*names) == ""
     skipped = (F.lower(last) == HIDE) | (F.col(sheet.keys[0]) == "")
-    return trimmed.withColumn("_kind", F.when(empty, "empty").when(skipped, "skipped").otherwise("read"))
+    usable = ~empty & ~skipped
+    out = trimmed.withColumn(REASON, F.when(usable, _first(reasons)))
+    kind = F.when(empty, EMPTY).when(skipped, SKIPPED).when(F.col(REASON).isNotNull(), ERROR).otherwise(READ)
+    return out.withColumn(KIND, kind)
 
 
 def clean_sheet(
     raw: DataFrame, sheet: Sheet, last: str | None = None, cells: Mapping[str, Cell] | None = None
 ) -> DataFrame:
     """The usable rows: key and new columns, each new cell after its transform."""
-    rows = row_kind(raw, sheet, last or last_used_column(raw, sheet)).filter(F.col("_kind") == "read")
+    rows = row_kind(raw, sheet, last or last_used_column(raw, sheet), cells).filter(F.col(KIND) == READ)
+    return _new_cells(rows, sheet, cells)
+
+
+def _new_cells(rows: DataFrame, sheet: Sheet, cells: Mapping[str, Cell] | None = None) -> DataFrame:
     change = sheet.cells if cells is None else cells
     new = [change[n](F.col(n)).alias(n) if n in change else F.col(n) for n in sheet.updates]
     return rows.select(*sheet.keys, *new, ROW)
@@ -268,22 +293,62 @@ def read_sheet(
     return clean_sheet(load_sheet(spark, path, sheet), sheet, cells=cells)
 
 
-# Parameter names holding these parts are dates; spreadsheets count days from here.
+# Parameter names holding these parts are dates; spreadsheets count days from here, and
+# can show the days between these numbers.
 DATE_PARTS = ("_END", "_START", "_STOP")
 DAY_ZERO = "1899-12-30"
+FIRST_SERIAL, LAST_SERIAL = -657435.0, 2958466.0
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def control_value(name: Column, value: Column) -> Column:
-    """A date parameter given as a serial day number becomes ``yyyy-MM-dd``; all else stays."""
+def _serial(name: Column, value: Column) -> Column:
+    """The day number that a date parameter is given as; NULL for all else."""
     is_date = F.lit(False)
     for part in DATE_PARTS:
         is_date = is_date | F.contains(F.upper(name), F.lit(part))
-    serial = value.try_cast("double")
-    day = F.date_add(F.to_date(F.lit(DAY_ZERO)), F.floor(serial).cast("int"))
-    return F.when(is_date & serial.isNotNull(), day.cast("string")).otherwise(value)
+    return F.when(is_date & F.rlike(value, F.lit(NUMBER)), value.try_cast("double"))
+
+
+def control_value(name: Column, value: Column) -> Column:
+    """A date parameter given as a serial day number becomes ``yyyy-MM-dd``, or NULL if there is no such day."""
+    serial = _serial(name, value)
+    shown = (serial > FIRST_SERIAL) & (serial < LAST_SERIAL)
+    # the time of day counts from zero on either side
+    whole = F.when(serial < 0, F.ceil(serial)).otherwise(F.floor(serial)).try_cast("int")
+    day = F.when(shown, F.date_add(F.to_date(F.lit(DAY_ZERO)), whole)).cast("string")
+    return F.when(serial.isNotNull(), day).otherwise(value)
+
+
+def control_kind(raw: DataFrame) -> DataFrame:
+    """Trimmed names and values of the controls with each row's kind and reason, as ``row_kind`` gives them."""
+    trimmed = raw.withColumns({n: F.trim(F.coalesce(n, F.lit(""))) for n in ("field_name", "field_value")})
+    name, value = F.col("field_name"), F.col("field_value")
+    no_day = F.when(control_value(name, value).isNull(), F.lit("not readable: field_value"))
+    empty = F.concat(name, value) == ""
+    out = trimmed.withColumn(REASON, F.when(name != "", _first([*_too_long(["field_name", "field_value"]), no_day])))
+    kind = F.when(empty, EMPTY).when(name == "", SKIPPED).when(F.col(REASON).isNotNull(), ERROR).otherwise(READ)
+    return out.withColumn(KIND, kind)
+
+
+def checked_rows(raw: DataFrame, sheet: Sheet, last: str | None = None) -> DataFrame:
+    """Every row of a sheet with its kind, and the reason of those that are errors."""
+    if sheet.table == "useful_fields":
+        return control_kind(raw)
+    return row_kind(raw, sheet, last or last_used_column(raw, sheet))
+
+
+def usable_rows(checked: DataFrame, sheet: Sheet) -> DataFrame:
+    """Of ``checked_rows`` those to apply: key and new columns, and the place in the sheet."""
+    rows = checked.filter(F.col(KIND) == READ)
+    if sheet.table == "useful_fields":
+        return rows.select("field_name", control_value(F.col("field_name"), F.col("field_value")).alias("field_value"), ROW)
+    return _new_cells(rows, sheet)
+
+
+def error_rows(checked: DataFrame, sheet: Sheet) -> DataFrame:
+    """Of ``checked_rows`` those that cannot be applied: key columns and reason."""
+    return checked.filter(F.col(KIND) == ERROR).select(*sheet.keys, F.col(REASON).alias("reason"))
 
 
 def clean_controls(raw: DataFrame) -> DataFrame:
-    name, value = F.trim("field_name"), F.trim(F.coalesce("field_value", F.lit("")))
-    rows = raw.select(name.alias("field_name"), control_value(name, value).alias("field_value"), ROW)
-    return rows.filter(F.col("field_name") != "")
+    return usable_rows(control_kind(raw), SHEETS["useful_fields"])

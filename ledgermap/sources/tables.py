@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermap.sources.schemas import SOURCES, conform, conform_mapping, mapping_schema
+from ledgermap.sources.versions import tables_of
 
 # Account type -> statement type, normal balance, closeable.
 ACCOUNT_TYPES = [
@@ -117,8 +118,9 @@ def in_months(df: DataFrame, date: str, first: dt.date | None, last: dt.date) ->
 
 
 def mapping(spark: SparkSession, name: str, database: str) -> DataFrame:
-    """Read a translation table from the catalog, adding columns that an older version lacks."""
-    return conform_mapping(spark.table(f"{database}.{name}"), name)
+    """The newest version of a translation table, or the catalog's table, with columns that an older one lacks."""
+    store = tables_of(spark, database)
+    return conform_mapping(store.read(name) if store.exists(name) else spark.table(f"{database}.{name}"), name)
 
 
 # Parameter names.

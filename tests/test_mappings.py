@@ -51,7 +51,7 @@ def test_update_rules(spark, mapped):
         "D": "old",
         None: "old",
     }
-    assert tuple(mappings.apply_audit(target, raw, SHEETS["vendor"]).first()) == (4, 2, 2)
+    assert tuple(mappings.apply_audit(target, raw, SHEETS["vendor"]).first()) == (4, 2, 2, 0)
     again = mappings.apply_raw(done, raw, "vendor")
     assert sorted(map(str, again.collect())) == sorted(map(str, done.collect()))
 
