@@ -1380,3 +1380,59 @@ EXPECTED["rebase_contract"] = sql(
         if(j.new_job_id IS NULL, c.Contract, 'N' || j.new_job_id) AS contract_id
     FROM fx_contract c LEFT JOIN jobs_in j ON j.legacy_job_id = c.Contract AND j.data_folder_id = c.Data_Folder_Id"""
 )
+
+# --- uneven keys, shared work, forecasts -------------------------------------------------------
+
+EXPECTED["translate_spread"] = EXPECTED["translate_lookup"]
+EXPECTED["translate_spread_blank"] = sql(
+    """SELECT t.Data_Folder_Id, t.Account, t.Batch, nullif(t.Vendor, '') AS Vendor, t.Debit, m.new_vendor_id
+    FROM fx_glt t LEFT JOIN map_vendor m ON m.legacy_vendor_id = nullif(t.Vendor, '')
+        AND m.data_folder_id = t.Data_Folder_Id"""
+)
+EXPECTED["open_ap_spread"] = EXPECTED["import_open_ap"]
+EXPECTED["heavy_vendor_keys"] = sql(
+    """SELECT Data_Folder_Id, Vendor, count(*) AS rows FROM fx_glt GROUP BY 1, 2
+    HAVING count(*) >= CAST(0.01 AS DOUBLE) * (SELECT count(*) FROM fx_glt)"""
+)
+_BORDERS = [1980, 1999, 2000, 2024]
+_STRETCH = " + ".join(
+    f"CAST(Accounting_Date >= DATE '{d}' AS INT)" for d in [*(f"{y}-01-01" for y in _BORDERS), "1999-12-01"]
+)
+EXPECTED["ledger_summary"] = sql(
+    f"""SELECT Data_Folder_Id, Account, Batch, Application_of_Origin, Accrual_or_Cash,
+        max(Accounting_Date) AS Accounting_Date, CAST(sum(Debit) AS DECIMAL(28,2)) AS Debit,
+        CAST(sum(Credit) AS DECIMAL(28,2)) AS Credit, count(*) AS entries
+    FROM fx_glt GROUP BY 1, 2, 3, 4, 5, last_day(Accounting_Date), {_STRETCH}"""
+)
+for _name in ("import_gl_opening", "import_gl_monthly", "import_gl_detail", "report_gl_batch_outage"):
+    EXPECTED[f"shared_{_name}"] = EXPECTED[_name]
+for _name in ("seed_batch_combine", "latest_per_batch"):
+    EXPECTED[f"shared_{_name}"] = EXPECTED[_name]
+CTES["ap_open"] = """
+    SELECT d.*, d.Amount - d.Amount_Paid AS _price
+    FROM fx_ap_distribution d
+    LEFT JOIN fx_ap_invoice i ON i.Data_Folder_Id = d.Data_Folder_Id AND i.Vendor = d.Vendor AND i.Invoice = d.Invoice
+    WHERE (i.Status = 'Open' AND d.Amount - d.Amount_Paid <> 0) OR d.Retainage - d.Retainage_Paid <> 0
+"""
+EXPECTED["open_ap_forecast"] = sql(
+    "SELECT (SELECT count(*) FROM ap_open) AS rows_in, (SELECT count(*) FROM ap_rows) AS rows_out"
+)
+_MISSING = {
+    "vendor": ("d.Vendor || ' | ' || d.Data_Folder_Id", "map_vendor m", "m.legacy_vendor_id = d.Vendor AND "),
+    "cost code": ("d.Cost_Code || ' | ' || d.Data_Folder_Id", "map_cost_code m", "m.legacy_cost_code_id = d.Cost_Code AND "),
+    "cost type": ("d.Category || ' | ' || d.Data_Folder_Id", "map_cost_type m", "m.legacy_cost_type_id = d.Category AND "),
+    "job": ("d.Job || ' | ' || d.Data_Folder_Id", "jobs_plain m", "m.legacy_job_id = d.Job AND "),
+    "entity": ("d.Data_Folder_Id", "map_entity m", ""),
+}
+EXPECTED["open_ap_missing"] = sql(
+    " UNION ALL ".join(
+        f"""SELECT '{label}' AS lookup, {key} AS legacy_key, count(*) AS rows, CAST(sum(_price) AS DECIMAL(38,2)) AS amount
+        FROM ap_open d WHERE NOT EXISTS (SELECT 1 FROM {table} WHERE {same}m.data_folder_id = d.Data_Folder_Id)
+        GROUP BY 2"""
+        for label, (key, table, same) in _MISSING.items()
+    )
+)
+EXPECTED["split_reads"] = sql(
+    """SELECT Data_Folder_Id, count(*) AS entries, CAST(sum(Debit) AS DECIMAL(38,2)) AS debit
+    FROM fx_glt GROUP BY Data_Folder_Id"""
+)

@@ -29,13 +29,14 @@ from ledgermap.operators.lookup import (
     translate_account,
     unused_keys,
 )
-from ledgermap.plans import contracts, jobcost, ledger, mappings
+from ledgermap.operators.spread import heavy_keys
+from ledgermap.plans import contracts, jobcost, ledger, mappings, payables, summary
 from ledgermap.plans.common import included_jobs, look_up
 from ledgermap.plans.registry import ARCHIVED, DATASETS
 from ledgermap.plans.seeds import SEEDS
 from ledgermap.sources.sheets import EXTRA, SHEETS, checked_rows, clean_sheet, error_rows, usable_rows
 from ledgermap.sources.sink import text_form
-from ledgermap.sources.tables import lookup_1099, lookup_acct_type, lookup_state
+from ledgermap.sources.tables import lookup_1099, lookup_acct_type, lookup_state, split_predicates
 
 c = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,3 +446,67 @@ def rebase_contract_(t: Landed) -> DataFrame:
 
 
 QUERIES["rebase_contract"] = QUERIES.pop("rebase_contract_")
+
+
+# --- uneven keys, shared work, forecasts --------------------------------------------------------
+
+
+@query
+def translate_spread(t: Landed) -> DataFrame:
+    """The lookup of ``translate_lookup`` with heavy keys dealt over the tasks."""
+    rows = t.src["jc_transaction"].select("Data_Folder_Id", "Job", "Cost_Code", "Category", "Amount")
+    df = look_up(rows, t.maps, "cost_type", "Category", {"new_cost_type_id": "new_cost_type_id"}, spread=True)
+    return df.withColumn("new_cost_type_id", F.coalesce("new_cost_type_id", "Category"))
+
+
+@query
+def translate_spread_blank(t: Landed) -> DataFrame:
+    """Vendors of ledger rows, three quarters of which have none."""
+    rows = t.src["gl_transaction"].select("Data_Folder_Id", "Account", "Batch", F.nullif("Vendor", F.lit("")).alias("Vendor"), "Debit")
+    return look_up(rows, t.maps, "vendor", "Vendor", {"new_vendor_id": "new_vendor_id"}, spread=True)
+
+
+@query
+def open_ap_spread(t: Landed) -> DataFrame:
+    return DATASETS["import_open_ap"].build(t.src, t.maps, t.params, spread_keys=True)
+
+
+@query
+def heavy_vendor_keys(t: Landed) -> DataFrame:
+    return heavy_keys(t.src["gl_transaction"], ["Data_Folder_Id", "Vendor"], 0.01)
+
+
+def _shared(t: Landed) -> dict[str, DataFrame]:
+    return summary.with_summary(t.src, t.params)
+
+
+@query
+def ledger_summary(t: Landed) -> DataFrame:
+    return summary.ledger_summary(t.src["gl_transaction"], t.params)
+
+
+for _name in ("import_gl_opening", "import_gl_monthly", "import_gl_detail", "report_gl_batch_outage"):
+    _register(f"shared_{_name}", lambda t, d=DATASETS[_name]: d.build(_shared(t), t.maps, t.params))
+_register("shared_seed_batch_combine", lambda t: SEEDS["batch_combine"](_shared(t), t.params))
+_register("shared_latest_per_batch", lambda t: ledger.latest_of_batch(_shared(t)[summary.SUMMARY]))
+
+
+@query
+def open_ap_forecast(t: Landed) -> DataFrame:
+    return payables.open_ap_forecast(t.src, t.maps)
+
+
+@query
+def open_ap_missing(t: Landed) -> DataFrame:
+    return payables.open_ap_missing(t.src, t.maps)
+
+
+@query
+def split_reads(t: Landed) -> DataFrame:
+    """Ledger rows per folder, read piece by piece between quantiles of their date."""
+    rows = t.src["gl_transaction"]
+    pieces = [rows.filter(p) for p in split_predicates(rows, "Accounting_Date", 8)]
+    every = pieces[0]
+    for piece in pieces[1:]:
+        every = every.unionByName(piece)
+    return every.groupBy("Data_Folder_Id").agg(F.count("*").alias("entries"), F.sum("Debit").cast(MONEY).alias("debit"))

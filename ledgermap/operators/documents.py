@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgermap.functions.semantics import MONEY, month_end, or_no_date, year_month
 from ledgermap.operators.numbering import number_lines, rows_before
-from ledgermap.sources.workspace import stage
 
 BATCH_ROWS = 5000
 
@@ -85,25 +84,42 @@ def double_entry(df: DataFrame, entry_keys: Sequence[str], offset_keys: Sequence
 def pack_batches(df: DataFrame, group: str, size: int = BATCH_ROWS, out: str = "batch_num") -> DataFrame:
     """Number batches of about ``size`` rows in group order without splitting a group.
 
-    A group's batch follows from the number of rows in all earlier groups.
+    A group's batch follows from the number of rows in all earlier groups. Rows without a group are
+    one group, the first.
     """
     counts = df.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_rows"))
     batches = rows_before(counts, "_group", "_rows", "_prior").select(
         "_group", (F.floor(F.col("_prior") / size) + 1).cast("bigint").alias(out)
     )
-    return df.join(batches, F.col(group) == F.col("_group")).drop("_group")
+    return df.join(batches, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def with_total(df: DataFrame, sums: Sequence[str], labels: Mapping[str, str], flag: str = "is_total") -> DataFrame:
-    """Append one row of column sums; the other columns hold ``labels``, or blank."""
-    rows = stage(df, "report")
-    blanks = [c for c in rows.columns if c not in sums]
-    total = rows.agg(*[F.sum(c).alias(c) for c in sums]).select(
-        *[F.lit(labels.get(c, "")).alias(c) for c in blanks],
-        *[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in sums],
-        F.lit(1).alias(flag),
+    """Append one row of column sums; the other columns hold ``labels``, or blank.
+
+    Rows and total come from one pass as two grouping sets: all columns, and none. Equal rows are
+    counted and repeated again. A row that belongs to no group but the total makes sure of a total
+    where there are no rows.
+    """
+    names, mark, copies = df.columns, "_no_row", "_copies"
+    none = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema], F.lit(1).alias(mark))
+    rows = df.withColumn(mark, F.lit(0)).unionByName(none)
+    keys = [*names, mark]
+    grouped = rows.groupingSets([[F.col(f"`{k}`") for k in keys], []], *[F.col(f"`{k}`") for k in keys]).agg(
+        F.grouping(mark).cast("int").alias(flag),
+        F.count("*").alias(copies),
+        *[F.sum(f"`{n}`").cast(df.schema[n].dataType).alias(f"_sum_{n}") for n in sums],
     )
-    return rows.withColumn(flag, F.lit(0)).unionByName(total)
+    total = F.col(flag) == 1
+
+    def shown(name: str) -> Column:
+        if name in sums:
+            return F.when(total, F.col(f"_sum_{name}")).otherwise(F.col(f"`{name}`")).alias(name)
+        return F.when(total, F.lit(labels.get(name, ""))).otherwise(F.col(f"`{name}`")).alias(name)
+
+    each = F.sequence(F.lit(1).cast("bigint"), F.when(total, F.lit(1).cast("bigint")).otherwise(F.col(copies)))
+    kept = grouped.filter(total | (F.col(mark) == 0)).select(*[shown(n) for n in names], flag, F.explode(each).alias(copies))
+    return kept.drop(copies)
 
 
 # Keys of a receivable's status and the amount kinds that the balances single out.

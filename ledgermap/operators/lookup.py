@@ -2,7 +2,7 @@
 
 No side is forced into a broadcast here, except the three fixed lookups. Translation tables are
 stored tables, so the planner knows their size: small ones are broadcast, large ones are joined by
-a shuffle, and adaptive execution splits partitions that a hot key has made too large.
+a shuffle. Where keys are uneven, ``translate`` can spread the heavy ones (``operators.spread``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermap.operators.spread import spread_join
+
 MISSING_ACCOUNT = "(MISSING)"
 
 
@@ -33,12 +35,17 @@ def translate(
     cols: Mapping[str, str],
     default: Mapping[str, Column | str] | None = None,
     how: str = "left",
+    spread: bool = False,
 ) -> DataFrame:
     """Join ``table`` on ``{column: table column}`` and add ``{new name: table column}``.
 
-    ``default`` gives, per new name, the value to use when the lookup found nothing.
+    ``default`` gives, per new name, the value to use when the lookup found nothing. ``spread`` deals
+    heavy keys of ``df`` over many tasks; it costs a pass over the key columns of ``df`` and pays for
+    tables too large to be broadcast.
     """
-    out = df.join(_side(table, on, cols), _condition(on), how).drop(*[f"_key{i}" for i in range(len(on))])
+    keys = [f"_key{i}" for i in range(len(on))]
+    side = _side(table, on, cols)
+    out = (spread_join(df, side, list(on), keys, how) if spread else df.join(side, _condition(on), how)).drop(*keys)
     for name, value in (default or {}).items():
         fallback = value if isinstance(value, Column) else F.lit(value)
         out = out.withColumn(name, F.coalesce(F.col(name), fallback))

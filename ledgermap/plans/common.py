@@ -65,10 +65,17 @@ _KEYS = {
 
 
 def look_up(
-    df: DataFrame, maps: Tables, name: str, key: str, cols: Mapping[str, str], how: str = "left", folder="Data_Folder_Id"
+    df: DataFrame,
+    maps: Tables,
+    name: str,
+    key: str,
+    cols: Mapping[str, str],
+    how: str = "left",
+    folder="Data_Folder_Id",
+    spread: bool = False,
 ) -> DataFrame:
     """Translate ``key`` through the named table within the row's data folder."""
-    return translate(df, maps[name], {key: _KEYS[name], folder: "data_folder_id"}, cols, how=how)
+    return translate(df, maps[name], {key: _KEYS[name], folder: "data_folder_id"}, cols, how=how, spread=spread)
 
 
 def included_jobs(maps: Tables) -> DataFrame:

@@ -20,6 +20,7 @@ from ledgermap.operators.documents import header_detail, sides
 from ledgermap.operators.lookup import MISSING_ACCOUNT, base_account_targets, existing_keys, latest_per, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line
 from ledgermap.plans.seeds import accounts
+from ledgermap.plans.summary import ledger_rows
 from ledgermap.sources.tables import Params, in_months
 
 c = F.col
@@ -72,7 +73,7 @@ def batch_labels(src: Tables, maps: Tables, strict_keys: bool) -> DataFrame:
     Batches are matched by batch alone; with ``strict_keys`` also by folder and month.
     """
     combine = maps["batch_combine"].select("source_batch", "period", "to_batch_alias", "to_batch_id")
-    newest = latest_of_batch(existing_keys(src["gl_transaction"], combine, {"Batch": "to_batch_id"}))
+    newest = latest_of_batch(existing_keys(ledger_rows(src), combine, {"Batch": "to_batch_id"}))
     df = translate(
         combine,
         newest,
@@ -98,8 +99,8 @@ def _label_join(df: DataFrame, labels: DataFrame, strict_keys: bool) -> DataFram
     return translate(df, labels, on, cols)
 
 
-def _window(src: Tables, start: dt.date, stop: dt.date) -> DataFrame:
-    return in_months(src["gl_transaction"], "Accounting_Date", start, stop).filter(c("Accrual_or_Cash") == "Accrual")
+def _window(rows: DataFrame, start: dt.date, stop: dt.date) -> DataFrame:
+    return in_months(rows, "Accounting_Date", start, stop).filter(c("Accrual_or_Cash") == "Accrual")
 
 
 def _net_per_account(
@@ -108,7 +109,7 @@ def _net_per_account(
     """Summed transactions of the window per account (and month), times their batch copies."""
     day = month_end(c("Accounting_Date")) if by_month else F.last_day(F.lit(stop))
     sums = (
-        _window(src, start, stop)
+        _window(ledger_rows(src), start, stop)
         .groupBy("Data_Folder_Id", "Account", "Batch", day.alias("_day"))
         .agg(F.sum("Debit").alias("debit"), F.sum("Credit").alias("credit"))
     )
@@ -116,7 +117,7 @@ def _net_per_account(
         weighted = sums.withColumn("_batch_copies", F.lit(1))
     else:
         combine = maps["batch_combine"]
-        combined = existing_keys(src["gl_transaction"], combine, {"Batch": "to_batch_id"})
+        combined = existing_keys(ledger_rows(src), combine, {"Batch": "to_batch_id"})
         folders = combined.select("Data_Folder_Id", "Batch").distinct().groupBy("Batch").agg(F.count("*").alias("_n"))
         copies = (
             translate(combine, folders, {"to_batch_id": "Batch"}, {"_n": "_n"}, {"_n": F.lit(1)})
@@ -199,7 +200,7 @@ def gl_memo() -> Column:
 
 
 def _detail(src: Tables, maps: Tables, params: Params, strict_keys: bool) -> DataFrame:
-    df = _window(src, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
+    df = _window(src["gl_transaction"], params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
     df = _label_join(df, batch_labels(src, maps, strict_keys), strict_keys)
     cols = {n: n for n in ("acct_no", "_location", "_department", "_entity", "copies")}
     targets = account_targets(src, maps)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermap.functions.semantics import blank_if_null, first_chars, iso_or_blank, tag
 from ledgermap.operators.documents import header_detail
 from ledgermap.operators.lookup import translate
+from ledgermap.operators.spread import forecast, missing_keys
 from ledgermap.plans.common import (
     SKIP,
     Tables,
@@ -48,17 +49,23 @@ def open_distributions(src: Tables) -> DataFrame:
 
 
 def import_open_ap(
-    src: Tables, maps: Tables, params: Params, strict_keys: bool = False, sort_columns: bool = False
+    src: Tables,
+    maps: Tables,
+    params: Params,
+    strict_keys: bool = False,
+    sort_columns: bool = False,
+    spread_keys: bool = False,
 ) -> DataFrame:
+    """``spread_keys`` deals heavy vendors and jobs (blank ones above all) over many tasks."""
     folder = {"Data_Folder_Id": "Data_Folder_Id"}
     df = open_distributions(src)
     df = translate(df, src["vendor"], {"Vendor": "Vendor", **folder}, {"_vendor_name": "Name"})
-    df = look_up(df, maps, "vendor", "Vendor", {"_vendor": "new_vendor_id", "_vendor_in": "include_vendor"})
+    df = look_up(df, maps, "vendor", "Vendor", {"_vendor": "new_vendor_id", "_vendor_in": "include_vendor"}, spread=spread_keys)
     df = look_up(df, maps, "cost_code", "Cost_Code", {"_task": "new_cost_code_id"})
     df = look_up(df, maps, "cost_type", "Category", {"_type": "new_cost_type_id"})
     df = translate(df, src["account_format"], folder, {"_a_length": "Account_Prefix_A_Length"})
     job = {"_job": "new_job_id", "_include": "include_job"}
-    df = look_up(df, {"job": jobs_without_extra(maps)}, "job", "Job", job)
+    df = look_up(df, {"job": jobs_without_extra(maps)}, "job", "Job", job, spread=spread_keys)
     df = folder_entities(df, maps, {"_entity": "new_entity_id", "_npc": "pkg_npc_commit"}, strict_keys)
 
     plain = (c("_npc") == 0) | ((c("_npc") == 1) & ((c("Job") == "") | (c("_include") == 0)))
@@ -138,6 +145,33 @@ def import_open_ap(
     )
 
 
+def open_ap_lookups(src: Tables, maps: Tables) -> dict[str, tuple[DataFrame, dict[str, str]]]:
+    """The lookups of ``import_open_ap`` after its invoices, by name: table, and its key by column."""
+    folder = {"Data_Folder_Id": "data_folder_id"}
+    return {
+        "vendor name": (src["vendor"], {"Vendor": "Vendor", "Data_Folder_Id": "Data_Folder_Id"}),
+        "vendor": (maps["vendor"], {"Vendor": "legacy_vendor_id", **folder}),
+        "cost code": (maps["cost_code"], {"Cost_Code": "legacy_cost_code_id", **folder}),
+        "cost type": (maps["cost_type"], {"Category": "legacy_cost_type_id", **folder}),
+        "account format": (src["account_format"], {"Data_Folder_Id": "Data_Folder_Id"}),
+        "job": (jobs_without_extra(maps), {"Job": "legacy_job_id", **folder}),
+        "entity": (maps["entity"], folder),
+    }
+
+
+def open_ap_forecast(src: Tables, maps: Tables) -> DataFrame:
+    """How many rows ``import_open_ap`` will have, before it runs."""
+    chain = [(table, on, "left") for table, on in open_ap_lookups(src, maps).values()]
+    return forecast(open_distributions(src), chain)
+
+
+def open_ap_missing(src: Tables, maps: Tables) -> DataFrame:
+    """Keys of the open distributions that have no translation, with their rows and unpaid amounts."""
+    lookups = open_ap_lookups(src, maps)
+    wanted = {n: lookups[n] for n in ("vendor", "cost code", "cost type", "job", "entity")}
+    return missing_keys(open_distributions(src), wanted, "_price")
+
+
 # Line order inside an invoice: the distribution number, then every column that can differ.
 OPEN_AP_ORDER = (
     "Dist_Seq _entity Description _price _retained _project _task _type _package "

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 
 from ledgermap.plans import contracts, jobcost, ledger, masters, payables, receivables, reports
 from ledgermap.plans.common import Tables, verbatim_header
+from ledgermap.plans.summary import AREA, SUMMARY, with_summary
 from ledgermap.sources.sink import ImportJob, Outcome, generate_imports
 from ledgermap.sources.tables import Params
+from ledgermap.sources.workspace import clear
 
 
 @dataclass(frozen=True)
@@ -65,12 +67,19 @@ ARCHIVED: dict[str, Dataset] = {
 
 
 def run_all(src: Tables, maps: Tables, params: Params, out_dir: str) -> list[Outcome]:
-    """Write every current dataset below ``out_dir``."""
+    """Write every current dataset below ``out_dir``.
+
+    The coarse ledger datasets share one summary of the ledger; the detail reads its own months.
+    """
+    shared = with_summary(src, params)
 
     def job(dataset: Dataset) -> ImportJob:
         options = {"sort_columns": True} if dataset.sorted_by_helper else {}
         return ImportJob(
-            lambda: dataset.build(src, maps, params, **options), verbatim_header, dataset.order_by, dataset.helpers
+            lambda: dataset.build(shared, maps, params, **options), verbatim_header, dataset.order_by, dataset.helpers
         )
 
-    return generate_imports({name: job(d) for name, d in DATASETS.items()}, out_dir)
+    try:
+        return generate_imports({name: job(d) for name, d in DATASETS.items()}, out_dir)
+    finally:
+        clear(shared[SUMMARY].sparkSession, AREA)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermap.functions.semantics import MONEY, month_end
 from ledgermap.plans.common import Tables, included_jobs, look_up
+from ledgermap.plans.summary import ledger_rows
 from ledgermap.sources.tables import Params
 
 c = F.col
@@ -14,7 +15,7 @@ c = F.col
 
 def report_gl_batch_outage(src: Tables, maps: Tables, params: Params) -> DataFrame:
     """Accrual batches that do not balance within a month and origin."""
-    rows = src["gl_transaction"].filter(
+    rows = ledger_rows(src).filter(
         (c("Accrual_or_Cash") == "Accrual") & (c("Accounting_Date") <= F.lit(params.outage_to).cast("date"))
     )
     keys = ["Data_Folder_Id", "Batch", month_end(c("Accounting_Date")).alias("Period"), "Application_of_Origin"]

@@ -12,6 +12,7 @@ from ledgermap.functions.parse import account_segments
 from ledgermap.functions.semantics import MONEY, joined, month_end, year_month
 from ledgermap.operators.lookup import translate, unused_keys
 from ledgermap.plans.common import Tables
+from ledgermap.plans.summary import ledger_rows
 from ledgermap.sources.schemas import mapping_schema
 from ledgermap.sources.tables import Params, empty_mapping, lookup_acct_type, useful_fields
 
@@ -198,7 +199,7 @@ def seed_entity(src: Tables, params: Params) -> DataFrame:
 
 def seed_batch_combine(src: Tables, params: Params) -> DataFrame:
     """Batches that do not balance within a month, for the chosen dates and account prefixes."""
-    rows = src["gl_transaction"].filter(
+    rows = ledger_rows(src).filter(
         c("Accounting_Date").between(F.lit(params.combine_from).cast("date"), F.lit(params.combine_to).cast("date"))
         & (c("Accrual_or_Cash") == "Accrual")
         & F.left("Account", F.lit(2)).isin(*params.combine_prefixes)

@@ -69,7 +69,8 @@ def source(
     """Scan a landed table: Parquet under ``root``, or over JDBC when ``root`` is a ``jdbc:`` address.
 
     A JDBC read must be split: pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-    ``numPartitions``, or ``predicates``, a condition for each part. Filters and column lists reach
+    ``numPartitions``, or ``predicates``, a condition for each part (``split_predicates`` finds even
+    ones). Filters and column lists reach
     either kind of source.
     """
     physical = SOURCES[name].physical
@@ -87,6 +88,23 @@ def source(
     return conform(df, name)
 
 
+def split_predicates(rows: DataFrame, column: str, parts: int) -> list[str]:
+    """Conditions that cut a table into about ``parts`` equally large pieces by a number or date column.
+
+    Their borders are quantiles of ``rows``, the table itself or an earlier landing of it. Whatever
+    the table holds later, each value and NULL meets exactly one condition. A value that fills several
+    pieces is one larger piece, so there may be fewer.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx(column, shares, 10_000)).first()[0] if shares else []
+    borders = sorted(set(found or []))
+    texts = [f"'{b}'" if isinstance(b, dt.date) else str(b) for b in borders]
+    if not texts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{column} < {texts[0]} OR {column} IS NULL", *middle, f"{column} >= {texts[-1]}"]
+
+
 def land(df: DataFrame, name: str, root: str) -> None:
     """Write a source table split by folder, transactions also by month of their date.
 

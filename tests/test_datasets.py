@@ -283,7 +283,7 @@ def test_filters_and_columns_reach_a_landed_table(spark, tables, tmp_path):
     land(tables.src["gl_transaction"], "gl_transaction", str(tmp_path))
     rows = read_source(spark, "gl_transaction", str(tmp_path))
     params = tables.params
-    df = ledger._window({"gl_transaction": rows}, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
+    df = ledger._window(rows, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
     plan = df.filter("Data_Folder_Id = 'F1'").select("Debit")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(Accounting_Date" in plan and "EqualTo(Accrual_or_Cash,Accrual)" in plan
     assert re.search(r"PartitionFilters: \[[^\]]*Data_Folder_Id", plan)
