@@ -1,19 +1,17 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 A document is the set of its five-word shingles, each hashed once. Its sketch keeps the least
-hashes. Inverted lists of the very least of them bring together documents that may overlap; two
-documents at the threshold lie in no common list with a chance of about 0.25 ** LISTED. Sketches
-of the union filter the candidates, which loses two such documents with a chance of about 4.6e-6,
-and the full sets verify them.
+hashes. Two documents at the threshold hold at least ``need`` of their sketches in common (for sets
+that the sketch holds whole this is certain, else it fails with a chance of about 4.6e-6). So values
+that only one sketch holds are put aside, a document that is left with fewer than that has no partner,
+and of the others each is listed under its rarest values only, all but ``need - 1`` of them: whatever
+two sketches share, the rarest shared value is among those that both list. What many documents quote
+is listed only for documents that consist of little else. Sketches of the union filter the
+candidates, and the full sets verify them.
 
 Documents with equal sets are one node. Every list first links its members to its first one, which
 joins most groups of copies without looking at their pairs. After that only members of different
 components are compared, by size class and in blocks of bounded size; no list is cut short.
-
-A hash with a very long list stands in a passage that many texts share. Two texts at the threshold
-of which one has at most HOT_SHARE of its hashes in such passages also share rarer hashes, so
-that text lists more of those instead. Long lists keep the texts that consist mostly of
-common passages.
 """
 
 from __future__ import annotations
@@ -33,20 +31,12 @@ from ledgermap.llm.exact_dedup import keep_rows
 WORDS = 5
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Hashes of a sketch, and how many of them have inverted lists.
+#: Hashes of a sketch.
 SKETCH = 64
-LISTED = 12
 #: Pairs whose union sketch is below this share (4.6 standard deviations below the threshold) go.
 LEAST_ESTIMATE = 0.5
-#: Members of a block; a task compares two blocks at a time. A longer list makes its hash a common one.
+#: Members of a block; a task compares two blocks at a time.
 BLOCK = 256
-#: A text of whose listed hashes at most this share is common lists further ones in their place, up
-#: to so many. Two texts at the threshold agree in (0.75 - 0.34) / (1 - 0.34) of their rarer hashes
-#: at least, and have none of those listed in common with a chance of about 0.38 ** 16.
-HOT_SHARE = 0.34
-LISTED_RARE = 16
-#: Groups of at most so many members are compared pair by pair instead of by matrices.
-FEW = 24
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -95,52 +85,39 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) -
     return found.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def _lists(nodes: DataFrame, count: int) -> DataFrame:
-    """``value, node, n``: each node with ``count`` of its least hashes."""
-
-    def work(columns: list, part: int) -> dict:
-        values = [np.frombuffer(s, np.int64)[:count] for s in columns[2]]
-        counts = [len(v) for v in values]
-        return {
-            "value": np.concatenate(values) if values else [],
-            "node": np.repeat(np.array(columns[0], np.int64), counts),
-            "n": np.repeat(np.array(columns[1], np.int64), counts),
-        }
-
-    return arrow_rows(nodes.select("node", "n", "sketch"), work, "value long, node long, n long")
+def need(n):
+    """How many values of its sketch a document of ``n`` shingles shares with any partner.
 
+    The intersection holds three quarters of the greater set. A sketch that is a whole set loses
+    none of it to a partner of at most so many shingles, and keeps 42 with the largest one possible
+    (64 - 0.25 * 85). Of two larger sets the union sketch holds half or more.
+    """
+    whole = F.least(F.ceil(n * PERCENT / 100), F.lit(42))
+    return F.when(n <= SKETCH, whole).otherwise(int(SKETCH * LEAST_ESTIMATE)).cast("int")
 
-def _rarer_lists(lists: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``value, node, n, plain``: ``lists`` with rarer hashes in place of common ones.
 
-    ``plain`` marks nodes that keep just the lists they had.
-    """
-    common = lists.groupBy("value").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK)
-    marked = lists.join(common.select("value", F.lit(1).alias("common")), "value", "left")
-    touched = stored(
-        marked.groupBy("node").agg(F.count("common").alias("often"), F.count("*").alias("all")).filter("often > 0")
-    )
-    kept = (
-        marked.join(touched, "node", "left")
-        .filter(F.col("common").isNull() | (F.col("often") > HOT_SHARE * F.col("all")))
-        .select("value", "node", "n", F.col("often").isNull().alias("plain"))
-    )
+def _values(sketches: DataFrame) -> DataFrame:
+    """``value, node``: every value of every sketch."""
 
     def work(columns: list, part: int) -> dict:
-        further = [
-            np.frombuffer(sketch, np.int64)[LISTED : LISTED_RARE + often]
-            for _, _, often, sketch in zip(*columns)
-        ]
-        counts = [len(f) for f in further]
+        values = [np.frombuffer(s, np.int64) for s in columns[1]]
         return {
-            "value": np.concatenate(further) if further else [],
-            "node": np.repeat(np.array(columns[0], np.int64), counts),
-            "n": np.repeat(np.array(columns[1], np.int64), counts),
-            "plain": np.zeros(sum(counts), bool),
+            "value": np.concatenate(values) if values else [],
+            "node": np.repeat(np.array(columns[0], np.int64), [len(v) for v in values]),
         }
 
-    rows = sketches.join(touched, "node").select("node", "n", "often", "sketch")
-    return kept.unionByName(arrow_rows(rows, work, "value long, node long, n long, plain boolean"))
+    return arrow_rows(sketches.select("node", "sketch"), work, "value long, node long")
+
+
+def _listed(sketches: DataFrame) -> DataFrame:
+    """``sketches`` that may have a partner, with the values that list them, rarest first."""
+    values = _values(sketches)
+    shared = values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1")
+    # a sketch bounds the values of a node
+    own = values.join(shared, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
+    found = sketches.join(own, "node").withColumn("need", need(F.col("n"))).filter(F.size("shared") >= F.col("need"))
+    rarest = F.slice("shared", F.lit(1), F.size("shared") - F.col("need") + 1)
+    return found.withColumn("listed", F.transform(rarest, lambda v: v["value"])).drop("shared", "need")
 
 
 def _similar_size(a: str, b: str):
@@ -229,7 +206,7 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
     compares holds two blocks.
     """
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / PERCENT))).cast("int")
-    placed = lists.select("value", "node", "n", "comp", "plain", F.explode(F.array(band, band - 1)).alias("part"), band.alias("band"))
+    placed = lists.select("value", "node", "n", "comp", F.explode(F.array(band, band - 1)).alias("part"), band.alias("band"))
     per_comp = placed.groupBy("value", "part", "comp").agg(
         F.count("*").alias("size"), F.max((F.col("band") == F.col("part")).cast("int")).alias("home")
     )
@@ -271,14 +248,14 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
                 )
             ),
         )
-        .select("value", "part", "own", "node", "n", "comp", "is_main", "plain", (F.col("band") == F.col("part")).alias("home"), F.inline("groups"))
+        .select("value", "part", "own", "node", "n", "comp", "is_main", (F.col("band") == F.col("part")).alias("home"), F.inline("groups"))
     )
     keys = ["value", "part", "first", "second"]
     ready = (
-        dealt.join(sketches.select("node", "sketch"), "node")
+        dealt.join(sketches.select("node", "sketch", "listed"), "node")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "plain", "sketch")
+        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "sketch", "listed")
     )
     schema = _arrow("a long, b long")
 
@@ -304,8 +281,6 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     value, _, first, second = key
-    if len(held) <= FEW:
-        return _compare_few(value, held)
     own, node, n, comp, home, main = (np.array(c) for c in list(zip(*held))[:6])
     wanted = comp[:, None] != comp[None, :]
     wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
@@ -315,46 +290,32 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
         wanted &= main[:, None] != main[None, :]
     elif first != second:
         wanted &= own[:, None] != own[None, :]
-    wanted = np.triu(wanted, 1)
+    pairs = []
+    for i, j in _holding(np.triu(wanted, 1), [np.frombuffer(h[6], np.int64) for h in held]):
+        # a pair counts in the first list that both are in
+        listed = set(held[j][7])
+        if next(v for v in held[i][7] if v in listed) != value:
+            continue
+        if _estimate(np.frombuffer(held[i][6], np.int64), np.frombuffer(held[j][6], np.int64)) >= LEAST_ESTIMATE:
+            pairs.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+    return pairs
+
+
+def _holding(wanted: np.ndarray, sketches: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Wanted pairs that share half of the smaller sketch."""
     used = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
     if not len(used):
         return []
-    wanted, node = wanted[np.ix_(used, used)], node[used]
-    sketches = [np.frombuffer(held[i][7], np.int64) for i in used]
-    plain = [held[i][6] for i in used]
+    wanted, sketches = wanted[np.ix_(used, used)], [sketches[i] for i in used]
     sizes = np.array([len(s) for s in sketches])
-    kinds, place = np.unique(np.concatenate(sketches), return_inverse=True)
+    _, place = np.unique(np.concatenate(sketches), return_inverse=True)
     often = np.bincount(place) > 1
     column = np.cumsum(often) - 1
     keep = often[place]
     holds = np.zeros((len(used), int(often.sum())), np.float32)
     holds[np.repeat(np.arange(len(used)), sizes)[keep], column[place[keep]]] = 1
     wanted &= holds @ holds.T >= 0.5 * LEAST_ESTIMATE * np.minimum(sizes[:, None], sizes[None, :])
-    return [
-        (int(min(node[i], node[j])), int(max(node[i], node[j])))
-        for i, j in zip(*np.nonzero(wanted))
-        if _passes(value, sketches[i], sketches[j], plain[i] and plain[j])
-    ]
-
-
-def _passes(value: int, a: np.ndarray, b: np.ndarray, plain: bool) -> bool:
-    """Whether the sketches are close enough; of two plain nodes only the first common list tells."""
-    if plain and np.intersect1d(a[:LISTED], b[:LISTED], assume_unique=True)[0] != value:
-        return False
-    return _estimate(a, b) >= LEAST_ESTIMATE
-
-
-def _compare_few(value: int, held: list[tuple]) -> list[tuple[int, int]]:
-    """The same for a small group; pairs that another group compares too do no harm."""
-    pairs = []
-    for i, (_, node, n, comp, home, _, plain, sketch) in enumerate(held):
-        for _, other, m, other_comp, other_home, _, other_plain, other_sketch in held[:i]:
-            if comp == other_comp or not (home or other_home) or min(n, m) * 100 < max(n, m) * PERCENT:
-                continue
-            a, b = np.frombuffer(sketch, np.int64), np.frombuffer(other_sketch, np.int64)
-            if _passes(value, a, b, plain and other_plain):
-                pairs.append((min(node, other), max(node, other)))
-    return pairs
+    return [(int(used[i]), int(used[j])) for i, j in zip(*np.nonzero(wanted))]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,8 +338,8 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) ->
     nodes = members.filter("row = node").select("node", "n", "label", "sig", F.col("doc_id").alias("id"))
     sketches = stored(nodes.join(rows.select(F.col("row").alias("node"), "sketch"), "node"))
 
-    every = stored(_lists(sketches, LISTED))
-    lists = every
+    listed = stored(_listed(sketches))
+    lists = listed.select(F.explode("listed").alias("value"), "node", "n")
     firsts = lists.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
     lists = stored(
         lists.join(firsts.filter("size > 1"), "value").select(
@@ -391,7 +352,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) ->
         .select(F.col("first").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    stars = stored(_passing(stars, sketches))
+    stars = stored(_passing(stars, listed))
 
     def sets_of(edges: DataFrame) -> DataFrame:
         """``node, hashes``: full sets of the nodes of ``edges``, from their texts."""
@@ -414,15 +375,14 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) ->
     links = stored(_verified(stars, sets))
     drop_stored(sets, stars)
     comps = components(links)
-    lists = _rarer_lists(every, sketches)
-    shared = lists.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
-    lists = lists.join(shared, "value").join(comps, "node", "left")
-    lists = stored(lists.select("value", "node", "n", "plain", F.coalesce("comp", "node").alias("comp")))
-    pairs = stored(_block_pairs(lists, sketches))
+    members_of = lists.join(comps, "node", "left").select("value", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    pairs = stored(_block_pairs(members_of, listed))
+    drop_stored(lists, comps)
     sets = sets_of(pairs)
     more = stored(_verified(pairs, sets))
-    drop_stored(sets, pairs)
+    drop_stored(sets, pairs, listed)
     comps = components(links.unionByName(more))
+    drop_stored(links, more)
 
     named = sketches.select("node", "label").join(comps, "node", "left")
     named = named.withColumn("comp", F.coalesce("comp", "node"))

@@ -136,18 +136,66 @@ def test_near_crowded(make_docs, crowded, monkeypatch, block):
     assert as_set(near_duplicates(make_docs(*crowded)).collect()) == as_set(plain_near(crowded))
 
 
-def test_matrices_find_what_pairs_find(monkeypatch):
+@pytest.mark.parametrize("common", [45, 60, 66, 72])
+def test_near_crowd_below_the_threshold(make_docs, common):
+    """Texts that share a passage to a similarity of 0.5 to 0.8, some of which share the rest too."""
+    pick = random.Random(common)
+    words = [f"w{i}" for i in range(9000)]
+    passage = pick.choices(words, k=common)
+    rows = []
+    for i in range(70):
+        own = pick.choices(words, k=80 - common)
+        rows.append((len(rows), " ".join(passage + own)))
+        if i % 5 == 0:
+            own[pick.randrange(len(own))] = "other"
+            rows.append((len(rows), " ".join(passage + own)))
+    assert as_set(near_duplicates(make_docs(*rows)).collect()) == as_set(plain_near(rows))
+
+
+def sketch_rows(spark, sets):
+    rows = [(i, len(s), np.array(sorted(s)[: near_dedup.SKETCH], np.int64).tobytes()) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node long, n long, sketch binary")
+
+
+def test_rarest_shared_value_lists_both(spark):
+    pick = random.Random(3)
+    sets = []
+    for base in range(12):
+        whole = set(pick.sample(range(10**9), pick.choice([1, 3, 20, 60, 64, 70, 85, 200])))
+        for _ in range(8):
+            own = set(x for x in whole if pick.random() > 0.08) or set(whole)
+            sets.append(own | set(pick.sample(range(10**9), len(own) // 15)))
+    listed = {r.node: set(r.listed) for r in near_dedup._listed(sketch_rows(spark, sets)).collect()}
+    pairs = 0
+    for i, j in combinations(range(len(sets)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            pairs += 1
+            assert listed[i] & listed[j]
+    assert pairs > 50
+
+
+def test_blocks_find_what_pairs_find():
     pick = random.Random(3)
     base = sorted(pick.sample(range(10**6), 90))
-    held = []
+    held, sets = [], []
     for node in range(60):
         own = set(base) - set(pick.sample(base, pick.randrange(0, 40)))
         own |= set(pick.sample(range(10**6), pick.randrange(0, 40)))
         sketch = np.array(sorted(own)[: near_dedup.SKETCH], np.int64)
-        held.append((0, node, len(own), node % 7, pick.random() < 0.7, False, False, sketch.tobytes()))
-    want = sorted(near_dedup._compare_few(1, held))
-    monkeypatch.setattr(near_dedup, "FEW", 0)
+        listed = [1, *pick.sample(range(100, 110), 3)]
+        held.append((0, node, len(own), node % 7, node % 3 > 0, False, sketch.tobytes(), listed))
+        sets.append(sketch)
+    want = [
+        (i, j)
+        for i, j in combinations(range(60), 2)
+        if i % 7 != j % 7
+        and (i % 3 or j % 3)
+        and 100 * min(held[i][2], held[j][2]) >= 75 * max(held[i][2], held[j][2])
+        and near_dedup._estimate(sets[i], sets[j]) >= near_dedup.LEAST_ESTIMATE
+    ]
     assert sorted(near_dedup._compare((1, 2, 0, 0), held)) == want and want
+    # of a pair with several lists only the first one tells
+    assert near_dedup._compare((held[0][7][1], 2, 0, 0), held) == []
 
 
 def test_components(spark):
