@@ -368,12 +368,15 @@ def ar_activity_by_basis(
         iso_or_blank(c("_raw_due")).alias("_due"),
     ).withColumns(
         {
-            **{n: tag(label, c(n)) for n, label in ACTIVITY_LABELS.items()},
             "_customer": blank_if_null(c("_customer")),
             "_price": (c("_price") * times).cast(MONEY),
             "_retained": (c("_retained") * times).cast(MONEY),
         }
     )
+    # a constant in front changes no order, so the lines are numbered without the labels
+    def labelled(name: str) -> Column:
+        return tag(ACTIVITY_LABELS[name], c(name))
+
     lines = header_detail(
         rows.drop("_raw_date", "_raw_posting", "_raw_due", "_e"),
         DOCUMENT_KEYS,
@@ -385,7 +388,7 @@ def ar_activity_by_basis(
         lines,
         [
             (SKIP, c("Data_Folder_Id")),
-            (SKIP, c("_legacy")),
+            (SKIP, labelled("_legacy")),
             ("TRANSACTIONTYPE", first_line("Startup AR")),
             ("DATE", first_line(c("_date"))),
             ("GLPOSTINGDAT", first_line(c("_posting"))),
@@ -409,6 +412,6 @@ def ar_activity_by_basis(
             ("CONVERSIONTYPE", "Price"),
             ("SODOCUMENTENTRY_RETAINAGEPERCENTAGE", ""),
             ("SODOCUMENTENTRY_AMOUNTRETAINED", c("_retained")),
-            *[(SKIP, blank_if_null(c(t))) for t in ACTIVITY_TAGS],
+            *[(SKIP, blank_if_null(labelled(t))) for t in ACTIVITY_TAGS],
         ],
     )
