@@ -9,9 +9,10 @@ two sketches share, the rarest shared value is among those that both list. What
 is listed only for documents that consist of little else. Sketches of the union filter the
 candidates, and the full sets verify them.
 
-Documents with equal sets are one node. Every list first links its members to its first one, which
-joins most groups of copies without looking at their pairs. After that only members of different
-components are compared, by size class and in blocks of bounded size; no list is cut short.
+Documents with equal sets are one node. In a few rounds every list compares its members with one of
+them that leads, another one each time, which joins most groups of copies without looking at their
+pairs. After that only members of different components are compared, by size class and in blocks of
+bounded size; no list is cut short.
 """
 
 from __future__ import annotations
@@ -35,8 +36,15 @@ PERCENT = 75
 SKETCH = 64
 #: Pairs whose union sketch is below this share (4.6 standard deviations below the threshold) go.
 LEAST_ESTIMATE = 0.5
-#: Members of a block; a task compares two blocks at a time.
-BLOCK = 256
+#: Rounds in which each list compares its members with a leader.
+ROUNDS = 2
+#: Hashes of the longer sketches, and the least share of their union (5.5 standard deviations below
+#: the threshold). Sets of no more hashes are compared exactly.
+LONG_SKETCH = 256
+LEAST_LONG_ESTIMATE = 0.6
+#: Members of a block; a task compares two blocks at a time, and looks at so many hashes at a time.
+BLOCK = 512
+COLUMNS = 8192
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -124,16 +132,16 @@ def _similar_size(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the union's least hashes that both sketches hold."""
+def _estimate(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
+    """Share of the union's least hashes that both sketches of that size hold."""
     merged = np.sort(np.concatenate([a, b]))
     twice = merged[1:] == merged[:-1]
     both = int(np.count_nonzero(twice))
     union = len(merged) - both
-    if union > SKETCH and max(len(a), len(b)) == SKETCH:
+    if union > size and max(len(a), len(b)) == size:
         # the sketches know no more than so many hashes of the union
-        last = int(np.searchsorted(np.cumsum(~twice), SKETCH))
-        both, union = int(np.count_nonzero(twice[: last + 1])), SKETCH
+        last = int(np.searchsorted(np.cumsum(~twice), size))
+        both, union = int(np.count_nonzero(twice[: last + 1])), size
     return both / union
 
 
@@ -197,8 +205,8 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Edges between members of one list in different components that their sketches let pass.
+def _block_pairs(lists: DataFrame, listed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges between members of one list in different components that their longer sketches let pass.
 
     A list is dealt by size class (sizes within the threshold lie in one class or in two next to
     each other). In each part the members of the largest component need not meet each other: their
@@ -252,10 +260,10 @@ def _block_pairs(lists: DataFrame, sketches: DataFrame) -> DataFrame:
     )
     keys = ["value", "part", "first", "second"]
     ready = (
-        dealt.join(sketches.select("node", "sketch", "listed"), "node")
+        dealt.join(listed.select("node", "listed").join(sets, "node"), "node")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "sketch", "listed")
+        .select(*keys, "own", "node", "n", "comp", "home", "is_main", F.substring("hashes", 1, 8 * LONG_SKETCH), "listed")
     )
     schema = _arrow("a long, b long")
 
@@ -290,32 +298,86 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
         wanted &= main[:, None] != main[None, :]
     elif first != second:
         wanted &= own[:, None] != own[None, :]
-    pairs = []
-    for i, j in _holding(np.triu(wanted, 1), [np.frombuffer(h[6], np.int64) for h in held]):
-        # a pair counts in the first list that both are in
-        listed = set(held[j][7])
-        if next(v for v in held[i][7] if v in listed) != value:
-            continue
-        if _estimate(np.frombuffer(held[i][6], np.int64), np.frombuffer(held[j][6], np.int64)) >= LEAST_ESTIMATE:
-            pairs.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
-    return pairs
-
-
-def _holding(wanted: np.ndarray, sketches: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Wanted pairs that share half of the smaller sketch."""
+    # a pair counts in the first list that both are in
+    earlier = [np.array(h[7][: h[7].index(value)], np.int64) for h in held]
+    wanted &= _in_common(earlier) == 0
+    wanted = np.triu(wanted, 1)
     used = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
     if not len(used):
         return []
-    wanted, sketches = wanted[np.ix_(used, used)], [sketches[i] for i in used]
-    sizes = np.array([len(s) for s in sketches])
-    _, place = np.unique(np.concatenate(sketches), return_inverse=True)
+    wanted, node, n = wanted[np.ix_(used, used)], node[used], n[used]
+    sketches = [np.frombuffer(held[i][6], np.int64) for i in used]
+    both = _in_common(sketches)
+    whole = (n[:, None] <= LONG_SKETCH) & (n[None, :] <= LONG_SKETCH)
+    exact = both * 100 >= PERCENT * (n[:, None] + n[None, :] - both)
+    wanted &= np.where(whole, exact, both >= LEAST_LONG_ESTIMATE * LONG_SKETCH)
+    return [
+        (int(min(node[i], node[j])), int(max(node[i], node[j])))
+        for i, j in zip(*np.nonzero(wanted))
+        if whole[i, j] or _estimate(sketches[i], sketches[j], LONG_SKETCH) >= LEAST_LONG_ESTIMATE
+    ]
+
+
+def _in_common(rows: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the rows share; no row repeats a value."""
+    out = np.zeros((len(rows), len(rows)), np.float32)
+    sizes = np.array([len(r) for r in rows])
+    if not sizes.any():
+        return out
+    _, place = np.unique(np.concatenate(rows), return_inverse=True)
     often = np.bincount(place) > 1
     column = np.cumsum(often) - 1
     keep = often[place]
-    holds = np.zeros((len(used), int(often.sum())), np.float32)
-    holds[np.repeat(np.arange(len(used)), sizes)[keep], column[place[keep]]] = 1
-    wanted &= holds @ holds.T >= 0.5 * LEAST_ESTIMATE * np.minimum(sizes[:, None], sizes[None, :])
-    return [(int(used[i]), int(used[j])) for i, j in zip(*np.nonzero(wanted))]
+    row, column = np.repeat(np.arange(len(rows)), sizes)[keep], column[place[keep]]
+    for start in range(0, int(often.sum()), COLUMNS):
+        here = (column >= start) & (column < start + COLUMNS)
+        holds = np.zeros((len(rows), min(COLUMNS, int(often.sum()) - start)), np.float32)
+        holds[row[here], column[here] - start] = 1
+        out += holds @ holds.T
+    return out
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node, hashes`` for the nodes of ``wanted``, from the texts of their rows."""
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("node", "sig", "text")
+
+    def work(columns: list, part: int) -> dict:
+        out = []
+        for node, sig, found in zip(columns[0], columns[1], shingles(columns[2])):
+            # one id may stand on rows with different texts
+            if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == sig:
+                out.append((node, found.tobytes()))
+        return {"node": [x for x, _ in out], "hashes": [x for _, x in out]}
+
+    return arrow_rows(texts, work, "node long, hashes binary").dropDuplicates(["node"])
+
+
+def _led_pairs(lists: DataFrame, comps: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: members of each list beside its leader of this turn, where they are in different components.
+
+    In the first turn the smallest node leads, so lists of the same texts agree on it; later each list
+    draws its own.
+    """
+    order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("node", "value", F.lit(turn))
+    placed = lists.join(comps, "node")
+    leaders = placed.groupBy("value").agg(F.min(F.struct(order.alias("order"), "node", "n", "comp")).alias("lead"))
+    pairs = placed.join(leaders, "value").filter((F.col("comp") != F.col("lead.comp")) & _similar_size("n", "lead.n"))
+    return pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+
+
+def _joined(pairs: DataFrame, comps: DataFrame, listed: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """``comps`` after the pairs that are links have joined theirs; ``listed`` lets sketches decide first."""
+    close = pairs if listed is None else stored(_passing(pairs, listed))
+    links = stored(_verified(close, sets))
+    ends = links.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("_a")), "a").join(
+        comps.select(F.col("node").alias("b"), F.col("comp").alias("_b")), "b"
+    )
+    merged = components(ends.filter("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    after = comps.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("_new")), "comp", "left")
+    after = stored(after.select("node", F.coalesce("_new", "comp").alias("comp")))
+    drop_stored(close, links, merged, comps)
+    return after
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,50 +401,15 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, keys: bool = False) ->
     sketches = stored(nodes.join(rows.select(F.col("row").alias("node"), "sketch"), "node"))
 
     listed = stored(_listed(sketches))
+    sets = stored(_full_sets(docs, sketches.select("node", "id", "sig").join(listed.select("node"), "node"), id_col, text_col))
     lists = listed.select(F.explode("listed").alias("value"), "node", "n")
-    firsts = lists.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
-    lists = stored(
-        lists.join(firsts.filter("size > 1"), "value").select(
-            "value", "node", "n", F.col("first.node").alias("first"), F.col("first.n").alias("first_n")
-        )
-    )
-    stars = (
-        lists.filter(F.col("node") != F.col("first"))
-        .filter(_similar_size("n", "first_n"))
-        .select(F.col("first").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    stars = stored(_passing(stars, listed))
-
-    def sets_of(edges: DataFrame) -> DataFrame:
-        """``node, hashes``: full sets of the nodes of ``edges``, from their texts."""
-        ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-        wanted = sketches.select("node", "id", "sig").join(ends, "node")
-        texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("node", "sig", "text")
-
-        def work(columns: list, part: int) -> dict:
-            out = []
-            for node, sig, found in zip(columns[0], columns[1], shingles(columns[2])):
-                # one id may stand on rows with different texts
-                if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == sig:
-                    out.append((node, found.tobytes()))
-            return {"node": [x for x, _ in out], "hashes": [x for _, x in out]}
-
-        return stored(arrow_rows(texts, work, "node long, hashes binary").dropDuplicates(["node"]))
-
-    sets = sets_of(stars)
-    links = stored(_verified(stars, sets))
-    drop_stored(sets, stars)
-    comps = components(links)
-    members_of = lists.join(comps, "node", "left").select("value", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    pairs = stored(_block_pairs(members_of, listed))
-    drop_stored(lists, comps)
-    sets = sets_of(pairs)
-    more = stored(_verified(pairs, sets))
-    drop_stored(sets, pairs, listed)
-    comps = components(links.unionByName(more))
-    drop_stored(links, more)
+    shared = lists.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
+    lists = stored(lists.join(shared.select("value"), "value"))
+    comps = stored(listed.select("node", F.col("node").alias("comp")))
+    for turn in range(ROUNDS):
+        comps = _joined(_led_pairs(lists, comps, turn), comps, listed, sets)
+    comps = _joined(stored(_block_pairs(lists.join(comps, "node"), listed, sets)), comps, listed=None, sets=sets)
+    drop_stored(lists, listed, sets)
 
     named = sketches.select("node", "label").join(comps, "node", "left")
     named = named.withColumn("comp", F.coalesce("comp", "node"))
