@@ -38,10 +38,11 @@ SKETCH = 64
 LEAST_ESTIMATE = 0.5
 #: Rounds in which each list compares its members with a leader.
 ROUNDS = 2
-#: Hashes of the longer sketches, and the least share of their union (5.5 standard deviations below
-#: the threshold). Sets of no more hashes are compared exactly.
+#: Hashes of the longer sketches, of which 32 bits are kept, and the least share of them that two at
+#: the threshold have in common (5.5 standard deviations below it, and below 256 - 0.25 * 341 where
+#: one is a whole set). Two whole sets are compared by the threshold itself.
 LONG_SKETCH = 256
-LEAST_LONG_ESTIMATE = 0.6
+LEAST_LONG_SHARE = 0.6
 #: Members of a block; a task compares two blocks at a time, and looks at so many hashes at a time.
 BLOCK = 512
 COLUMNS = 8192
@@ -132,16 +133,16 @@ def _similar_size(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _estimate(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
-    """Share of the union's least hashes that both sketches of that size hold."""
+def _estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the union's least hashes that both sketches hold."""
     merged = np.sort(np.concatenate([a, b]))
     twice = merged[1:] == merged[:-1]
     both = int(np.count_nonzero(twice))
     union = len(merged) - both
-    if union > size and max(len(a), len(b)) == size:
+    if union > SKETCH and max(len(a), len(b)) == SKETCH:
         # the sketches know no more than so many hashes of the union
-        last = int(np.searchsorted(np.cumsum(~twice), size))
-        both, union = int(np.count_nonzero(twice[: last + 1])), size
+        last = int(np.searchsorted(np.cumsum(~twice), SKETCH))
+        both, union = int(np.count_nonzero(twice[: last + 1])), SKETCH
     return both / union
 
 
@@ -260,10 +261,10 @@ def _block_pairs(lists: DataFrame, listed: DataFrame, sets: DataFrame) -> DataFr
     )
     keys = ["value", "part", "first", "second"]
     ready = (
-        dealt.join(listed.select("node", "listed").join(sets, "node"), "node")
+        dealt.join(listed.select("node", "listed").join(sets.select("node", "long"), "node"), "node")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .select(*keys, "own", "node", "n", "comp", "home", "is_main", F.substring("hashes", 1, 8 * LONG_SKETCH), "listed")
+        .select(*keys, "own", "node", "n", "comp", "home", "is_main", "long", "listed")
     )
     schema = _arrow("a long, b long")
 
@@ -306,16 +307,14 @@ def _compare(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
     if not len(used):
         return []
     wanted, node, n = wanted[np.ix_(used, used)], node[used], n[used]
-    sketches = [np.frombuffer(held[i][6], np.int64) for i in used]
-    both = _in_common(sketches)
+    # shortened hashes may meet by chance, so this is never less than what the sketches share
+    both = _in_common([np.unique(np.frombuffer(held[i][6], "<u4")) for i in used])
+    twice = np.array([len(held[i][6]) // 4 - len(np.unique(np.frombuffer(held[i][6], "<u4"))) for i in used])
+    both += np.minimum(twice[:, None], twice[None, :])
     whole = (n[:, None] <= LONG_SKETCH) & (n[None, :] <= LONG_SKETCH)
-    exact = both * 100 >= PERCENT * (n[:, None] + n[None, :] - both)
-    wanted &= np.where(whole, exact, both >= LEAST_LONG_ESTIMATE * LONG_SKETCH)
-    return [
-        (int(min(node[i], node[j])), int(max(node[i], node[j])))
-        for i, j in zip(*np.nonzero(wanted))
-        if whole[i, j] or _estimate(sketches[i], sketches[j], LONG_SKETCH) >= LEAST_LONG_ESTIMATE
-    ]
+    similar = both * 100 >= PERCENT * (n[:, None] + n[None, :] - both)
+    wanted &= np.where(whole, similar, both >= LEAST_LONG_SHARE * LONG_SKETCH)
+    return [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for i, j in zip(*np.nonzero(wanted))]
 
 
 def _in_common(rows: list[np.ndarray]) -> np.ndarray:
@@ -338,7 +337,7 @@ def _in_common(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``node, hashes`` for the nodes of ``wanted``, from the texts of their rows."""
+    """``node, hashes, long`` for the nodes of ``wanted``, from the texts of their rows."""
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id"))).select("node", "sig", "text")
 
@@ -347,10 +346,10 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
         for node, sig, found in zip(columns[0], columns[1], shingles(columns[2])):
             # one id may stand on rows with different texts
             if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == sig:
-                out.append((node, found.tobytes()))
-        return {"node": [x for x, _ in out], "hashes": [x for _, x in out]}
+                out.append((node, found.tobytes(), found[:LONG_SKETCH].astype("<u4").tobytes()))
+        return dict(zip(("node", "hashes", "long"), zip(*out))) if out else {"node": [], "hashes": [], "long": []}
 
-    return arrow_rows(texts, work, "node long, hashes binary").dropDuplicates(["node"])
+    return arrow_rows(texts, work, "node long, hashes binary, long binary").dropDuplicates(["node"])
 
 
 def _led_pairs(lists: DataFrame, comps: DataFrame, turn: int) -> DataFrame:

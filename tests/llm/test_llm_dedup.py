@@ -183,7 +183,7 @@ def test_blocks_find_what_pairs_find(size, monkeypatch):
     for node in range(60):
         own = set(base) - set(pick.sample(base, pick.randrange(0, size // 3)))
         own |= set(pick.sample(range(10**6), pick.randrange(0, size // 3)))
-        sketch = np.array(sorted(own)[: near_dedup.LONG_SKETCH], np.int64)
+        sketch = np.array(sorted(own)[: near_dedup.LONG_SKETCH], np.int64).astype("<u4")
         listed = [*pick.sample(range(100, 110), 2), 1, *pick.sample(range(200, 210), 2)]
         held.append((0, node, len(own), node % 7, node % 3 > 0, False, sketch.tobytes(), listed))
         sets.append(own)
