@@ -95,6 +95,7 @@ def arrow_rows(
     columns of the new schema. ``text`` is the position of the column that sizes the slices; a
     single longer text is a slice of its own.
     """
+    ship(df.sparkSession)
     arrow_schema = _arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import ASCII_SPACE, CHUNK_CHARS, _arrow, drop_stored, slices, stored, text_key
+from ledgermap.llm.common import ASCII_SPACE, CHUNK_CHARS, _arrow, drop_stored, ship, slices, stored, text_key
 
 BLOCK_BYTES = 4096
 #: Bytes of blocks that a task keeps in order to name them once; then it starts anew.
@@ -147,6 +147,7 @@ def exact_duplicates(
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, keys: bool = False) -> DataFrame:
     """The result of ``exact_duplicates`` and ``key``, which is null unless asked for."""
+    ship(docs.sparkSession)
     parts = stored(_cut(docs, id_col, text_col, block_bytes, keys))
     rows = parts.filter("local IS NULL").drop("local", "block")
     named = rows.drop("names").join(_identities(rows, parts), "row")

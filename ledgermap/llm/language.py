@@ -15,15 +15,18 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import arrow_rows, training_part
+from ledgermap.llm.common import arrow_rows, text_key, training_part
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-#: The most labelled documents that training looks at.
+#: The labelled documents that training looks at, by the shares of their languages; the languages it
+#: learns at most, and the documents that each gives at least. Together they bound the sample.
 SAMPLE = 3000
+LANGUAGES = 60
+LEAST_OF_LANGUAGE = 50
 EPOCHS = 6
 UNDETERMINED = "und"
 
@@ -139,16 +142,27 @@ def _fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from at most ``sample`` documents of the training part, chosen by a hash of their ids."""
-    labelled = docs.filter(training_part(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = (
-        labelled.select(F.col(id_col).cast("long").alias("_llm_id"))
-        .orderBy(F.xxhash64("_llm_id"), "_llm_id")
-        .limit(sample)
-        .distinct()
+    """Learn from a bounded sample of the training part, chosen by a hash of ids and texts.
+
+    Each of the ``LANGUAGES`` most frequent languages gives its share of ``sample``, and
+    ``LEAST_OF_LANGUAGE`` documents at least, or all it has; rarer languages are not learned. Rows with
+    the same id, text and language count once.
+    """
+    labelled = docs.filter(training_part(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    rows = labelled.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id"), "left_semi")
+    often = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    every = sum(often.values())
+    quotas = [(lang, max(LEAST_OF_LANGUAGE, sample * n // every)) for lang, n in often.items()]
+    keys = labelled.select("doc_id", "lang", text_key(F.col("text")).alias("key")).distinct()
+    dealt = F.broadcast(docs.sparkSession.createDataFrame(quotas, "lang string, quota long"))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "key"), "doc_id", "key")
+    most = max((q for _, q in quotas), default=0)
+    # each task keeps no more rows of a language than the largest quota
+    ranked = keys.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= most)
+    chosen = ranked.join(dealt, "lang").filter("rank <= quota").select("doc_id", "lang", "key")
+    rows = labelled.withColumn("key", text_key(F.col("text"))).join(F.broadcast(chosen), ["doc_id", "lang", "key"], "left_semi")
+    rows = rows.dropDuplicates(["doc_id", "lang", "key"]).select("doc_id", "lang", "text")
 
     def work(columns: list, part: int) -> dict:
         bags = []

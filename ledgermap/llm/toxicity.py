@@ -6,9 +6,9 @@ Dirichlet prior; those well above zero form the lexicon. Every other token score
 zero. A scan over the tokens of a text, linear in its length, finds all maximal segments; every
 occurrence of a word scores. Only the evidence discounts repeats: a second scan of each segment
 gives the n-th occurrence of a word in it one n-th of its score. The scores that chance brings
-about in clean text follow an extreme-value law with two parameters, set on labelled documents
-kept back; what the segments of a document score beyond that law is its evidence, and a logistic
-curve makes it a probability.
+about in clean text follow an extreme-value law. Its decay is one, since scores are log-likelihood
+ratios; its constant is set on labelled documents kept back. What the segments of a document score
+beyond that law is its evidence, and a logistic curve makes it a probability.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermap.llm.common import arrow_rows, stored, training_part
+from ledgermap.llm.common import arrow_rows, ship, stored, training_part
 
 #: The most labelled documents that training looks at; a fifth of them calibrates.
 SAMPLE = 16_000
@@ -335,6 +335,7 @@ def passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_clean(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns stay. One pass, no shuffle."""
+    ship(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa

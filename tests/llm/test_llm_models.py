@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -101,6 +102,66 @@ def test_language_odd(make_docs, docs):
     assert {r["lang_pred"] for r in language.identify(make_docs(*ODD), nothing).collect()} == {"und"}
 
 
+def test_language_sample_is_spread_and_bounded(spark, monkeypatch):
+    """A rare language is learned beside a frequent one, and an id on many rows does not fill the sample."""
+    pick = random.Random(4)
+    words = {k: ["".join(pick.choices(a, k=pick.randrange(3, 8))) for _ in range(40)] for k, a in (("aa", "abcdefg"), ("bb", "hijklmn"), ("cc", "opqrstu"))}
+    rows = [(i, "aa", " ".join(pick.choices(words["aa"], k=20))) for i in range(600)]
+    rows += [(10_000 + i, "bb", " ".join(pick.choices(words["bb"], k=20))) for i in range(12)]
+    rows += [(20_000, "cc", " ".join(pick.choices(words["cc"], k=20))) for _ in range(300)] + [(20_000, "cc", "same text")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    sizes = []
+    monkeypatch.setattr(language, "_fit", lambda bags, labels, fit=language._fit: (sizes.append((len(bags), labels.count("cc"))), fit(bags, labels))[1])
+    model = language.train(docs, sample=100)
+    assert {"aa", "bb"} <= set(model.languages)
+    assert sizes[0][0] <= 100 + 3 * language.LEAST_OF_LANGUAGE and sizes[0][1] <= 100
+    rare = spark.createDataFrame([(1, " ".join(words["bb"][:10])), (2, " ".join(words["aa"][:10]))], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(rare, model).collect()} == {1: "bb", 2: "aa"}
+
+
+def plain_language(model, text):
+    """The prediction with one bucket at a time, by the definition of a mean and a softmax."""
+    buckets = language.subwords([text])[0].tolist()
+    if not buckets:
+        return "und", 0.0
+    logits = [sum(float(model.weights[b, k]) for b in buckets) / len(buckets) + model.bias[k] for k in range(len(model.languages))]
+    powers = [math.exp(v / model.temperature) for v in logits]
+    best = max(range(len(powers)), key=powers.__getitem__)
+    return model.languages[best], powers[best] / sum(powers)
+
+
+def test_language_scores_equal_plain_ones(docs, texts):
+    model = language.train(docs)
+    for r in language.identify(docs, model).collect():
+        name, score = plain_language(model, texts[r["doc_id"]])
+        assert r["lang_pred"] == name and math.isclose(r["score"], score, rel_tol=1e-4)
+
+
+def plain_toxicity(model, text):
+    """The score from all segments of all tokens by their definition, parts and law written out."""
+    words = toxicity.tokens(text)
+    scores = [max([model.lexicon.get(f, 0.0) for f in toxicity.features(w)], default=0.0) or model.gap for w in words]
+    evidence = 0.0
+    for a, b in plain_segments(scores):
+        seen, less = Counter(), []
+        for w, s in zip(words[a : b + 1], scores[a : b + 1]):
+            seen[w] += s > 0
+            less.append(s / seen[w] if s > 0 else s)
+        for c, d in plain_segments(less):
+            evidence += max(model.decay * sum(less[c : d + 1]) - math.log(max(model.k * len(words), 1e-12)), 0.0)
+    return 1 / (1 + math.exp(-(model.slope * min(evidence, toxicity.MOST_EVIDENCE) + model.offset)))
+
+
+def test_toxicity_scores_equal_plain_ones(make_docs):
+    pick = random.Random(12)
+    lexicon = {"bad": 2.5, "worse": 3.5, "awfu*": 2.0, "nasty": 2.2}
+    model = toxicity.Model(lexicon, -0.3, 1.0, 0.02, 0.8, -3.0)
+    words = ["bad", "worse", "awful", "awfully", "nasty"] + ["fine", "day", "x"] * 4
+    rows = [(i, " ".join(pick.choices(words, k=pick.randrange(0, 30)))) for i in range(60)]
+    for r in toxicity.score(make_docs(*rows), model).collect():
+        assert math.isclose(r["score"], plain_toxicity(model, dict(rows)[r["doc_id"]]), rel_tol=1e-9)
+
+
 def test_subwords_do_not_cross_texts():
     alone = [language.subwords([t])[0] for t in ("Ab cd", "", "é", "x1y")]
     bucket, owner = language.subwords(["Ab cd", "", "é", "x1y"])
