@@ -99,7 +99,9 @@ def _label_join(df: DataFrame, labels: DataFrame, strict_keys: bool) -> DataFram
     return translate(df, labels, on, cols)
 
 
-def _window(rows: DataFrame, start: dt.date, stop: dt.date) -> DataFrame:
+def _window(src: Tables, start: dt.date, stop: dt.date, rows: DataFrame | None = None) -> DataFrame:
+    """Accruals between two days, of the ledger itself unless other ``rows`` are given."""
+    rows = src["gl_transaction"] if rows is None else rows
     return in_months(rows, "Accounting_Date", start, stop).filter(c("Accrual_or_Cash") == "Accrual")
 
 
@@ -109,7 +111,7 @@ def _net_per_account(
     """Summed transactions of the window per account (and month), times their batch copies."""
     day = month_end(c("Accounting_Date")) if by_month else F.last_day(F.lit(stop))
     sums = (
-        _window(ledger_rows(src), start, stop)
+        _window(src, start, stop, ledger_rows(src))
         .groupBy("Data_Folder_Id", "Account", "Batch", day.alias("_day"))
         .agg(F.sum("Debit").alias("debit"), F.sum("Credit").alias("credit"))
     )
@@ -200,7 +202,7 @@ def gl_memo() -> Column:
 
 
 def _detail(src: Tables, maps: Tables, params: Params, strict_keys: bool) -> DataFrame:
-    df = _window(src["gl_transaction"], params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
+    df = _window(src, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
     df = _label_join(df, batch_labels(src, maps, strict_keys), strict_keys)
     cols = {n: n for n in ("acct_no", "_location", "_department", "_entity", "copies")}
     targets = account_targets(src, maps)

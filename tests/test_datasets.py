@@ -251,7 +251,9 @@ def test_one_failure_does_not_stop_the_rest(spark, tmp_path):
     good = ImportJob(lambda: spark.createDataFrame([(None, 1)], "a string, b int"), lambda n: ["X", "X"])
     done = generate_imports({"b_bad": ImportJob(broken, list), "a": good, "c": good}, str(tmp_path))
     assert [(o.name, o.rows, bool(o.error)) for o in done] == [("a", 1, False), ("b_bad", None, True), ("c", 1, False)]
-    assert next((tmp_path / "a").glob("part-*.csv")).read_text() == "X,X\n,1\n"
+    # a part without rows may stand beside the one with the row
+    texts = {f.read_text() for f in (tmp_path / "a").glob("part-*.csv")}
+    assert texts - {"X,X\n"} == {"X,X\n,1\n"}
 
 
 def test_no_work_is_left_behind(spark, tmp_path):
@@ -283,7 +285,7 @@ def test_filters_and_columns_reach_a_landed_table(spark, tables, tmp_path):
     land(tables.src["gl_transaction"], "gl_transaction", str(tmp_path))
     rows = read_source(spark, "gl_transaction", str(tmp_path))
     params = tables.params
-    df = ledger._window(rows, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
+    df = ledger._window({"gl_transaction": rows}, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP"))
     plan = df.filter("Data_Folder_Id = 'F1'").select("Debit")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(Accounting_Date" in plan and "EqualTo(Accrual_or_Cash,Accrual)" in plan
     assert re.search(r"PartitionFilters: \[[^\]]*Data_Folder_Id", plan)
