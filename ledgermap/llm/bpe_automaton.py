@@ -6,10 +6,16 @@ arcs u now lead to the copy, and wherever u can be read the new token uv can be
 where v led. What the finished automaton accepts are exactly the sequences that byte-pair
 encoding produces, so of all ways to cut a word there is one accepted path.
 
-A state is kept as the gadgets leave it: the arcs it lost, by the merge that removed them. A row
-of the transition table is filled when a word first needs it, and reading a word follows that
-table, longest arc first. A position that was left as a dead end is not entered again, since any
-accepted way to reach it is the same way.
+Tokens are numbered so that a gadget takes one run of numbers away: a state that loses v can never
+read the tokens that later merges build onto v, and these stand right behind v when the later ones
+come first. A row of the transition table holds the borders of the runs that its state lost, as a
+sorted array; tokens share the row of the same state, and a gadget copies it before it changes it.
+The table is whole after the last merge. All that is left to do for a word is to look borders up.
+
+A start of an encoding is the encoding of a start of the word, so each position of a word has one
+state. Going from left to right, every token that begins at a position is spelled by the letter
+table and tried on the row of that position's state; if the row has it, it names the state of the
+position behind it. The path is read off at the end. Nothing is tried twice or taken back.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -26,10 +34,6 @@ from pyspark.sql import functions as F
 from ledgermap.llm.common import arrow_rows
 from ledgermap.llm.words import WordStore, byte_letters, pieces, ragged, split_words
 
-ALWAYS = 1 << 40
-#: Entries of the lazily filled transition table; beyond them it is filled anew.
-TABLE_ENTRIES = 500_000
-
 
 class Automaton:
     def __init__(self, path: str):
@@ -43,104 +47,117 @@ class Automaton:
         self.added = added
         self.specials = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         size = max([*self.vocab.values(), *added.values()]) + 1
-        #: State behind a token; state 0 is the start. ``owner`` is the token whose gadget made a state.
-        self.behind = [0] * size
-        self.owner = [-1]
-        self.born = [-1] * size
-        self.halves: list[tuple[int, int] | None] = [None] * size
-        self.removed: dict[tuple[int, int], int] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self._gadget(rank, self.vocab[a], self.vocab[b], self.vocab[a + b])
-        self.table: dict[tuple[int, int], bool] = {}
-        #: Most symbols of a token, by its first two symbols.
-        self.longest: dict[str, int] = {}
-        for token in self.vocab:
-            plain = token.removesuffix(self.suffix) or token
-            self.longest[plain[:2]] = max(len(plain), self.longest.get(plain[:2], 1))
+        merges = []
+        for pair in model["merges"]:
+            left, right = pair.split(" ") if isinstance(pair, str) else pair
+            merges.append((self.vocab[left], self.vocab[right], self.vocab[left + right]))
+        self._number(merges, size)
+        #: Row of the state behind a token, and whether any text leads to the token.
+        self.rows, self.made = [array("i")] * size, [False] * size
+        for token, i in self.vocab.items():
+            self.made[i] = len(self._letters(token)) == 1
+        for rank, (u, v, merged) in enumerate(merges):
+            self._gadget(rank, u, v, merged)
+        self._spell()
         names = {i: t for t, i in [*self.vocab.items(), *added.items()]}
         labels = [names.get(i, "").encode() for i in range(size)]
         self.label_sizes = np.array([len(x) for x in labels], np.int64)
         self.label_starts = np.cumsum(self.label_sizes) - self.label_sizes
         self.label_bytes = np.frombuffer(b"".join(labels), np.uint8)
 
+    def _number(self, merges: list[tuple[int, int, int]], size: int) -> None:
+        """Number the tokens: behind each token those that merges build onto it, later ones first."""
+        #: Number of a token, merge that made it, and what merges built onto it in descending order,
+        #: as (-merge, number) with the end of the run of numbers last.
+        self.number, self.born = [0] * size, [-1] * size
+        onto: list[list[int]] = [[] for _ in range(size)]
+        for rank, (u, _, merged) in enumerate(merges):
+            if self.born[merged] >= 0:
+                raise ValueError("two merges make the same token")
+            self.born[merged] = rank
+            onto[u].append(merged)
+        stack, order = [t for t in range(size) if self.born[t] < 0], []
+        while stack:
+            token = stack.pop()
+            self.number[token] = len(order)
+            order.append(token)
+            stack += onto[token]
+        count = [1] * size
+        for token in reversed(order):
+            for child in onto[token]:
+                count[token] += count[child]
+        self.end = [self.number[t] + count[t] for t in range(size)]
+        self.onto = onto
+
+    def _run(self, token: int, rank: int) -> tuple[int, int]:
+        """The numbers of a token and of all that merge ``rank`` and later ones build onto it."""
+        built = self.onto[token]
+        older = bisect_left(built, rank, key=self.born.__getitem__)
+        return self.number[token], self.number[built[older - 1]] if older else self.end[token]
+
     def _gadget(self, rank: int, u: int, v: int, merged: int) -> None:
-        if self.born[merged] >= 0:
-            raise ValueError("two merges make the same token")
-        led_to = self.behind[v]
-        if self._open(u, v, rank):
-            self.removed[u, v] = rank
-            self.behind[u] = len(self.owner)
-            self.owner.append(u)
-        self.behind[merged] = led_to
-        self.born[merged], self.halves[merged] = rank, (u, v)
-
-    def _open(self, before: int, token: int, now: int = ALWAYS) -> bool:
-        """Whether the state behind ``before`` has an arc ``token`` after all gadgets below ``now``.
-
-        The state descends from the states of the right halves of ``before``, each up to the
-        merge that ended it; the arc descends from the arcs of the left halves of ``token``, each
-        until it was absorbed. It is gone if any of these lost any of those at that time.
-        """
-        until = now
-        while True:
-            arc, absorbed = token, ALWAYS
-            while True:
-                lost = self.removed.get((before, arc))
-                if lost is not None and lost < until and lost <= absorbed:
-                    return False
-                halves = self.halves[arc]
-                if halves is None:
-                    break
-                absorbed, arc = self.born[arc], halves[0]
-            halves = self.halves[before]
-            if halves is None:
-                return True
-            until, before = min(until, self.born[before]), halves[1]
+        if not (self.made[u] and self.made[v] and self.step(u, v)):
+            return  # the two never meet
+        led_to, row, (first, end) = self.rows[v], self.rows[u], self._run(v, rank)
+        i, j = bisect_left(row, first), bisect_right(row, end)
+        borders = ([] if i % 2 else [first]) + ([] if j % 2 else [end])
+        self.rows[u] = row[:i] + array("i", borders) + row[j:]
+        self.rows[merged], self.made[merged] = led_to, True
 
     def step(self, before: int, token: int) -> bool:
-        key = (self.behind[before], token)
-        known = self.table.get(key)
-        if known is None:
-            if len(self.table) >= TABLE_ENTRIES:
-                self.table.clear()
-            known = self.table[key] = self._open(before, token)
-        return known
+        """Whether the state behind ``before`` has an arc ``token``."""
+        return not bisect_right(self.rows[before], self.number[token]) & 1
+
+    def _letters(self, token: str) -> str:
+        return token.removesuffix(self.suffix) or token
+
+    def _spell(self) -> None:
+        """The letter table: from a node and a letter to a node, and the token that ends in a node."""
+        self.letter_table: dict[tuple[int, str], int] = {}
+        self.token_at, self.last_token_at = [-1], [-1]
+        for token, i in self.vocab.items():
+            if not self.made[i]:
+                continue
+            last, node = bool(self.suffix) and token.endswith(self.suffix), 0
+            for letter in self._letters(token):
+                key = (node, letter)
+                node = self.letter_table.get(key, 0)
+                if not node:
+                    node = self.letter_table[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.last_token_at.append(-1)
+            if last:
+                self.last_token_at[node] = i
+            else:
+                self.token_at[node] = i
+        if not self.suffix:
+            self.last_token_at = self.token_at
 
     def encode_piece(self, piece: str) -> list[int]:
         """Tokens of one pre-token, given in byte letters."""
-        vocab, suffix, size = self.vocab, self.suffix, len(piece)
-        whole = vocab.get(piece + suffix)
-        if whole is not None and size <= 2:
-            # one or two symbols: a token of that name is the result of the only merge there is
-            return [whole]
-        at, path, ends = 0, [], []
-        longest = self.longest.get
-        tries = [min(size, longest(piece[:2], 1))]
-        dead: set[int] = set()
-        while at < size:
-            length = tries[-1]
-            while length:
-                end = at + length
-                if end not in dead:
-                    token = vocab.get(piece[at:end] + suffix if end == size else piece[at:end])
-                    if token is not None and (not path or self.step(path[-1], token)):
-                        break
-                length -= 1
-            if length:
-                tries[-1] = length - 1
-                path.append(token)
-                ends.append(at)
-                at = end
-                tries.append(min(size - at, longest(piece[at : at + 2], 1)))
-            else:
-                if not path:
-                    raise ValueError("no path through the automaton")
-                dead.add(at)
-                tries.pop()
-                path.pop()
-                at = ends.pop()
-        return path
+        size, table = len(piece), self.letter_table.get
+        rows, number = self.rows, self.number
+        #: Token before a position, by which the state there is known, and where it begins.
+        before, begins = [-1] * (size + 1), [0] * (size + 1)
+        for at in range(size):
+            row = rows[before[at]] if at else ()
+            node, names = 0, self.token_at
+            for end in range(at + 1, size + 1):
+                node = table((node, piece[end - 1]))
+                if node is None:
+                    break
+                if end == size:
+                    names = self.last_token_at
+                token = names[node]
+                if token >= 0 and before[end] < 0 and not bisect_right(row, number[token]) & 1:
+                    before[end], begins[end] = token, at
+        path, at = [], size
+        while at:
+            if before[at] < 0:
+                raise ValueError("no path through the automaton")
+            path.append(before[at])
+            at = begins[at]
+        return path[::-1]
 
     def encode_word(self, word: str) -> list[int]:
         """Tokens of a run without white space."""

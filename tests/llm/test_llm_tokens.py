@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
+from itertools import product
 
 import numpy as np
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
-from ledgermap.llm.bpe_automaton import automaton, decode, encode, round_trip
+from ledgermap.llm.bpe_automaton import Automaton, automaton, decode, encode, round_trip
 from ledgermap.llm.packing import MOST_OPEN, Encoder, Packer, pack
 from ledgermap.llm.queries import BYTE_BPE, QUERIES, WORD_BPE
 from ledgermap.llm.token_counts import count_words, merges, token_counts
@@ -66,6 +68,46 @@ def test_every_accepted_sequence_is_an_encoding():
             assert compiled.step(left, right)
 
 
+def gadgets(symbols, merges):
+    """The automaton with all arcs written out, by applying each gadget to every state."""
+    states, behind = [{s: 0 for s in symbols}], {s: 0 for s in symbols}
+    for u, v in merges:
+        if u in behind and v in behind and v in states[behind[u]]:
+            q = behind[u]
+            goal, copy = states[q][v], {t: to for t, to in states[q].items() if t != v}
+            states.append(copy)
+            for arcs in states:
+                if u in arcs:
+                    arcs[u + v] = goal
+                    arcs[u] = len(states) - 1
+            behind[u + v], behind[u] = goal, len(states) - 1
+    return {t: set(states[q]) for t, q in behind.items()}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_rows_equal_automata_written_out(tmp_path, seed):
+    """Every arc of every state, and the encodings of all short words, for merges at random."""
+    pick, symbols = random.Random(seed), ["a", "b", "c"]
+    tokens, merges = list(symbols), []
+    while len(merges) < 14:
+        u, v = pick.choice(tokens), pick.choice(tokens)
+        if u + v not in tokens:
+            merges.append((u, v))
+            tokens.append(u + v)
+    vocab = {t: i for i, t in enumerate([*tokens, "aaaaaaaaaaaab"])}
+    content = {"model": {"vocab": vocab, "merges": [f"{u} {v}" for u, v in merges], "end_of_word_suffix": None}, "added_tokens": []}
+    (tmp_path / "bpe.json").write_text(json.dumps(content))
+    compiled, library = Automaton(str(tmp_path / "bpe.json")), models.BPE(vocab, merges)
+    arcs = gadgets(symbols, merges)
+    for size in range(1, 9):
+        for letters in product(symbols, repeat=size):
+            want = [t.id for t in library.tokenize("".join(letters))]
+            assert compiled.encode_piece("".join(letters)) == want
+    assert {t for t in vocab if compiled.made[vocab[t]]} == set(arcs)
+    for u, v in product(arcs, repeat=2):
+        assert compiled.step(vocab[u], vocab[v]) == (v in arcs[u])
+
+
 def test_token_counts_query(spark, texts, word_bpe):
     rows = QUERIES["op4_token_counts"](spark, SF).collect()
     assert len(rows) == len(texts)
