@@ -140,7 +140,10 @@ def test_language_scores_equal_plain_ones(docs, texts):
 def plain_toxicity(model, text):
     """The score from all segments of all tokens by their definition, parts and law written out."""
     words = toxicity.tokens(text)
-    scores = [max([model.lexicon.get(f, 0.0) for f in toxicity.features(w)], default=0.0) or model.gap for w in words]
+    scores = [
+        max([model.lexicon.get(f, 0.0) for f in toxicity.features(w)], default=0.0) or model.ordinary.get(w, model.gap)
+        for w in words
+    ]
     evidence = 0.0
     for a, b in plain_segments(scores):
         seen, less = Counter(), []
@@ -155,8 +158,8 @@ def plain_toxicity(model, text):
 def test_toxicity_scores_equal_plain_ones(make_docs):
     pick = random.Random(12)
     lexicon = {"bad": 2.5, "worse": 3.5, "awfu*": 2.0, "nasty": 2.2}
-    model = toxicity.Model(lexicon, -0.3, 1.0, 0.02, 0.8, -3.0)
-    words = ["bad", "worse", "awful", "awfully", "nasty"] + ["fine", "day", "x"] * 4
+    model = toxicity.Model(lexicon, -0.3, 0.9, 0.02, 0.8, -3.0, {"fine": -0.45, "bath": -0.05, "bad": -0.2})
+    words = ["bad", "worse", "awful", "awfully", "nasty"] + ["fine", "day", "x", "bath"] * 4
     rows = [(i, " ".join(pick.choices(words, k=pick.randrange(0, 30)))) for i in range(60)]
     for r in toxicity.score(make_docs(*rows), model).collect():
         assert math.isclose(r["score"], plain_toxicity(model, dict(rows)[r["doc_id"]]), rel_tol=1e-9)
@@ -196,6 +199,33 @@ def test_maximal_segments():
             assert math.isclose(total, sum(scores[a : b + 1]), abs_tol=1e-9)
 
 
+def test_sums_between_places_equal_single_gaps():
+    pick = random.Random(8)
+    for _ in range(200):
+        scores = [pick.choice([pick.uniform(-0.9, -0.01), pick.uniform(0.1, 1.5)]) for _ in range(pick.randrange(1, 25))]
+        places, between, lost = [], [], 0.0
+        for i, s in enumerate(scores):
+            if s > 0:
+                places.append(i)
+                between.append(lost)
+                lost = 0.0
+            else:
+                lost += s
+        got = toxicity.maximal_segments(places, [scores[i] for i in places], between)
+        assert [(a, b) for a, b, _ in got] == plain_segments(scores)
+
+
+def test_decay_is_found_again():
+    """Best scores drawn from the law itself, of texts of many lengths."""
+    pick = random.Random(4)
+    for decay in (0.6, 1.0, 1.8):
+        lengths = [pick.randrange(50, 2000) for _ in range(4000)]
+        best = [math.log(0.02 * n / -math.log(pick.random())) / decay for n in lengths]
+        best = [b if b >= toxicity.LEAST_SCORE else 0.0 for b in best]
+        assert abs(toxicity._decay(np.array(best), np.array(lengths)) / decay - 1) < 0.1
+    assert toxicity._decay(np.zeros(50), np.full(50, 100)) == pytest.approx(1.0, abs=0.02)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     rows = QUERIES["op5_toxicity"](spark, sf).collect()
@@ -218,7 +248,7 @@ def test_toxicity_odd(spark, make_docs):
     assert toxicity.passages(odd, model).count() == 0
     word = max((f for f in model.lexicon if not f.endswith("*")), key=model.lexicon.get)
     found = toxicity.passages(make_docs((1, f"a b {word} c {word}")), model).collect()
-    assert [(r["first_token"], r["last_token"], r["passage"]) for r in found] == [(2, 2, word)]
+    assert [(r["first_token"], r["last_token"], r["passage"]) for r in found] == [(2, 4, f"{word} c {word}")]
     empty = toxicity.train(make_docs(), labels.limit(0))
     assert {r["predicted"] for r in toxicity.score(odd, empty).collect()} == {0}
 

@@ -20,15 +20,14 @@ def model():
 
 def test_repeated_passages_are_found(model, make_docs):
     docs = make_docs((1, f"aaaa bbbb cccc{PLAIN} aaaa bbbb cccc"), (2, f"aaaa{PLAIN} bbbb{PLAIN} cccc{PLAIN} cccc bbbb aaaa"))
-    found = sorted((r["doc_id"], r["first_token"], r["segment"]) for r in toxicity.passages(docs, model).collect())
+    found = sorted((r["doc_id"], r["first_token"], r["passage"]) for r in toxicity.passages(docs, model).collect())
     assert found == [(1, 0, "aaaa bbbb cccc"), (1, 3003, "aaaa bbbb cccc"), (2, 9003, "cccc bbbb aaaa")]
     assert {r["doc_id"]: r["n_passages"] for r in toxicity.score(docs, model).collect()} == {1: 2, 2: 1}
 
 
 def test_passage_reaches_to_its_last_repeat(model, make_docs):
     row = toxicity.passages(make_docs((1, "y aaaa bbbb x aaaa z")), model).first()
-    assert (row["first_token"], row["last_token"], row["end_token"]) == (1, 2, 4)
-    assert (row["passage"], row["segment"]) == ("aaaa bbbb", "aaaa bbbb x aaaa")
+    assert (row["first_token"], row["last_token"], row["passage"]) == (1, 4, "aaaa bbbb x aaaa")
     assert math.isclose(row["segment_score"], 9.0 + toxicity.GAP)
 
 
