@@ -1417,6 +1417,16 @@ CTES["ap_open"] = """
 EXPECTED["open_ap_forecast"] = sql(
     "SELECT (SELECT count(*) FROM ap_open) AS rows_in, (SELECT count(*) FROM ap_rows) AS rows_out"
 )
+EXPECTED["open_ar_forecast"] = sql(
+    f"""SELECT (SELECT count(*) FROM ar_sums a JOIN fx_ara_status s USING ({_STATUS}) LEFT JOIN ar_held h USING ({_STATUS})
+        WHERE a.net_amount <> 0 OR coalesce(h.ret_net, 0) <> 0) AS rows_in,
+        (SELECT count(*) FROM ar_rows) AS rows_out"""
+)
+EXPECTED["gl_detail_forecast"] = sql(
+    f"""SELECT (SELECT count(*) FROM fx_glt WHERE Accrual_or_Cash = 'Accrual'
+        AND Accounting_Date BETWEEN {DETAIL_START} AND {DETAIL_STOP}) AS rows_in,
+        (SELECT count(*) FROM gl_detail) AS rows_out"""
+)
 _MISSING = {
     "vendor": ("d.Vendor || ' | ' || d.Data_Folder_Id", "map_vendor m", "m.legacy_vendor_id = d.Vendor AND "),
     "cost code": ("d.Cost_Code || ' | ' || d.Data_Folder_Id", "map_cost_code m", "m.legacy_cost_code_id = d.Cost_Code AND "),

@@ -30,7 +30,7 @@ from ledgermap.operators.lookup import (
     unused_keys,
 )
 from ledgermap.operators.spread import heavy_keys
-from ledgermap.plans import contracts, jobcost, ledger, mappings, payables, summary
+from ledgermap.plans import contracts, jobcost, ledger, mappings, payables, receivables, summary
 from ledgermap.plans.common import included_jobs, look_up
 from ledgermap.plans.registry import ARCHIVED, DATASETS
 from ledgermap.plans.seeds import SEEDS
@@ -496,6 +496,16 @@ def open_ap_forecast(t: Landed) -> DataFrame:
     return payables.open_ap_forecast(t.src, t.maps)
 
 
+@query
+def open_ar_forecast(t: Landed) -> DataFrame:
+    return receivables.open_ar_forecast(t.src, t.maps, t.params)
+
+
+@query
+def gl_detail_forecast(t: Landed) -> DataFrame:
+    return ledger.gl_detail_forecast(t.src, t.maps, t.params)
+
+
 @query
 def open_ap_missing(t: Landed) -> DataFrame:
     return payables.open_ap_missing(t.src, t.maps)

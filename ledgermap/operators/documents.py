@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermap.functions.semantics import MONEY, month_end, or_no_date, year_month
-from ledgermap.operators.numbering import number_lines, rows_before
+from ledgermap.operators.numbering import number_lines, number_lines_and_rows_before, rows_before
 
 BATCH_ROWS = 5000
 
@@ -94,6 +94,18 @@ def pack_batches(df: DataFrame, group: str, size: int = BATCH_ROWS, out: str = "
     return df.join(batches, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
+def packed_documents(
+    df: DataFrame, group: str, order: Sequence[str], size: int = BATCH_ROWS, line: str = "line_no", out: str = "batch_num"
+) -> DataFrame:
+    """Number the lines of each document and its batch, as ``header_detail`` and ``pack_batches`` would.
+
+    A document's batch follows from where it begins, which is known once its lines are numbered, so
+    no line is shuffled a second time.
+    """
+    numbered = number_lines_and_rows_before(df, [group], order, line, "_prior")
+    return numbered.withColumn(out, (F.floor(F.col("_prior") / size) + 1).cast("bigint")).drop("_prior")
+
+
 def with_total(df: DataFrame, sums: Sequence[str], labels: Mapping[str, str], flag: str = "is_total") -> DataFrame:
     """Append one row of column sums; the other columns hold ``labels``, or blank.
 

@@ -45,43 +45,80 @@ def _earlier(keys: Sequence[str], order: str):
     return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
 
 
-def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "line_no") -> DataFrame:
-    """Number the rows of each group from 1 in the given order, as BIGINT column ``out``.
+def _freeze(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows in cells, and the groups over a cell border: one row for each cell that they lie in.
 
-    NULL keys form a group; NULLs sort first. The rows are written once, so the joins that built
-    them run only once.
+    ``_before`` is how many rows such a group has in earlier cells.
     """
     tied = df.withColumn(TIE, F.monotonically_increasing_id())
     frozen = ordered_cells(tied, [*keys, *order, TIE])
     parts = frozen.groupBy(*keys, CELL).agg(F.count("*").alias("_n"))
     cells = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(CELL, "_n"))).alias("_cells"))
-    # groups over a cell border only: one row for each of their cells
     crossing = (
         cells.filter(F.size("_cells") > 1)
         .select(*keys, F.inline("_cells"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(_earlier(keys, CELL)), F.lit(0)))
         .drop("_n")
     )
+    return frozen, crossing
+
+
+def _shift(numbered: DataFrame, crossing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    same = _same(numbered, crossing, [*keys, CELL])
+    return numbered.join(crossing, same, "left").select(
+        numbered["*"], F.coalesce(crossing["_before"], F.lit(0)).alias("_before")
+    )
+
+
+def _cell_starts(frozen: DataFrame, size: Column) -> DataFrame:
+    """``_c, _start``: the sum of ``size`` over all earlier cells. No more rows than shuffle partitions."""
+    return (
+        frozen.groupBy(CELL)
+        .agg(size.alias("_n"))
+        .select(F.col(CELL).alias("_c"), F.coalesce(F.sum("_n").over(_earlier([], CELL)), F.lit(0)).alias("_start"))
+    )
+
+
+def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "line_no") -> DataFrame:
+    """Number the rows of each group from 1 in the given order, as BIGINT column ``out``.
+
+    NULL keys form a group; NULLs sort first. The rows are written once, so the joins that built
+    them run only once.
+    """
+    frozen, crossing = _freeze(df, keys, order)
     local = F.row_number().over(W.partitionBy(CELL, *keys).orderBy(*_ascending([*order, TIE])))
     numbered = frozen.withColumn(out, local.cast("bigint"))
-    shifted = numbered.join(crossing, _same(numbered, crossing, [*keys, CELL]), "left").select(
-        numbered["*"], crossing["_before"]
+    return _shift(numbered, crossing, keys).withColumn(out, F.col(out) + F.col("_before")).drop(CELL, TIE, "_before")
+
+
+def number_lines_and_rows_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, before: str
+) -> DataFrame:
+    """``number_lines``, and as BIGINT column ``before`` the number of rows in all earlier groups.
+
+    Both follow from places inside the cells, so the rows are not shuffled again to learn about
+    their group. A row's group begins at its place in its cell by the keys alone.
+    """
+    frozen, crossing = _freeze(df, keys, order)
+    cell = W.partitionBy(CELL)
+    numbered = frozen.withColumn(out, F.row_number().over(cell.orderBy(*_ascending([*keys, *order, TIE])))).withColumn(
+        before, F.rank().over(cell.orderBy(*_ascending(keys)))
     )
-    return shifted.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop(CELL, TIE, "_before")
+    shifted = _shift(numbered, crossing, keys).join(F.broadcast(_cell_starts(frozen, F.count("*"))), F.col(CELL) == F.col("_c"))
+    return shifted.withColumns(
+        {
+            out: (F.col(out) - F.col(before) + 1 + F.col("_before")).cast("bigint"),
+            before: (F.col("_start") + F.col(before) - 1 - F.col("_before")).cast("bigint"),
+        }
+    ).drop(CELL, TIE, "_before", "_c", "_start")
 
 
 def rows_before(groups: DataFrame, key: str, size: str, out: str) -> DataFrame:
     """Add the sum of ``size`` over all rows whose ``key`` sorts earlier; ``key`` must be unique."""
     frozen = ordered_cells(groups, [key])
-    # One row per cell: no more than there are shuffle partitions.
-    cells = (
-        frozen.groupBy(CELL)
-        .agg(F.sum(size).alias("_n"))
-        .select(F.col(CELL).alias("_c"), F.coalesce(F.sum("_n").over(_earlier([], CELL)), F.lit(0)).alias("_before"))
-    )
     inside = F.coalesce(F.sum(size).over(_earlier([CELL], key)), F.lit(0))
     return (
-        frozen.join(F.broadcast(cells), F.col(CELL) == F.col("_c"))
-        .withColumn(out, F.col("_before") + inside)
-        .drop(CELL, "_c", "_before")
+        frozen.join(F.broadcast(_cell_starts(frozen, F.sum(size))), F.col(CELL) == F.col("_c"))
+        .withColumn(out, F.col("_start") + inside)
+        .drop(CELL, "_c", "_start")
     )

@@ -90,18 +90,19 @@ def spread_join(df: DataFrame, side: DataFrame, left: Sequence[str], right: Sequ
     return numbered.join(repeated, same & (F.col(NUMBER) == F.col("_side_piece")), how).drop(NUMBER, "_side_piece")
 
 
-def forecast(df: DataFrame, lookups: Sequence[tuple[DataFrame, Mapping[str, str], str]]) -> DataFrame:
+def forecast(df: DataFrame, lookups: Sequence[tuple]) -> DataFrame:
     """One row: how many rows ``df`` has and how many a chain of lookups makes of them, without joining them.
 
     A lookup is ``(table, {column: table column}, how)`` with ``how`` left or inner, by columns of
-    ``df``. The rows are counted per combination of all keys first; each table becomes a vector of
-    matches per key, and the vectors are multiplied.
+    ``df``; a fourth item names the column that says how many rows a row of the table stands for. The
+    rows are counted per combination of all keys first; each table becomes a vector of matches per
+    key, and the vectors are multiplied.
     """
-    names = sorted({k for _, on, _ in lookups for k in on})
+    names = sorted({k for _, on, *_ in lookups for k in on})
     counted = df.groupBy(*names).agg(F.count("*").cast("decimal(38,0)").alias("_made")).withColumn("_rows", F.col("_made"))
-    for i, (table, on, how) in enumerate(lookups):
+    for i, (table, on, how, *copies) in enumerate(lookups):
         keys = [F.col(k).alias(f"_k{i}_{j}") for j, k in enumerate(on.values())]
-        matches = table.groupBy(*keys).agg(F.count("*").alias(f"_m{i}"))
+        matches = table.groupBy(*keys).agg((F.sum(copies[0]) if copies else F.count("*")).alias(f"_m{i}"))
         same = reduce(and_, [F.col(k) == F.col(f"_k{i}_{j}") for j, k in enumerate(on)])
         none = 1 if how == "left" else 0
         times = F.coalesce(f"_m{i}", F.lit(none)).cast("decimal(18,0)")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermap.functions.parse import compose_memo
 from ledgermap.functions.semantics import blank_if_null, iso, joined, joined_or_blank, money_text, tag, text
-from ledgermap.operators.documents import BATCH_ROWS, double_entry, header_detail, pack_batches
+from ledgermap.operators.documents import BATCH_ROWS, double_entry, packed_documents
 from ledgermap.operators.lookup import existing_keys, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line, included_jobs, look_up
 from ledgermap.plans.ledger import segment_targets
@@ -116,8 +116,7 @@ def import_jtd_cost(
 ) -> DataFrame:
     """Lines are numbered and batches sized before zero-net lines are dropped."""
     entries = job_cost_entries(src, maps, params, strict_keys)
-    lines = header_detail(entries, ["_title"], ORDER, [], line="_line")
-    packed = pack_batches(lines, "_title", batch_rows, "_batch")
+    packed = packed_documents(entries, "_title", ORDER, batch_rows, "_line", "_batch")
     net = c("debit") - c("credit")
     is_entry = c("entry_offset") == "0"
 

@@ -18,6 +18,7 @@ from ledgermap.functions.parse import compose_memo
 from ledgermap.functions.semantics import MONEY, iso, joined, money_text, month_end, tag, text, year_month
 from ledgermap.operators.documents import header_detail, sides
 from ledgermap.operators.lookup import MISSING_ACCOUNT, base_account_targets, existing_keys, latest_per, translate
+from ledgermap.operators.spread import forecast
 from ledgermap.plans.common import SKIP, Tables, emit, first_line
 from ledgermap.plans.seeds import accounts
 from ledgermap.plans.summary import ledger_rows
@@ -319,6 +320,15 @@ def gl_journal(
     )
 
 
+def gl_detail_forecast(src: Tables, maps: Tables, params: Params) -> DataFrame:
+    """How many lines the lookups of ``import_gl_detail`` make of the ledger's, before they are summed."""
+    chain = [
+        (batch_labels(src, maps, False), {"Batch": "source_batch"}, "left", "_batch_copies"),
+        (account_targets(src, maps), {"Account": "account", "Data_Folder_Id": "data_folder_id"}, "left", "copies"),
+    ]
+    return forecast(_window(src, params.date("GL03_DETAIL_START"), params.date("GL03_DETAIL_STOP")), chain)
+
+
 def import_gl_opening(src: Tables, maps: Tables, params: Params, **options: bool) -> DataFrame:
     return gl_journal(src, maps, params, "opening", **options)
 

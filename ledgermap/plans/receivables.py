@@ -29,6 +29,7 @@ from ledgermap.operators.documents import (
     with_total,
 )
 from ledgermap.operators.lookup import translate
+from ledgermap.operators.spread import forecast
 from ledgermap.plans.common import (
     SKIP,
     Tables,
@@ -145,6 +146,18 @@ def import_open_ar(
     )
 
 
+def open_ar_forecast(src: Tables, maps: Tables, params: Params) -> DataFrame:
+    """How many rows ``import_open_ar`` will have, before it runs."""
+    folder = {"Data_Folder_Id": "data_folder_id"}
+    chain = [
+        (src["customer"], {"Customer": "Customer", "Data_Folder_Id": "Data_Folder_Id"}, "left"),
+        (maps["customer"], {"Customer": "legacy_customer_id", **folder}, "left"),
+        (maps["entity"], folder, "left"),
+        (jobs_without_extra(maps), {"job": "legacy_job_id", **folder}, "left"),
+    ]
+    return forecast(open_statuses(src, params), chain)
+
+
 DOCUMENT_KEYS = ["Data_Folder_Id", "_customer", "_document", "_posting"]
 # Line order inside a document: every column that can differ between its lines.
 OPEN_AR_ORDER = "_entity _date _due Customer _price _net _project _name _held _rel _bil".split()

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgermap.operators.documents import double_entry, header_detail, net_sides, pack_batches, with_total
+from ledgermap.operators.documents import double_entry, header_detail, net_sides, pack_batches, packed_documents, with_total
 from ledgermap.operators.numbering import number_lines, rows_before
 from ledgermap.sources.workspace import shared_root
 
@@ -144,6 +144,17 @@ def test_batches_keep_groups_whole_and_in_order(spark, sizes):
     assert in_order == sorted(in_order)
 
 
+def test_packed_documents_equal_numbering_and_packing(spark, many_cells):
+    """Documents of one line, of many cells, equal lines, and lines without a document."""
+    sizes = {"a": 1, "b": 700, "c": 3, None: 150, "d": 40, "": 5, "e": 1}
+    rows = [(g, i // 2) for g, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i int").repartition(5)
+    for size in (1, 7, 64, 5000):
+        plain = pack_batches(header_detail(df, ["g"], ["i"], []), "g", size)
+        assert sorted(packed_documents(df, "g", ["i"], size).collect(), key=str) == sorted(plain.collect(), key=str)
+    assert packed_documents(df.limit(0), "g", ["i"]).count() == 0
+
+
 def test_rows_before(spark):
     df = spark.range(200).select(F.format_string("%05d", "id").alias("k"), (F.col("id") % 3).alias("n"))
     got = {r.k: r.before for r in rows_before(df, "k", "n", "before").collect()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgermap.operators.documents import pack_batches, with_total
 from ledgermap.operators.lookup import translate
 from ledgermap.operators.spread import forecast, heavy_keys, missing_keys
-from ledgermap.plans import ledger, payables, summary
+from ledgermap.plans import ledger, payables, receivables, summary
 from ledgermap.plans.registry import DATASETS
 from ledgermap.plans.seeds import SEEDS
 from ledgermap.sources.tables import split_predicates
@@ -94,6 +94,15 @@ def test_forecast_equals_the_join(spark, tables):
     assert tuple(forecast(df.limit(0), [(one, {"k": "old"}, "left")]).first()) == (0, 0)
     rows = DATASETS["import_open_ap"].build(tables.src, tables.maps, tables.params).count()
     assert payables.open_ap_forecast(tables.src, tables.maps).first().rows_out == rows
+    rows = DATASETS["import_open_ar"].build(tables.src, tables.maps, tables.params).count()
+    assert receivables.open_ar_forecast(tables.src, tables.maps, tables.params).first().rows_out == rows
+
+
+def test_forecast_counts_copies(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    table = spark.createDataFrame([("a", 2), ("a", 3), ("c", 7), (None, 9)], "old string, n int")
+    assert tuple(forecast(df, [(table, {"k": "old"}, "left", "n")]).first()) == (4, 12)
+    assert tuple(forecast(df, [(table, {"k": "old"}, "inner", "n")]).first()) == (4, 10)
 
 
 def test_missing_keys_of_all_lookups(spark):
