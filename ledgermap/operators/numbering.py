@@ -48,7 +48,8 @@ def _earlier(keys: Sequence[str], order: str):
 def _freeze(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The rows in cells, and the groups over a cell border: one row for each cell that they lie in.
 
-    ``_before`` is how many rows such a group has in earlier cells.
+    ``_before`` is how many rows such a group has in earlier cells. A cell has two such groups at
+    most, so there are no more rows than twice the number of shuffle partitions.
     """
     tied = df.withColumn(TIE, F.monotonically_increasing_id())
     frozen = ordered_cells(tied, [*keys, *order, TIE])
@@ -65,7 +66,7 @@ def _freeze(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[D
 
 def _shift(numbered: DataFrame, crossing: DataFrame, keys: Sequence[str]) -> DataFrame:
     same = _same(numbered, crossing, [*keys, CELL])
-    return numbered.join(crossing, same, "left").select(
+    return numbered.join(F.broadcast(crossing), same, "left").select(
         numbered["*"], F.coalesce(crossing["_before"], F.lit(0)).alias("_before")
     )
 
