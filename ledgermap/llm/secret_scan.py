@@ -7,7 +7,6 @@ one of its versions. Findings are joined back to all paths and versions that hol
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 from pyspark.sql import DataFrame
@@ -79,17 +78,19 @@ def extend_ledger(
     unseen = unseen.select("blob", "at.path", "at.version")
     version = F.col(version_col).cast("string") if version_col else F.lit("")
     texts = versions.select(
-        F.col(path_col).alias("_path"), F.coalesce(version, F.lit("")).alias("_version"), _text(text_col).alias("text")
+        F.col(path_col).alias("_path"),
+        F.coalesce(version, F.lit("")).alias("_version"),
+        _text(text_col).alias("text"),
+        F.sha2(_text(text_col), 256).alias("_blob"),
     )
-    once = texts.join(
-        unseen, F.col("_path").eqNullSafe(F.col("path")) & (F.col("_version") == F.col("version"))
-    ).select("blob", "text")
+    # one path, or none, may stand on many rows with different texts; with the blob each finds its own
+    same = F.col("_path").eqNullSafe(F.col("path")) & (F.col("_version") == F.col("version")) & (F.col("_blob") == F.col("blob"))
+    once = texts.join(unseen, same).select("blob", "text")
 
     def work(columns: list, part: int) -> dict:
-        # one id may stand on rows with different texts: the text decides which blob was scanned
-        rows = [(b, t) for b, t in zip(*columns) if hashlib.sha256(t.encode()).hexdigest() == b]
-        found = [[dict(zip(("kind", "start", "end"), f)) for f in find(t)] for _, t in rows]
-        return {"blob": [b for b, _ in rows], "rules": [rules] * len(rows), "findings": found}
+        blobs, texts = columns
+        found = [[dict(zip(("kind", "start", "end"), f)) for f in find(t)] for t in texts]
+        return {"blob": blobs, "rules": [rules] * len(blobs), "findings": found}
 
     scanned = stored(arrow_rows(once, work, LEDGER).dropDuplicates(["blob", "rules"]))
     return paths, scanned if ledger is None else ledger.unionByName(scanned)

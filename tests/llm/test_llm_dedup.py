@@ -262,6 +262,14 @@ def test_ledger_scans_unseen_pairs_only(make_docs, spark):
     assert {r["path"]: len(r["findings"]) for r in scan(make_docs((9, "clean")), forged, rules="next").collect()} == {9: 0}
 
 
+def test_many_texts_without_an_id_meet_their_own_blob_only(make_docs):
+    rows = [(None, f"secret=abcdefgh{i}") for i in range(40)] + [(None, "clean")] * 3
+    docs = make_docs(*rows)
+    assert sorted(len(r["findings"]) for r in scan(docs).collect()) == [0] * 3 + [1] * 40
+    _, ledger = extend_ledger(docs)
+    assert ledger.count() == 41
+
+
 def test_versions_of_a_path(spark):
     rows = [("a.txt", 1, "clean"), ("a.txt", 2, "secret=abcdefgh"), ("b.txt", 1, "secret=abcdefgh")]
     found = scan(spark.createDataFrame(rows, "path string, v int, body string"), None, "path", "body", "v").collect()
