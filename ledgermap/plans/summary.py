@@ -10,6 +10,7 @@ debit or without a credit are kept apart, since sums of both leave them out.
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,5 +57,8 @@ def ledger_summary(transactions: DataFrame, params: Params) -> DataFrame:
 
 
 def with_summary(src: Tables, params: Params) -> Tables:
-    """``src`` with the summary beside it, written once to the shared folder."""
-    return {**{name: src[name] for name in src}, SUMMARY: stage(ledger_summary(src["gl_transaction"], params), SUMMARY, AREA)}
+    """``src`` with the summary beside it, written once to the shared folder.
+
+    The other tables are looked up when they are used: a table that is built on first use stays unbuilt.
+    """
+    return ChainMap({SUMMARY: stage(ledger_summary(src["gl_transaction"], params), SUMMARY, AREA)}, src)

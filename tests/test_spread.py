@@ -185,3 +185,16 @@ def test_split_predicates_meet_every_value_once(spark, tmp_path, kind):
     later = spark.createDataFrame([(-5000,), (5000,), (None,)], "v int").select(value.alias("v"))
     assert sum(later.filter(p).count() for p in parts) == 3
     assert split_predicates(df.limit(0), "v", 8) == ["1 = 1"] == split_predicates(df, "v", 1)
+
+
+def test_shared_summary_builds_no_other_table(spark, source, tables):
+    class OneTable(dict):
+        def __getitem__(self, name):
+            assert name == "gl_transaction", name
+            return super().__getitem__(name)
+
+    ledger_row = source("gl_transaction", {"Account": "01-1", "Batch": "B", "Accounting_Date": "1999-01-05", "Accrual_or_Cash": "Accrual", "Debit": 5, "Credit": 0})
+    shared = summary.with_summary(OneTable(gl_transaction=ledger_row, gl_account=None, job_category=None), tables.params)
+    assert set(shared) == {"gl_transaction", "gl_account", "job_category", summary.SUMMARY}
+    got = DATASETS["report_gl_batch_outage"].build(shared, {}, tables.params).collect()
+    assert [(r.Batch, str(r.NET_AMT)) for r in got] == [("B", "5.00")]
