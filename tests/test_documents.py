@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgermap.operators.documents import double_entry, header_detail, net_sides, pack_batches, packed_documents, with_total
-from ledgermap.operators.numbering import number_lines, rows_before
+from ledgermap.operators.numbering import number_lines, number_repeated_lines, rows_before
 from ledgermap.sources.workspace import shared_root
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -22,6 +22,18 @@ def many_cells(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("before, after", [(["a"], ["b", "id"]), (["a", "b"], ["id"]), ([], ["id"])])
+def test_lines_numbered_before_they_repeat(spark, many_cells, before, after):
+    df = skewed(spark)
+    items = F.when(F.col("doc").isNull(), F.array(F.lit("x"))).otherwise(F.array(F.lit("p"), F.lit("q"), F.lit("r")))
+    listed = df.withColumn("items", items)
+    got = number_repeated_lines(listed, ["doc"], before, after, repeats="items", item="item", out="line")
+    want = number_lines(listed.withColumn("item", F.explode("items")), ["doc"], [*before, "item", *after], "line")
+    columns = ["doc", "a", "b", "id", "item", "line"]
+    assert got.select(columns).exceptAll(want.select(columns)).isEmpty()
+    assert got.count() == want.count()
+
+
 def skewed(spark):
     """One document with a third of the rows, one without a key, many small ones; ties in the order."""
     doc = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(
