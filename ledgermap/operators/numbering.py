@@ -11,7 +11,7 @@ one row spread over many cells.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -93,7 +93,14 @@ def number_lines(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
 
 
 def number_repeated_lines(
-    df: DataFrame, keys: Sequence[str], before: Sequence[str], after: Sequence[str], repeats: str, item: str, out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    before: Sequence[str],
+    after: Sequence[str],
+    repeats: str,
+    item: str,
+    out: str,
+    add: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row for each item of the array ``repeats``, as column ``item``, numbered as ``number_lines`` would.
 
@@ -101,6 +108,7 @@ def number_repeated_lines(
     row's place among the others must not depend on the item. The rows are shuffled, written and
     sorted once each; their repeats come last, with their numbers reckoned: rows equal in ``before``
     follow all earlier rows with all their items, and come once for the first item, then for the next.
+    ``add`` adds the array once the rows are placed, for one that would be long to shuffle.
     """
     frozen, crossing = _freeze(df, keys, [*before, *after])
     group = [*keys, *before]
@@ -130,7 +138,7 @@ def number_repeated_lines(
     inside = F.col(out) + F.col("_before") - earlier
     number = F.size(repeats) * earlier + F.col("_at") * F.coalesce("_whole", "_size") + inside
     helpers = [CELL, TIE, "_first", "_size", "_before", "_whole", "_ahead", "_at", repeats]
-    repeated = placed.select("*", F.posexplode(repeats).alias("_at", item))
+    repeated = (add(placed) if add else placed).select("*", F.posexplode(repeats).alias("_at", item))
     return repeated.withColumn(out, number.cast("bigint")).drop(*helpers)
 
 

@@ -128,7 +128,7 @@ def entity_lists(entity: DataFrame, same: Sequence[str]) -> DataFrame:
         F.max(F.col("new_entity_id").isNull().cast("int")).alias("_none"),
     )
     first = F.col("_all")[0]
-    alike = F.forall("_all", lambda e: reduce(and_, [e[n].eqNullSafe(first[n]) for n in same]))
+    alike = F.forall("_all", lambda e: reduce(and_, [e[n].eqNullSafe(first[n]) for n in same], F.lit(True)))
     even = alike & (F.size("_ids") + F.col("_none") == F.size("_all"))
     lists = F.when(even, F.array("_all")).otherwise(F.transform("_all", lambda e: F.array(e)))
     return of_folder.select("data_folder_id", even.alias("_even"), F.explode(lists).alias("_list")).select(

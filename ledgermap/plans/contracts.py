@@ -7,9 +7,20 @@ from pyspark.sql import functions as F
 
 from ledgermap.functions.parse import rebase_contract
 from ledgermap.functions.semantics import iso, joined, tag
-from ledgermap.operators.documents import header_detail, split_measures
+from ledgermap.operators.documents import split_measures
 from ledgermap.operators.lookup import translate
-from ledgermap.plans.common import SKIP, Tables, emit, first_line, folder_entities, included_jobs, look_up
+from ledgermap.operators.numbering import number_repeated_lines
+from ledgermap.plans.common import (
+    SKIP,
+    Tables,
+    emit,
+    entities_of_folder,
+    entity_lists,
+    first_line,
+    folder_entities,
+    included_jobs,
+    look_up,
+)
 from ledgermap.sources.tables import Params
 
 c = F.col
@@ -190,10 +201,11 @@ def import_contract_lines(src: Tables, maps: Tables, params: Params, strict_keys
 # Account by category letter.
 ESTIMATE_ACCOUNTS = {"L": "5100", "S": "5120", "M": "5110"}
 OTHER_ESTIMATE_ACCOUNT = "5130"
-# Line order inside an estimate: originals before changes; the rest breaks ties.
+# Line order inside an estimate: originals before changes, then the entity; the rest breaks ties.
 ESTIMATE_ORDER = (
-    "_branch _task _type Job Extra Cost_Code Category _entity Data_Folder_Id _amount _qty _production Cost_Account"
-).split()
+    "_branch _task _type Job Extra Cost_Code Category".split(),
+    "Data_Folder_Id _amount _qty _production Cost_Account".split(),
+)
 
 
 def _estimate_account() -> Column:
@@ -228,6 +240,39 @@ def estimate_measures(df: DataFrame) -> DataFrame:
     return rows.filter(c("_amount") != 0)
 
 
+def _numbered_per_job(df: DataFrame, maps: Tables, strict_keys: bool) -> DataFrame:
+    """Lines numbered per new job and repeated for each entity of their folder, as ``_entity``.
+
+    One job must have one list of entities. Where jobs of several folders become one job, its lines
+    are repeated before they are numbered: the lists then have one item. A line carries the place of
+    its list, the list itself is looked up after the lines are numbered.
+    """
+    jobs = included_jobs(maps).select(c("new_job_id").alias("_new"), "data_folder_id").distinct()
+    shared = jobs.groupBy("_new").agg(F.count("*").alias("_n")).filter(c("_n") > 1)
+    whole = entity_lists(entities_of_folder(maps, strict_keys), []).withColumn("_apart", F.lit(False))
+    items = whole.select("data_folder_id", F.explode("_list").alias("_e"))
+    single = items.select(
+        "data_folder_id", F.array("_e").alias("_list"), c("_e.new_entity_id").alias("_single"), F.lit(True).alias("_apart")
+    )
+    lists = whole.unionByName(single)
+    places = lists.groupBy("data_folder_id", "_apart").agg(F.sort_array(F.collect_list(F.struct("_single", "_list"))).alias("_lists"))
+    folder = {"Data_Folder_Id": "data_folder_id", "_apart": "_apart"}
+    listed = translate(df, shared, {"_job": "_new"}, {"_folders": "_n"})
+    listed = listed.withColumn("_apart", c("_folders").isNotNull() | c("_job").isNull())
+    count = places.withColumn("_singles", c("_lists._single"))
+    listed = translate(listed, count, folder, {"_singles": "_singles"}, {"_singles": F.array(F.lit(None).cast("string"))})
+    placed = listed.select(*df.columns, "_apart", F.posexplode("_singles").alias("_place", "_single"))
+
+    def add(rows: DataFrame) -> DataFrame:
+        none = F.array(F.struct(F.lit(None).cast("string").alias("new_entity_id")))
+        found = translate(rows, places, folder, {"_found": "_lists"})
+        return found.withColumn("_list", F.coalesce(F.get("_found", c("_place"))["_list"], none)).drop("_found")
+
+    before, after = ESTIMATE_ORDER
+    lines = number_repeated_lines(placed, ["_job"], [*before, "_single"], after, "_list", "_item", "_line", add)
+    return lines.withColumn("_entity", c("_item.new_entity_id"))
+
+
 def import_project_estimates(src: Tables, maps: Tables, params: Params, strict_keys: bool = False) -> DataFrame:
     job_key = {**FOLDER, "Job": "Job"}
     jobs = {"job": included_jobs(maps)}
@@ -238,9 +283,9 @@ def import_project_estimates(src: Tables, maps: Tables, params: Params, strict_k
     df = look_up(df, maps, "cost_code", "Cost_Code", {"_task": "new_cost_code_id"})
     df = look_up(df, maps, "cost_type", "Category", {"_type": "new_cost_type_id"})
     df = look_up(df, maps, "department", "_prefix", {"_department": "new_department_id"})
-    df = estimate_measures(df)
-    df = folder_entities(df, maps, {"_entity": "new_entity_id"}, strict_keys)
-    lines = header_detail(df, ["_job"], ESTIMATE_ORDER, [], line="_line")
+    kept = ["_job", "_wf", "_department", "_updated", "Cost_Unit_Description"]
+    rows = estimate_measures(df).select(*ESTIMATE_ORDER[0], *ESTIMATE_ORDER[1], *kept)
+    lines = _numbered_per_job(rows, maps, strict_keys)
     effective = F.lit(params.date("GL03_DETAIL_STOP"))
 
     return emit(
