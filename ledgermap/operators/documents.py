@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermap.functions.semantics import MONEY, month_end, or_no_date, year_month
 from ledgermap.operators.numbering import number_lines, number_lines_and_rows_before, rows_before
+from ledgermap.sources.workspace import stage
 
 BATCH_ROWS = 5000
 
@@ -46,11 +47,14 @@ def net_sides(df: DataFrame, keys: Sequence[str], debit: Column, credit: Column)
     return grouped.select(*keys, debit_out.alias("debit"), credit_out.alias("credit"))
 
 
-def double_entry(df: DataFrame, entry_keys: Sequence[str], offset_keys: Sequence[str], amount: Column) -> DataFrame:
+def double_entry(
+    df: DataFrame, entry_keys: Sequence[str], offset_keys: Sequence[str], amount: Column, store: bool = False
+) -> DataFrame:
     """Entry rows by ``entry_keys`` plus mirrored offset rows by the coarser ``offset_keys``.
 
     Offset sums are sums of entry sums, so only the entries are aggregated from ``df``. The columns
-    that only entries have are NULL on offsets; ``entry_offset`` is '0' or '1'.
+    that only entries have are NULL on offsets; ``entry_offset`` is '0' or '1'. ``store`` writes the
+    entries once: both kinds of rows read them, and what made ``df`` would run for each.
     """
     extra = [k for k in entry_keys if k not in set(offset_keys)]
     if not extra or set(offset_keys) - set(entry_keys):
@@ -66,6 +70,8 @@ def double_entry(df: DataFrame, entry_keys: Sequence[str], offset_keys: Sequence
         .groupBy(*entry_keys)
         .agg(F.sum("_up").cast(MONEY).alias("_up"), F.sum("_down").cast(MONEY).alias("_down"))
     )
+    if store:
+        entries = stage(entries, "entries")
     offsets = entries.groupBy(*offset_keys).agg(
         F.sum("_up").cast(MONEY).alias("_up"), F.sum("_down").cast(MONEY).alias("_down")
     )

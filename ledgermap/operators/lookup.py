@@ -120,9 +120,12 @@ def unused_keys(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataF
     return df.join(_partner(other, on), _condition(on), "left_anti")
 
 
-def existing_keys(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Rows of ``df`` with a partner in ``other``, each once."""
-    return df.join(_partner(other, on), _condition(on), "left_semi")
+def existing_keys(df: DataFrame, other: DataFrame, on: Mapping[str, str], tasks: int | None = None) -> DataFrame:
+    """Rows of ``df`` with a partner in ``other``, each once; ``tasks`` deals both sides over that many."""
+    side = _partner(other, on)
+    if tasks:
+        df, side = df.repartition(tasks, *on), side.repartition(tasks, *side.columns)
+    return df.join(side, _condition(on), "left_semi")
 
 
 def fanout_audit(table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from ledgermap.operators.lookup import existing_keys, translate
 from ledgermap.plans.common import SKIP, Tables, emit, first_line, included_jobs, look_up
 from ledgermap.plans.ledger import segment_targets
 from ledgermap.sources.tables import Params, in_months
+from ledgermap.sources.workspace import tasks_for
 
 c = F.col
 
@@ -49,7 +50,8 @@ def cost_rows(src: Tables, params: Params) -> DataFrame:
 def live_costs(src: Tables, params: Params) -> DataFrame:
     """Cost rows whose cost code is still on the job."""
     on = {k: k for k in ("Cost_Code", "Job", "Extra", "Data_Folder_Id")}
-    return existing_keys(cost_rows(src, params), src["job_cost_code"], on)
+    codes = src["job_cost_code"]
+    return existing_keys(cost_rows(src, params), codes, on, tasks_for(codes))
 
 
 def _account_copies(src: Tables, maps: Tables) -> DataFrame:
@@ -103,7 +105,7 @@ def job_cost_entries(src: Tables, maps: Tables, params: Params, strict_keys: boo
             **{n: blank_if_null(c(n)) for n in ("_vendor", "_entity", "_department", "_class")},
         }
     )
-    return double_entry(rows, ENTRY_KEYS, OFFSET_KEYS, c("_amount"))
+    return double_entry(rows, ENTRY_KEYS, OFFSET_KEYS, c("_amount"), store=True)
 
 
 def import_jtd_cost(

@@ -6,6 +6,7 @@ executor costs nothing. There is no other: a session without the setting is refu
 
 from __future__ import annotations
 
+from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,19 @@ def stage(df: DataFrame, label: str, area: str = WORK) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(table: DataFrame) -> int | None:
+    """How many tasks a stored table should be dealt over, if that is more than a shuffle makes anyway.
+
+    The session's number of shuffle partitions stays the same however many rows there are; what one
+    task sorts would grow with them. Counting a stored table reads no column.
+    """
+    wanted = ceil(table.count() / ROWS_PER_TASK)
+    return wanted if wanted > int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def clear(spark: SparkSession, area: str = WORK) -> None:
     """Delete what ``stage`` wrote in this application; call it when its results have been used."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{area}")
