@@ -37,6 +37,7 @@ from ledgermap.plans.seeds import SEEDS
 from ledgermap.sources.sheets import EXTRA, SHEETS, checked_rows, clean_sheet, error_rows, usable_rows
 from ledgermap.sources.sink import text_form
 from ledgermap.sources.tables import lookup_1099, lookup_acct_type, lookup_state, split_predicates
+from ledgermap.sources.workspace import tasks_for
 
 c = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,7 +349,8 @@ def anti_join_accounts(t: Landed) -> DataFrame:
 @query
 def semi_join_cost_code(t: Landed) -> DataFrame:
     rows = t.src["jc_transaction"].select("Data_Folder_Id", "Job", "Extra", "Cost_Code", "Amount")
-    return existing_keys(rows, t.src["job_cost_code"], {k: k for k in ("Data_Folder_Id", "Job", "Extra", "Cost_Code")})
+    codes = t.src["job_cost_code"]
+    return existing_keys(rows, codes, {k: k for k in ("Data_Folder_Id", "Job", "Extra", "Cost_Code")}, tasks_for(codes))
 
 
 @query
