@@ -1,8 +1,9 @@
 """Source and translation tables for the checks, derived from the driver's tables by Spark.
 
-Transaction tables are views, so a query reads the driver's files in one pass. Master tables and
-seeded translation tables are written once per session to the shared folder, as a migration lands
-them once: the planner then knows their exact size and broadcasts only the small ones.
+Order lines are joined with the owners of their orders once per session and written, few columns
+wide; transaction tables are views of them. Master tables and seeded translation tables are written
+once as well, as a migration lands them once: the planner then knows their exact size and broadcasts
+only the small ones.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ import tempfile
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.fixtures import ADAPTERS
 from ledgermap.plans.seeds import SEEDS
 from ledgermap.sources.schemas import conform
 from ledgermap.sources.tables import Params, empty_mapping, read_params, useful_fields
-from ledgermap.sources.workspace import LANDED, SETTING, stage
+from ledgermap.sources.workspace import LANDED, SETTING, stage, tasks_for
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 AS_OF = dt.date(2000, 12, 15)
@@ -65,6 +67,22 @@ TRANSACTIONS = {
     "jc_transaction",
 }
 
+LINES = "fx_line"
+# What the views of the lines use of a line, its order and the place of its customer.
+LINE_COLUMNS = {
+    "l": "l_orderkey l_partkey l_suppkey l_linenumber l_extendedprice l_returnflag l_linestatus l_shipdate".split(),
+    "o": "o_custkey o_orderstatus o_orderdate".split(),
+    "g": "Data_Folder_Id Prefix_A".split(),
+}
+# Master tables that views of other ones use: those read the landed table instead of the lines.
+LANDED_FIRST = {"fx_gl_account": "gl_account", "fx_contract_item": "contract_item"}
+# Master tables with about as many rows as there are lines: the columns that deal their rows out.
+DEALT = {
+    "fx_job_cost_code": "Data_Folder_Id Job Extra Cost_Code".split(),
+    "fx_job_category": "Data_Folder_Id Job Extra Cost_Code Category".split(),
+}
+_NAMES = re.compile(r"\b(" + "|".join([*TABLES, *ADAPTERS]) + r")\b(?=\s|$|\))(?!\.)")
+
 
 class _OnDemand(Mapping):
     """Tables built on first use."""
@@ -99,18 +117,72 @@ class Landed:
         for name in TABLES:
             table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             table.createOrReplaceTempView(self._prefix + name)
-        names = re.compile(r"\b(" + "|".join([*TABLES, *ADAPTERS]) + r")\b(?=\s|$|\))(?!\.)")
-        for name, text in ADAPTERS.items():
-            body = names.sub(lambda m: self._prefix + m.group(1), text)
-            self.spark.sql(body).createOrReplaceTempView(self._prefix + name)
+        self._views = set(TABLES)
 
     def table(self, name: str) -> DataFrame:
-        """A driver table or adapter view."""
+        """A driver table or adapter view; views are made on first use."""
+        if name not in self._views:
+            found = self._line_view() if name == LINES else self._view(name)
+            found.createOrReplaceTempView(self._prefix + name)
+            self._views.add(name)
         return self.spark.table(self._prefix + name)
 
+    def _view(self, name: str) -> DataFrame:
+        text, keys = ADAPTERS[name], DEALT.get(name)
+        used = set(_NAMES.findall(text))
+        for other in used:
+            self.src[LANDED_FIRST[other]] if other in LANDED_FIRST else self.table(other)
+        tasks = tasks_for(self.table(LINES)) if keys else None
+        if tasks is None:
+            return self.spark.sql(self._named(text))
+        if "SELECT DISTINCT" in text:
+            return self.spark.sql(self._named(text.replace("SELECT DISTINCT", "SELECT"))).repartition(tasks, *keys).distinct()
+        # hardly two rows are alike, so they are dealt out as they are, and sorted and summed once
+        dealt = {other: self.table(other).repartition(tasks, *keys) for other in used}
+        for other, rows in dealt.items():
+            rows.createOrReplaceTempView(f"{self._prefix}{other}_dealt")
+        return self.spark.sql(self._named(text, "_dealt"))
+
+    def _named(self, text: str, ending: str = "") -> str:
+        return _NAMES.sub(lambda m: self._prefix + m.group(1) + ending, text)
+
+    def _line_view(self) -> DataFrame:
+        """The adapter's columns over the landed lines instead of its own join."""
+        parts = [f"struct({', '.join(names)}) AS {alias}" for alias, names in LINE_COLUMNS.items()]
+        self._landed_lines().selectExpr(*parts).createOrReplaceTempView(f"{self._prefix}lines")
+        columns = ADAPTERS[LINES].partition("FROM lineitem l")[0]
+        return self.spark.sql(f"{columns} FROM {self._prefix}lines")
+
+    def _landed_lines(self) -> DataFrame:
+        """Lines with the owner of their order, written once.
+
+        Orders meet their customers first, so that the lines are shuffled once, by their order.
+        """
+        line, order, place = (LINE_COLUMNS[alias] for alias in "log")
+        lines = self.table("lineitem").select(*line).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+        customer = self.table("customer").select("c_custkey", "c_nationkey")
+        owners = (
+            self.table("orders")
+            .select("o_orderkey", *order)
+            .withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+            .join(self.table("fx_geo"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("o_orderkey", *order, *place)
+        )
+        tasks = tasks_for(lines)
+        if tasks:
+            lines, owners = lines.repartition(tasks, "l_orderkey"), owners.repartition(tasks, "o_orderkey")
+        joined = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+        return stage(joined.select(*line, *order, *place), "lines", LANDED)
+
     def _source(self, name: str) -> DataFrame:
         df = conform(self.table(VIEW_OF[name]), name)
-        return df if name in TRANSACTIONS else stage(df, f"src-{name}", LANDED)
+        if name in TRANSACTIONS:
+            return df
+        found = stage(df, f"src-{name}", LANDED)
+        if VIEW_OF[name] in LANDED_FIRST:
+            found.createOrReplaceTempView(self._prefix + VIEW_OF[name])
+        return found
 
     def _mapping(self, name: str) -> DataFrame:
         if name == "useful_fields":
