@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import Counter
 from pathlib import Path
 
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from checks.fixtures import ADAPTERS
 from checks.landed import Landed
 from ledgermap.operators.documents import double_entry
-from ledgermap.operators.lookup import existing_keys
-from ledgermap.operators.numbering import number_lines
-from ledgermap.plans import contracts
+from ledgermap.operators.lookup import existing_keys, gather
+from ledgermap.operators.numbering import Dealing, dealing, number_lines, number_repeated_lines
+from ledgermap.plans import contracts, payables, receivables
 from ledgermap.plans.common import folder_entities
+from ledgermap.plans.registry import ARCHIVED, DATASETS
 from ledgermap.sources import workspace
+from ledgermap.sources.tables import Params
 from ledgermap.sources.workspace import LANDED, WORK, shared_root
 from tests.conftest import SF
 
@@ -129,3 +132,84 @@ def test_estimates_are_numbered_before_they_repeat(spark, mapped):
         (cells,) = folders(spark, WORK, "cells") - before
         stored = spark.read.parquet(f"{shared_root(spark)}/{WORK}/{cells}").groupBy("_job").count().collect()
         assert {r["_job"]: r["count"] for r in stored}["one"] == 12
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line and "Reused" not in line]
+
+
+def test_lines_of_ordinary_documents_are_shuffled_once_and_not_stored(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "ROWS_PER_TASK", 80)
+    lines = [(f"d{i % 40}", i % 3, i) for i in range(400)] + [("hot", i % 3, i) for i in range(200)] + [(None, 1, 7)]
+    df = spark.createDataFrame(lines, "doc string, a int, id int").withColumn("items", F.array(F.lit("x"), F.lit("y")))
+    want = number_lines(df.withColumn("item", F.explode("items")), ["doc"], ["a", "item", "id"], "line")
+    columns = ["doc", "a", "id", "item", "line"]
+    before = folders(spark, WORK, "cells")
+    by = dealing(df, ["doc"], 20)
+    got = number_repeated_lines(df, ["doc"], ["a"], ["id"], "items", "item", "line", dealt=by)
+    (cells,) = folders(spark, WORK, "cells") - before
+    assert by.heavy is not None and {r[0] for r in spark.read.parquet(f"{shared_root(spark)}/{WORK}/{cells}").select("doc").distinct().collect()} == {"hot"}
+    assert rows(got.select(columns)) == rows(want.select(columns))
+    before = folders(spark, WORK, "cells")
+    plain = number_repeated_lines(df.filter("doc != 'hot'"), ["doc"], ["a"], ["id"], "items", "item", "line", dealt=Dealing(["doc"], 20, None))
+    assert folders(spark, WORK, "cells") == before and len(shuffles(plain)) == 1
+
+
+@pytest.mark.parametrize("name", ["import_open_ap", "open_ap_spread", "ar_activity_by_basis", "import_jtd_cost"])
+def test_large_tables_give_the_same_rows_over_more_tasks(spark, monkeypatch, name):
+    def build(tables):
+        if name == "open_ap_spread":
+            return DATASETS["import_open_ap"].build(tables.src, tables.maps, tables.params, spread_keys=True)
+        return {**DATASETS, **ARCHIVED}[name].build(tables.src, tables.maps, tables.params)
+
+    want = rows(build(Landed(spark, SF)))
+    monkeypatch.setattr(workspace, "ROWS_PER_TASK", 600)
+    assert rows(build(Landed(spark, SF))) == want
+
+
+def test_invoices_meet_distributions_after_one_shuffle_each(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "ROWS_PER_TASK", 600)
+    fresh = Landed(spark, SF)
+    df = payables.open_distributions(fresh.src, workspace.tasks_for(fresh.src["ap_distribution"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(shuffles(df)) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_gather_what_rows_of_their_keys_hold(spark):
+    data = [("a", None), ("a", (1, "x")), ("a", (1, "x")), ("a", (2, None)), ("a", None), ("b", None), (None, (3, "z")), (None, None), ("c", (4, "w"))]
+    df = spark.createDataFrame(data, "k string, it struct<n:int,t:string>").repartition(7, "k")
+    got = gather(df, "it", ["k"], [], "copies")
+    assert len(shuffles(got)) == 1
+    found = sorted(((r.k, sorted(tuple(i) for i in r.it)) for r in got.collect()), key=str)
+    assert found == sorted([("a", [(1, "x", 2), (2, None, 1)])] * 2 + [("b", []), (None, [(3, "z", 1)])], key=str)
+
+
+def test_activity_of_one_customer_with_most_rows(spark, monkeypatch, source, mapped):
+    """Customers, documents and statuses that repeat or are NULL, over many tasks and over few."""
+    def line(i):
+        return {
+            "Customer": "big" if i % 3 else (None if i % 2 else "small"), "Status_Type": "Invoice", "Status_Seq": i % 40, "Actvty_Seq": i % 2,
+            "Status_Date": dt.date(1999, 1, 2), "Accounting_Date": dt.date(1999, 1, 2), "Amount": i, "Retainage": 0, "Amount_Type": "Amount",
+            "Transaction_Type": "Invoice" if i % 5 else "Cash receipt", "Job": None if i % 7 == 0 else f"J{i % 4}", "Description": f"t{i % 6}", "Invoice": f"I{i % 9}",
+        }
+
+    seen = [{**{k: line(i)[k] for k in ("Customer", "Status_Type", "Status_Seq", "Actvty_Seq", "Status_Date")}, "Activity_Type": f"A{i % 2}", "Due_Date": None if i % 4 else dt.date(1999, 2, 1)} for i in range(0, 90, 2)]
+    src = {
+        "ar_transaction": source("ar_transaction", *[line(i) for i in range(300)]),
+        "ar_activity": source("ar_activity", *seen, *seen[:20]),
+        "customer": source("customer", {"Customer": "big", "Name": "Big"}, {"Customer": "big", "Name": "Twice"}),
+        "job": source("job", {"Job": "J1", "Description": "one"}, {"Job": "J2", "Description": None}),
+    }
+    maps = {
+        "job": mapped("job", *[{"legacy_job_id": j, "legacy_extra_id": e, "new_job_id": n, "include_job": 1} for j, e, n in (("J1", "", "P1"), ("J1", "X", "P1"), ("J1", "Y", "P2"), ("J3", "", None))]),
+        "customer": mapped("customer", {"legacy_customer_id": "big", "new_customer_id": "B"}, {"legacy_customer_id": "small", "new_customer_id": None}),
+        "entity": mapped("entity", {"legacy_entity_id": "1", "new_entity_id": "E1"}, {"legacy_entity_id": "2", "new_entity_id": "E2"}),
+    }
+    params = Params({"GL03_DETAIL_STOP": "2000-01-01"})
+    want = rows(receivables.ar_activity_by_basis(src, maps, params))
+    monkeypatch.setattr(workspace, "ROWS_PER_TASK", 20)
+    assert rows(receivables.ar_activity_by_basis(src, maps, params)) == want and len(want) > 100
